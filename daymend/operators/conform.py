@@ -20,15 +20,32 @@ def conform_stores(staged: DataFrame, run_ts: datetime | None = None) -> DataFra
                          "region", *_stamps(run_ts))
 
 
-def conform_sales(transformed: DataFrame, dim_store: DataFrame,
-                  run_ts: datetime | None = None) -> DataFrame:
-    """The fact: sales with a known store. No join hint: the caller's dimension may carry one."""
+def with_keys(transformed: DataFrame, dim_store: DataFrame) -> DataFrame:
+    """All sales with both keys; ``store_key`` is NULL where the store is unknown.
+
+    No join hint: the caller's dimension may carry one.
+    """
     stores = dim_store.select("store_id", "store_key")
-    return transformed.join(stores, "store_id", "inner").select(
-        surrogate_key("sale_id").alias("sale_key"), "sale_id", "store_key", "sale_date", "channel",
+    return transformed.join(stores, "store_id", "left").select(
+        *transformed.columns, "store_key", surrogate_key("sale_id").alias("sale_key"))
+
+
+def known_store() -> Column:
+    return F.col("store_key").isNotNull()
+
+
+def fact_rows(keyed: DataFrame, run_ts: datetime | None = None) -> DataFrame:
+    """The fact: sales with a known store. The filter turns the left join into an inner one."""
+    return keyed.where(known_store()).select(
+        "sale_key", "sale_id", "store_key", "sale_date", "channel",
         "gross_amount", "tax_amount", "net_amount", *_stamps(run_ts))
 
 
+def conform_sales(transformed: DataFrame, dim_store: DataFrame,
+                  run_ts: datetime | None = None) -> DataFrame:
+    return fact_rows(with_keys(transformed, dim_store), run_ts)
+
+
 def orphan_sales(transformed: DataFrame, dim_store: DataFrame) -> DataFrame:
     """Sales the inner join drops: unknown or NULL store."""
     return transformed.join(dim_store.select("store_id"), "store_id", "left_anti") \

@@ -16,10 +16,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daymend.functions.keys import surrogate_key
 from daymend.functions.measures import CORRECT, net_amount_when
 from daymend.operators import checks as dq
-from daymend.operators.conform import broadcast_if_small, conform_sales, conform_stores, day_totals
+from daymend.operators.conform import (
+    broadcast_if_small, conform_stores, day_totals, fact_rows, known_store, with_keys,
+)
 from daymend.operators.marts import daily_sales
 from daymend.operators.stage import stage_stores
 from daymend.operators.transform import transform_sales
@@ -32,6 +33,7 @@ from daymend.sources.tables import TableStore
 
 FACT = "fact_sale"
 DIM = "dim_store"
+STAGE = "stage_fact_sale"
 AUDIT_TABLE = "tbl_metadata_audit"
 
 _STATUS_KEYS = T.StructType([T.StructField("sale_date", T.DateType()),
@@ -207,14 +209,18 @@ class SalesFlow:
         run_ts = _now()
         dim, small, dim_rows = broadcast_if_small(self._dimension(run_ts), "store_id")
         report.days = list(days)
+        aligned = small and self.landing.laid_out_by_day
         landed = self.landing.rows([*days, None] if self.gate and None not in days else days)
         transformed = transform_sales(landed, formula)
-        batch = transformed.where(in_days(F.col("sale_date"), days))
-        totals = day_totals(batch, F.min("sale_id").alias("lo"), F.max("sale_id").alias("hi")).collect()
+        wanted = F.coalesce(in_days(F.col("sale_date"), days), F.lit(False))
+        totals = day_totals(transformed.where(wanted), F.min("sale_id").alias("lo"),
+                            F.max("sale_id").alias("hi")).collect()
+        keyed = with_keys(transformed, dim)
 
-        models = {}
         if self.gate:
-            models = self._models(report.action, transformed, days, dim, totals)
+            if not aligned:
+                keyed = self._stage(keyed)
+            models = self._models(report.action, keyed, wanted, dim, days, totals)
             results = dq.evaluate(self.suite, models).collect()
             report.failed_checks = sorted(r["check"] for r in results if r.status != "pass")
             report.failed = len(report.failed_checks)
@@ -227,9 +233,11 @@ class SalesFlow:
             self._close(report)
             raise ChecksFailed(report)
 
-        fact = conform_sales(batch, dim, run_ts)
-        aligned = small and self.landing.laid_out_by_day
-        report.touched = len(replace_days(self.store, FACT, fact, days, rebalance=not aligned))
+        written = replace_days(self.store, FACT, fact_rows(keyed, run_ts), days,
+                               rebalance=not (aligned or self.gate))
+        report.touched = len(written)
+        if self.gate and not aligned:
+            clear_table(self.store, STAGE)
         self._ensure_mart()
         report.formula, report.published = formula, True
         self._log_days(report, formula, days, totals, run_ts)
@@ -243,22 +251,29 @@ class SalesFlow:
             overwrite_table(self.store, DIM, dim)
         return self.store.read(DIM)
 
-    def _models(self, action: str, transformed: DataFrame, days, dim: DataFrame, totals) -> dict[str, dq.Model]:
+    def _stage(self, keyed: DataFrame) -> DataFrame:
+        """Write the batch once, laid out by day, for the checks and the publishing to read.
+
+        Only where working it out again costs a shuffle or a full parse; a batch that comes from landed days
+        and a broadcast dimension is cheaper to scan again than to write.
+        """
+        clear_table(self.store, STAGE)
+        overwrite_table(self.store, STAGE, keyed, ["sale_date"])
+        return self.store.read(STAGE)
+
+    def _models(self, action: str, keyed: DataFrame, wanted, dim: DataFrame, days, totals) -> dict[str, dq.Model]:
         """The models of the suite over the staged batch.
 
-        Stage, transform and fact are the same rows seen after more steps, so one frame with the
-        store key joined in serves all three, and the suite scans it once.
+        Stage, transform and fact are the same rows seen after more steps, so one frame with both
+        keys serves all three, and the suite scans it once.
         """
-        wide = transformed.join(dim.select("store_id", "store_key"), "store_id", "left") \
-            .select(*transformed.columns, "store_key", surrogate_key("sale_id").alias("sale_key"))
-        in_fact = F.col("store_key").isNotNull() & F.coalesce(in_days(F.col("sale_date"), days), F.lit(False))
         status = local_frame(self.store.spark, _STATUS_KEYS, [(r.sale_date, action) for r in totals])
         return {
             "stg_store": dq.Model(stage_stores(self.stores)),
             "dim_store": dq.Model(dim),
-            "stg_sale": dq.Model(wide),
-            "trn_tbl_sale": dq.Model(wide),
-            "fact_sale": dq.Model(wide, in_fact, self._other_ids(days, totals)),
+            "stg_sale": dq.Model(keyed),
+            "trn_tbl_sale": dq.Model(keyed),
+            "fact_sale": dq.Model(keyed, known_store() & wanted, self._other_ids(days, totals)),
             "dim_partition_status": dq.Model(status),
             "dm_daily_sales": dq.Model(status),
         }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,7 @@ from daymend.schema import LANDING_COLUMNS, MASTER_STORE
 
 _CSV = {"header": True, "quote": '"', "escape": '"', "recursiveFileLookup": True,
         "pathGlobFilter": "*.csv", "mode": "PERMISSIVE"}
+_HEADER_JOBS = 8  # first lines read at a time
 
 
 def list_drops(spark: SparkSession, folder: str) -> DataFrame:
@@ -38,8 +40,10 @@ def read_drops(spark: SparkSession, paths: Sequence[str],
     fail on bad text where a typed CSV read would turn it into NULL.
     """
     by_header = defaultdict(list)
-    for path in paths:
-        by_header[tuple(_header(spark, path))].append(path)
+    with ThreadPoolExecutor(_HEADER_JOBS) as pool:
+        headers = list(pool.map(lambda path: _header(spark, path), paths))
+    for path, header in zip(paths, headers):
+        by_header[tuple(header)].append(path)
     groups = [_read_group(spark, header, files, columns) for header, files in sorted(by_header.items())]
     if not groups:
         text = T.StructType([T.StructField(c, T.StringType()) for c in ["source_file", *columns]])
