@@ -145,13 +145,14 @@ def evaluate(checks: Sequence[Check], models: dict[str, Model]) -> DataFrame:
     parts += [_key_tallies(group, models) for group in by_key.values()]
     parts += [_value_tallies(group, models) for group in by_value.values()]
     about = {c.name: c for c in checks}
-    rows = [part.select(F.inline(F.array(*[
-        F.struct(F.lit(name).alias("check"), F.lit(about[name].model).alias("model"),
-                 F.lit(about[name].kind).alias("kind"),
-                 F.coalesce(F.col(f"`{name}`").cast("long"), F.lit(0)).alias("failures"))
-        for name in part.columns]))) for part in parts]
-    return reduce(DataFrame.unionByName, rows).select(
-        "*", F.when(F.col("failures") > 0, "fail").otherwise("pass").alias("status"))
+    rows = []
+    for part in parts:
+        tallies = ", ".join(
+            f"struct('{name}' AS check, '{about[name].model}' AS model, '{about[name].kind}' AS kind, "
+            f"coalesce(`{name}`, 0L) AS failures)" for name in part.columns)
+        rows.append(part.selectExpr(f"inline(array({tallies}))"))
+    return reduce(DataFrame.unionByName, rows).selectExpr(
+        "*", "if(failures > 0, 'fail', 'pass') AS status")
 
 
 def failed(results: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from daymend.functions.keys import surrogate_key
 from daymend.functions.measures import is_bugged
+from daymend.operators.write import lay_out_by_day
 from daymend.schema import TOTAL
 
 BROADCAST_LIMIT = 64 * 1024 * 1024
@@ -20,14 +22,17 @@ def conform_stores(staged: DataFrame, run_ts: datetime | None = None) -> DataFra
                          "region", *_stamps(run_ts))
 
 
-def with_keys(transformed: DataFrame, dim_store: DataFrame) -> DataFrame:
+def with_keys(transformed: DataFrame, dim_store: DataFrame, lay_out: bool = False) -> DataFrame:
     """All sales with both keys; ``store_key`` is NULL where the store is unknown.
 
-    No join hint: the caller's dimension may carry one.
+    No join hint: the caller's dimension may carry one. ``lay_out`` puts the joined rows in day
+    order for a write, before the sale key makes them wider.
     """
     stores = dim_store.select("store_id", "store_key")
-    return transformed.join(stores, "store_id", "left").select(
-        *transformed.columns, "store_key", surrogate_key("sale_id").alias("sale_key"))
+    joined = transformed.join(stores, "store_id", "left").select(*transformed.columns, "store_key")
+    if lay_out:
+        joined = lay_out_by_day(joined)
+    return joined.select("*", surrogate_key("sale_id").alias("sale_key"))
 
 
 def known_store() -> Column:
@@ -67,16 +72,26 @@ def partition_status(transformed: DataFrame, action: str) -> DataFrame:
         "*", is_bugged().alias("bugged"), F.lit(action).alias("built_by_action"))
 
 
-def broadcast_if_small(dim: DataFrame, key: str, limit: int = BROADCAST_LIMIT) -> tuple[DataFrame, bool, int]:
-    """Hint a broadcast only after counting: rows times the widest key must fit the limit.
+@dataclass(frozen=True)
+class Dimension:
+    """A dimension ready to join, and what was measured about it."""
 
-    Returns the frame, whether it is small, and its row count. Beyond it the frame comes back as it is, and the join is a shuffled one that AQE keeps free of
+    frame: DataFrame
+    rows: int
+    small: bool
+    unique: bool
+
+
+def measured(dim: DataFrame, key: str, limit: int = BROADCAST_LIMIT) -> Dimension:
+    """Count the dimension and hint a broadcast only if rows times the widest key fit the limit.
+
+    Beyond it the frame stays as it is, and the join is a shuffled one that AQE keeps free of
     skew by splitting hot partitions.
     """
-    size = dim.agg(F.count("*").alias("n"),
+    size = dim.agg(F.count("*").alias("n"), F.count_distinct(key).alias("keys"),
                    F.max(F.octet_length(F.col(key).cast("string"))).alias("width")).first()
     small = size.n * ((size.width or 0) + _ROW_OVERHEAD) <= limit
-    return (F.broadcast(dim) if small else dim), small, size.n
+    return Dimension(F.broadcast(dim) if small else dim, size.n, small, size.n == size.keys)
 
 
 def _stamps(run_ts: datetime | None):

@@ -17,6 +17,12 @@ from pyspark.sql import functions as F
 from daymend.sources.tables import Spec, TableStore
 
 
+def lay_out_by_day(rows: DataFrame) -> DataFrame:
+    """Shuffle rows by day ahead of a write. AQE gives a day with a large share of all rows to many
+    tasks and merges small days. Best put before the rows are widened by keys and stamps."""
+    return rows.hint("rebalance", "sale_date")
+
+
 def append_rows(store: TableStore, name: str, rows: DataFrame) -> None:
     """Append to a small log table, creating it if missing."""
     store.create(name, rows.schema)

@@ -19,12 +19,14 @@ from pyspark.sql import types as T
 from daymend.functions.measures import CORRECT, net_amount_when
 from daymend.operators import checks as dq
 from daymend.operators.conform import (
-    broadcast_if_small, conform_stores, day_totals, fact_rows, known_store, with_keys,
+    conform_stores, day_totals, fact_rows, known_store, measured, with_keys,
 )
 from daymend.operators.marts import daily_sales
 from daymend.operators.stage import stage_stores
 from daymend.operators.transform import transform_sales
-from daymend.operators.write import clear_table, in_days, overwrite_table, replace_days
+from daymend.operators.write import (
+    clear_table, in_days, lay_out_by_day, overwrite_table, replace_days,
+)
 from daymend.plans import ledger
 from daymend.schema import AUDIT, CHANNELS, CHECK_RESULTS, DAY_LEDGER, FILE_LEDGER, RUN_LEDGER, TOTAL
 from daymend.sources.landing import Landing
@@ -207,20 +209,29 @@ class SalesFlow:
     def _build(self, report: RunReport, days: Sequence[date | None], formula: str,
                files: Sequence[str] = ()) -> RunReport:
         run_ts = _now()
-        dim, small, dim_rows = broadcast_if_small(self._dimension(run_ts), "store_id")
+        dim = measured(self._dimension(run_ts), "store_id")
         report.days = list(days)
-        aligned = small and self.landing.laid_out_by_day
-        landed = self.landing.rows([*days, None] if self.gate and None not in days else days)
+        aligned = dim.small and self.landing.laid_out_by_day
+        landed = self.landing.rows([*days, None] if self.gate and None not in days else days) \
+            .drop("source_file")
         transformed = transform_sales(landed, formula)
         wanted = F.coalesce(in_days(F.col("sale_date"), days), F.lit(False))
-        totals = day_totals(transformed.where(wanted), F.min("sale_id").alias("lo"),
-                            F.max("sale_id").alias("hi")).collect()
-        keyed = with_keys(transformed, dim)
+        # One shuffle at most: ahead of a broadcast join where rows are narrow, after a shuffled one.
+        if dim.small and not aligned:
+            keyed = with_keys(transform_sales(lay_out_by_day(landed), formula), dim.frame)
+        else:
+            keyed = with_keys(transformed, dim.frame, lay_out=not dim.small)
 
         if self.gate:
             if not aligned:
                 keyed = self._stage(keyed)
-            models = self._models(report.action, keyed, wanted, dim, days, totals)
+        # The join adds no rows if store ids are unique; then the staged rows serve for totals too.
+        counted = keyed if self.gate and not aligned and dim.unique else transformed
+        totals = day_totals(counted.where(wanted), F.min("sale_id").alias("lo"),
+                            F.max("sale_id").alias("hi")).collect()
+
+        if self.gate:
+            models = self._models(report.action, keyed, wanted, dim.frame, days, totals)
             results = dq.evaluate(self.suite, models).collect()
             report.failed_checks = sorted(r["check"] for r in results if r.status != "pass")
             report.failed = len(report.failed_checks)
@@ -229,21 +240,20 @@ class SalesFlow:
                           [(report.seq, *r) for r in results])
             self._keep_failures(report, models)
         if report.failed and not self.publish_on_red:
+            clear_table(self.store, STAGE)
             report.outcome = "0 partitions rebuilt"
             self._close(report)
             raise ChecksFailed(report)
 
-        written = replace_days(self.store, FACT, fact_rows(keyed, run_ts), days,
-                               rebalance=not (aligned or self.gate))
+        written = replace_days(self.store, FACT, fact_rows(keyed, run_ts), days, rebalance=False)
         report.touched = len(written)
-        if self.gate and not aligned:
-            clear_table(self.store, STAGE)
+        clear_table(self.store, STAGE)
         self._ensure_mart()
         report.formula, report.published = formula, True
         self._log_days(report, formula, days, totals, run_ts)
         ledger.append(self.store, "file_ledger", FILE_LEDGER, [(report.seq, n) for n in files])
         report.outcome = f"{report.touched} partitions rebuilt"
-        return self._close(report, audit=True, dim_rows=dim_rows)
+        return self._close(report, audit=True, dim_rows=dim.rows)
 
     def _dimension(self, run_ts: datetime) -> DataFrame:
         if self.refresh_dimension or not self.store.exists(DIM):
@@ -257,8 +267,7 @@ class SalesFlow:
         Only where working it out again costs a shuffle or a full parse; a batch that comes from landed days
         and a broadcast dimension is cheaper to scan again than to write.
         """
-        clear_table(self.store, STAGE)
-        overwrite_table(self.store, STAGE, keyed, ["sale_date"])
+        overwrite_table(self.store, STAGE, keyed, ["sale_date"], rebalance=False)
         return self.store.read(STAGE)
 
     def _models(self, action: str, keyed: DataFrame, wanted, dim: DataFrame, days, totals) -> dict[str, dq.Model]:

@@ -178,6 +178,8 @@ ORACLES = {
     "check_net_exceeds_gross": f"""WITH {_T}, {_M} SELECT sale_id, gross_amount, net_amount FROM m
         WHERE net_amount > gross_amount""",
     "check_results": _suite(KNOWN_CHANNELS),
+    "check_tally": f"""SELECT count(*) FILTER (WHERE status = 'pass') AS passed,
+        count(*) FILTER (WHERE status <> 'pass') AS failed FROM ({_suite(KNOWN_CHANNELS)})""",
     "failed_checks": f"""SELECT "check" FROM ({_suite(KNOWN_CHANNELS)}) WHERE status = 'fail'""",
     "check_failures_union": f"""WITH {_T}, {_M}
         SELECT 'net_never_exceeds_gross' AS "check", CAST(sale_id AS VARCHAR) AS key FROM m

@@ -67,6 +67,10 @@ def check_results(spark, sf_dir):
     return dq.evaluate(flow.suite, flow.table_models())
 
 
+def check_tally(spark, sf_dir):
+    return dq.tally(check_results(spark, sf_dir))
+
+
 def failed_checks(spark, sf_dir):
     """Red checks of the last build, as its gate recorded them."""
     flow = mid_bug(spark, sf_dir, "red", gate=True, channels=KNOWN_CHANNELS)
@@ -172,7 +176,7 @@ def table_row_counts(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     check_unique, check_duplicates, check_not_null, check_accepted_values, check_relationships,
-    check_net_exceeds_gross, check_results, failed_checks, check_failures_union, row_count_audit,
+    check_net_exceeds_gross, check_results, check_tally, failed_checks, check_failures_union, row_count_audit,
     audit_latest, run_history, partition_status, dm_daily_sales_flagged, net_ratio, bugged_partitions,
     summary, daily_reconciliation, affected_days, net_delta, pending_partitions, next_pending,
     next_preview, backfill_range, touched_partitions, bug_snapshot, table_row_counts)}

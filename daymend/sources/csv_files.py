@@ -31,20 +31,22 @@ def list_drops(spark: SparkSession, folder: str) -> DataFrame:
                         drop_root(F.col("path")).alias("root"), "path")
 
 
-def read_drops(spark: SparkSession, paths: Sequence[str],
-               columns: Sequence[str] = LANDING_COLUMNS) -> DataFrame:
+def read_drops(spark: SparkSession, paths: Sequence[str], columns: Sequence[str] = LANDING_COLUMNS,
+               multi_line: bool = False) -> DataFrame:
     """Rows of the given files as text, with ``source_file`` first.
 
     Columns are matched by name: files with the same header are read together, a missing column
     is NULL, an extra one is dropped, an empty field is NULL. Typing is left to the stage casts, which
-    fail on bad text where a typed CSV read would turn it into NULL.
+    fail on bad text where a typed CSV read would turn it into NULL. ``multi_line`` allows line breaks inside
+    quotes; such a file is read by one task, so ask for it only where producers write them.
     """
     by_header = defaultdict(list)
     with ThreadPoolExecutor(_HEADER_JOBS) as pool:
         headers = list(pool.map(lambda path: _header(spark, path), paths))
     for path, header in zip(paths, headers):
         by_header[tuple(header)].append(path)
-    groups = [_read_group(spark, header, files, columns) for header, files in sorted(by_header.items())]
+    groups = [_read_group(spark, header, files, columns, multi_line)
+              for header, files in sorted(by_header.items())]
     if not groups:
         text = T.StructType([T.StructField(c, T.StringType()) for c in ["source_file", *columns]])
         return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in text.fields])
@@ -61,9 +63,10 @@ def _header(spark: SparkSession, path: str) -> list[str]:
     return spark.read.options(**_CSV, inferSchema=False).csv(path).columns
 
 
-def _read_group(spark: SparkSession, header: tuple, files: list[str], columns: Sequence[str]) -> DataFrame:
+def _read_group(spark: SparkSession, header: tuple, files: list[str], columns: Sequence[str],
+                multi_line: bool) -> DataFrame:
     schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
-    raw = spark.read.schema(schema).options(**_CSV).csv(files)
+    raw = spark.read.schema(schema).options(**_CSV, multiLine=multi_line).csv(files)
     # Spark escapes the path in _metadata; a literal + must survive the decoding.
     path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     values = [F.nullif(F.col(f"`{c}`"), F.lit("")) if c in header else F.lit(None).cast("string")

@@ -50,15 +50,16 @@ class CsvLanding:
     laid_out_by_day = True
     table = "incoming_sale"
 
-    def __init__(self, store: TableStore, folder: str):
+    def __init__(self, store: TableStore, folder: str, multi_line: bool = False):
         self.store = store
         self.folder = folder
+        self.multi_line = multi_line
 
     def arrived(self) -> DataFrame:
         return list_drops(self.store.spark, self.folder).select("source_file").distinct()
 
     def preview(self, names: Sequence[str]) -> DataFrame:
-        return read_drops(self.store.spark, self._paths(names))
+        return read_drops(self.store.spark, self._paths(names), multi_line=self.multi_line)
 
     def land(self, names: Sequence[str]) -> list[date | None]:
         rows = stage_sales(self.preview(names))
@@ -86,7 +87,7 @@ class FrameLanding:
     """Landed rows served from any frame with the landing columns; one source file per sale date.
 
     ``rows_between(start, end)`` returns the rows of a date range, so that the source can push
-    the range into its own scan.
+    the range into its own scan. Rows without a date belong to no file and are never landed.
     """
 
     def __init__(self, rows_between: Callable[[date | None, date | None], DataFrame],
@@ -95,7 +96,7 @@ class FrameLanding:
         self.laid_out_by_day = laid_out_by_day
 
     def arrived(self) -> DataFrame:
-        return self._rows_between(None, None).select("source_file").distinct()
+        return self._rows_between(None, None).select("source_file").dropna().distinct()
 
     def preview(self, names: Sequence[str]) -> DataFrame:
         return self.rows([date.fromisoformat(n) for n in names])
@@ -108,8 +109,8 @@ class FrameLanding:
 
     def rows(self, days: Days) -> DataFrame:
         dated = sorted(d for d in days if d is not None)
-        bounds = (dated[0], dated[-1]) if dated and None not in days else (None, None)
-        return stage_sales(self._rows_between(*bounds)).where(in_days(F.col("sale_date"), days))
+        bounds = (dated[0], dated[-1]) if dated else (None, None)
+        return stage_sales(self._rows_between(*bounds)).where(in_days(F.col("sale_date"), dated))
 
     def reset(self) -> None:
         return None

@@ -3,7 +3,7 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from daymend.operators import checks as dq
-from daymend.operators.conform import broadcast_if_small, conform_sales, conform_stores, orphan_sales
+from daymend.operators.conform import conform_sales, conform_stores, measured, orphan_sales
 from daymend.operators.transform import transform_sales
 from sample import SALE, d, master
 
@@ -98,7 +98,9 @@ def test_orphans_and_broadcast_limit(spark):
     trn = transform_sales(sales(spark, [GOOD, ("s2", "ST-99", "1", "0", "online"), ("s3", None, "1", "0", "online")]))
     dim = conform_stores(master(spark))
     assert sorted(r.sale_id for r in orphan_sales(trn, dim).collect()) == ["s2", "s3"]
-    hinted, small, rows = broadcast_if_small(dim, "store_id")
-    assert small and rows == 5 and conform_sales(trn, hinted).count() == 1
-    plain, small, _ = broadcast_if_small(dim, "store_id", limit=10)
-    assert not small and conform_sales(trn, plain).count() == 1
+    small = measured(dim, "store_id")
+    assert small.small and small.unique and small.rows == 5
+    assert conform_sales(trn, small.frame).count() == 1
+    large = measured(dim.union(dim), "store_id", limit=10)
+    assert not large.small and not large.unique
+    assert "ResolvedHint" not in conform_sales(trn, large.frame)._jdf.queryExecution().analyzed().toString()

@@ -37,6 +37,12 @@ def test_quotes(spark, folder):
     assert set(staged(spark, path)) == {'a "b", c'}
 
 
+def test_line_breaks_inside_quotes(spark, folder):
+    path = write_csv(folder, "2024-01-01", [['"two\nlines"', "ST-01", "2024-01-01", "1.00", "0.10", "online"]])
+    rows = read_drops(spark, [path], multi_line=True).collect()
+    assert [r.sale_id for r in rows] == ["two\nlines"]
+
+
 def test_listing_and_names(spark, folder):
     write_csv(folder, "2024-01-02", [])
     write_csv(folder + "/2024-01-01.csv", "part-0", [["s1", "ST-01", "2024-01-01", "1.00", "0.10", "online"]])

@@ -236,3 +236,26 @@ def test_any_history_ends_in_the_one_shot_build(spark, cuts, wrong_from, replays
     mart = flow.store.read("dm_daily_sales").collect()
     assert [(r.orders, str(r.gross_total), str(r.tax_total)) for r in mart] == DAYS[:6]
     assert all(r.net_total == r.gross_total - r.tax_total for r in mart)
+
+
+def test_replay_pushes_its_days_into_the_scan(spark):
+    from daymend.queries.fixtures import days, events_between
+    landing = FrameLanding(events_between(spark, "/root/testdata/sf0.001"))
+    plan = landing.rows([*days(6, 8), None])._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(ts,2024-01-06T00:00), LessThan(ts,2024-01-09T00:00)" in plan
+
+
+def test_layout_shuffle_is_narrow_and_single(spark, store):
+    """Ahead of a broadcast join the rows are shuffled once, without keys and stamps."""
+    from daymend.operators.conform import conform_stores, fact_rows, measured, with_keys
+    from daymend.operators.transform import transform_sales
+    from daymend.operators.write import lay_out_by_day
+    from daymend.queries.fixtures import events_between
+    from daymend.operators.stage import stage_sales
+    rows = stage_sales(events_between(spark, "/root/testdata/sf0.001")(None, None)).drop("source_file")
+    dim = measured(conform_stores(master(spark).withColumn("store_id", F.lit(1).cast("bigint"))), "store_id")
+    fact = fact_rows(with_keys(transform_sales(lay_out_by_day(rows)), dim.frame))
+    plan = fact._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "REBALANCE_PARTITIONS_BY_COL" in plan
+    below = plan[plan.index("REBALANCE_PARTITIONS_BY_COL"):]
+    assert "md5" not in below.split("BroadcastExchange")[0]
