@@ -82,16 +82,24 @@ def replace_days(store: TableStore, name: str, batch: DataFrame, days: Iterable[
     return [s[0] for s in written]
 
 
-def upsert_by_key(store: TableStore, name: str, batch: DataFrame, keys: Sequence[str]) -> list[Spec]:
+def upsert_by_key(store: TableStore, name: str, batch: DataFrame, keys: Sequence[str],
+                  stage: bool = True) -> list[Spec]:
     """Delete target rows whose key is in the batch, insert the batch; return partitions touched.
 
     A key may sit in another partition than its new row, so the partitions to rewrite are those
     of the batch plus those of the matching target rows. The search reads the key columns
     only, cut down by the batch's key range. Duplicate keys inside the batch are all
     inserted; NULL keys match nothing.
+
+    The batch is used several times, so it is written aside first; ``stage=False`` spares that for a batch
+    that already is a plain table scan.
     """
     columns = store.partition_columns(name)
     target = store.read(name)
+    aside = f"stage_{name}"
+    if stage:
+        overwrite_table(store, aside, batch.select(*target.columns), columns)
+        batch = store.read(aside)
     span = batch.agg(F.min(keys[0]).alias("lo"), F.max(keys[0]).alias("hi"),
                      F.collect_set(F.struct(*columns)).alias("parts")).first()
     batch_keys = batch.select(*keys).distinct()
@@ -100,13 +108,14 @@ def upsert_by_key(store: TableStore, name: str, batch: DataFrame, keys: Sequence
         near = target.where(F.col(keys[0]).between(F.lit(span.lo), F.lit(span.hi)))
         hits = near.select(*keys, *columns).join(batch_keys, list(keys), "left_semi")
         touched |= {tuple(r) for r in hits.select(*columns).distinct().collect()}
-    if not touched:
-        return []
-    firsts = {s[0] for s in touched}
-    existing = {s for s in store.partitions(name) if s[0] in firsts}
-    kept = target.where(in_days(F.col(columns[0]), firsts)).join(batch_keys, list(keys), "left_anti")
-    merged = kept.select(*store.columns(name)).unionByName(batch.select(*store.columns(name)))
-    replace_partitions(store, name, merged, existing)
+    if touched:
+        firsts = {s[0] for s in touched}
+        existing = {s for s in store.partitions(name) if s[0] in firsts}
+        kept = target.where(in_days(F.col(columns[0]), firsts)).join(batch_keys, list(keys), "left_anti")
+        merged = kept.select(*target.columns).unionByName(batch.select(*target.columns))
+        replace_partitions(store, name, merged, existing)
+    if stage:
+        clear_table(store, aside)
     return sorted(touched, key=str)
 
 

@@ -25,7 +25,7 @@ from daymend.operators.marts import daily_sales
 from daymend.operators.stage import stage_stores
 from daymend.operators.transform import transform_sales
 from daymend.operators.write import (
-    clear_table, in_days, lay_out_by_day, overwrite_table, replace_days,
+    clear_table, in_days, lay_out_by_day, overwrite_table, replace_days, upsert_by_key,
 )
 from daymend.plans import ledger
 from daymend.schema import AUDIT, CHANNELS, CHECK_RESULTS, DAY_LEDGER, FILE_LEDGER, RUN_LEDGER, TOTAL
@@ -90,19 +90,22 @@ class SalesFlow:
     ``publish_on_red``: publish a red batch all the same and only report it.
     ``unique_across_days``: look for the batch's sale ids in the other days too. That reads one column
     of the other partitions, cut down by the batch's id range.
+    ``by_key``: write by sale id instead of by day. A sale that left its file then stays in the fact, and one
+    that moved to another day leaves the old one.
     ``refresh_dimension``: rebuild the dimension from the master list in every action, not only when missing.
     """
 
     def __init__(self, store: TableStore, landing: Landing, stores: DataFrame, *,
                  channels: Sequence[str] = CHANNELS, gate: bool = True, publish_on_red: bool = False,
-                 unique_across_days: bool = True, refresh_dimension: bool = True):
+                 unique_across_days: bool = True, by_key: bool = False, refresh_dimension: bool = True):
         self.store = store
         self.landing = landing
         self.stores = stores
         self.suite = dq.sale_suite(channels)
         self.gate = gate
         self.publish_on_red = publish_on_red
-        self.unique_across_days = unique_across_days
+        self.unique_across_days = unique_across_days and not by_key
+        self.by_key = by_key
         self.refresh_dimension = refresh_dimension
         store.create("day_ledger", DAY_LEDGER)
         store.create("file_ledger", FILE_LEDGER)
@@ -245,16 +248,22 @@ class SalesFlow:
             self._close(report)
             raise ChecksFailed(report)
 
-        written = replace_days(self.store, FACT, fact_rows(keyed, run_ts), days, rebalance=False)
+        written = self._publish(fact_rows(keyed.where(wanted), run_ts), days)
         report.touched = len(written)
         clear_table(self.store, STAGE)
         self._ensure_mart()
         report.formula, report.published = formula, True
         self._log_days(report, formula, days, totals, run_ts)
+        self._log_moved(report.seq, set(written) - set(days))
         ledger.append(self.store, "file_ledger", FILE_LEDGER, [(report.seq, n) for n in files])
         report.outcome = f"{report.touched} partitions rebuilt"
         return self._close(report, audit=True, dim_rows=dim.rows)
 
+    def _publish(self, fact: DataFrame, days: Sequence[date | None]) -> list[date | None]:
+        if self.by_key and self.store.exists(FACT):
+            return [s[0] for s in upsert_by_key(self.store, FACT, fact, ["sale_id"])]
+        return replace_days(self.store, FACT, fact, days, rebalance=False)
+
     def _dimension(self, run_ts: datetime) -> DataFrame:
         if self.refresh_dimension or not self.store.exists(DIM):
             dim = conform_stores(stage_stores(self.stores), run_ts)
@@ -320,12 +329,15 @@ class SalesFlow:
             if check not in red and self.store.spark.catalog.tableExists(self.store.ident(table)):
                 clear_table(self.store, table)
 
+    def _published(self, days: Iterable[date | None]) -> dict:
+        """What the partitions of the given days really hold."""
+        rows = self.store.read(FACT).where(in_days(F.col("sale_date"), days)).groupBy("sale_date") \
+            .agg(F.count("*").alias("n"), F.sum("net_amount").cast(TOTAL).alias("net"))
+        return {r.sale_date: r for r in rows.collect()}
+
     def _log_days(self, report: RunReport, formula: str, days, totals, run_ts: datetime) -> None:
-        """One ledger row per day, with what the published partition really holds. A day without
-        rows is logged with zeros, which takes it off the status."""
-        published = {r.sale_date: r for r in self.store.read(FACT)
-                     .where(in_days(F.col("sale_date"), days)).groupBy("sale_date")
-                     .agg(F.count("*").alias("n"), F.sum("net_amount").cast(TOTAL).alias("net")).collect()}
+        """One ledger row per day. A day without rows is logged with zeros, which takes it off the status."""
+        published = self._published(days)
         built = {r.sale_date: r for r in totals}
         rows = []
         for day in days:
@@ -336,6 +348,19 @@ class SalesFlow:
                          formula, run_ts))
         ledger.append(self.store, "day_ledger", DAY_LEDGER, rows)
 
+    def _log_moved(self, seq: int, days: set) -> None:
+        """Days that only lost rows to an upsert keep their status and get their new fact counts."""
+        if not days:
+            return
+        published = self._published(days)
+        rows = []
+        for last in ledger.current_days(self.store).where(in_days(F.col("sale_date"), days)).collect():
+            fact = published.get(last.sale_date)
+            rows.append((seq, last.action, last.sale_date, last.row_count, fact.n if fact else 0,
+                         fact.net if fact else None, last.gross_total, last.net_total, last.formula,
+                         last.built_at))
+        ledger.append(self.store, "day_ledger", DAY_LEDGER, rows)
+
     def _ensure_mart(self) -> None:
         if not self.store.spark.catalog.tableExists(self.store.ident("dm_daily_sales")):
             self.store.create_view("dm_daily_sales", _MART_VIEW.format(fact_sale=self.store.ident(FACT)))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 from datetime import date
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -143,6 +144,7 @@ class TableStore:
 def _parse(column: str, text: str):
     if text == _NULL_PARTITION:
         return None
+    text = unquote(text)  # partition names are path-escaped
     return date.fromisoformat(text) if PARTITION_TYPES.get(column) == T.DateType() else text
 
 

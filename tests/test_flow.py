@@ -259,3 +259,31 @@ def test_layout_shuffle_is_narrow_and_single(spark, store):
     assert plan.count("Exchange hashpartitioning") == 1 and "REBALANCE_PARTITIONS_BY_COL" in plan
     below = plan[plan.index("REBALANCE_PARTITIONS_BY_COL"):]
     assert "md5" not in below.split("BroadcastExchange")[0]
+
+
+def test_by_key_keeps_lost_sales_and_follows_moved_ones(spark, store, folder):
+    golden_folder(folder, 2)
+    flow = flow_over(spark, store, folder, by_key=True)
+    flow.load_next()
+    rows = golden_day(2)
+    moved = golden_day(1)[0]
+    rows.append([moved[0], moved[1], "2026-07-02", *moved[3:]])
+    write_csv(folder, "2026-07-02", rows)
+    report = flow.load_next()
+    assert report.failed == 0 and store.read("fact_sale").count() == 50
+    counts = {str(r.sale_date): (r.row_count, r.fact_rows) for r in ledger.current_days(store).collect()}
+    assert counts == {"2026-07-01": (22, 21), "2026-07-02": (29, 29)}
+    write_csv(folder, "2026-07-02", rows[:5])
+    flow.load_files(["2026-07-02"])
+    assert store.read("fact_sale").count() == 50
+    assert ledger.partition_status(store).where("sale_date = '2026-07-02'").first().row_count == 5
+
+
+def test_odd_file_names(spark, store, folder):
+    write_csv(folder, "a b%1#x", golden_day(1))
+    flow = flow_over(spark, store, folder)
+    flow.load_next()
+    write_csv(folder, "a b%1#x", golden_day(1)[:-1])
+    flow.load_files(["a b%1#x"])
+    assert store.read("fact_sale").count() == 21
+    assert store.partitions("incoming_sale") == [(d("2026-07-01"), "a b%1#x")]
