@@ -60,7 +60,7 @@ def main() -> None:
     spark = build_session("bench", master=f"local[{cpus}]", **{
         "spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "16g"})
     spark.sparkContext.setLogLevel("ERROR")
-    for warm in ("fact_sale", "backfill_partial"):
+    for warm in ("fact_sale", "backfill_partial", "check_failures_union", "landing_union"):
         QUERIES[warm](spark, "/root/testdata/sf0.001").collect()
     times = {name: timed(lambda: QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save())
              for name in HEADLINE}

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from daymend.functions.measures import CORRECT, net_amount_when
 from daymend.operators import checks as dq
 from daymend.operators.conform import (
-    conform_stores, day_totals, fact_rows, known_store, measured, with_keys,
+    Dimension, conform_stores, day_totals, fact_rows, known_store, measured, with_keys,
 )
 from daymend.operators.marts import daily_sales
 from daymend.operators.stage import stage_stores
@@ -28,7 +28,7 @@ from daymend.operators.write import (
     clear_table, in_days, lay_out_by_day, overwrite_table, replace_days, upsert_by_key,
 )
 from daymend.plans import ledger
-from daymend.schema import AUDIT, CHANNELS, CHECK_RESULTS, DAY_LEDGER, FILE_LEDGER, RUN_LEDGER, TOTAL
+from daymend.schema import AUDIT, CHANNELS, CHECK_RESULTS, DAY_LEDGER, RUN_LEDGER, TOTAL
 from daymend.sources.landing import Landing
 from daymend.sources.local import local_frame
 from daymend.sources.tables import TableStore
@@ -66,6 +66,7 @@ class RunReport:
     action: str
     formula: str
     days: list = field(default_factory=list)
+    files: list = field(default_factory=list)
     touched: int = 0
     passed: int = 0
     failed: int = 0
@@ -107,8 +108,8 @@ class SalesFlow:
         self.unique_across_days = unique_across_days and not by_key
         self.by_key = by_key
         self.refresh_dimension = refresh_dimension
+        self._measured: Dimension | None = None
         store.create("day_ledger", DAY_LEDGER)
-        store.create("file_ledger", FILE_LEDGER)
         store.create("run_ledger", RUN_LEDGER)
         store.create(AUDIT_TABLE, AUDIT)
         store.create("check_results", CHECK_RESULTS)
@@ -178,10 +179,10 @@ class SalesFlow:
     def reset(self) -> RunReport:
         """Empty fact, landing and ledgers; the audit log stays."""
         report = self._report("reset")
-        for table in ("day_ledger", "file_ledger", "run_ledger", "check_results", FACT):
+        for table in ("day_ledger", "run_ledger", "check_results", FACT):
             clear_table(self.store, table)
         self.landing.reset()
-        dim_rows = self._dimension(_now()).count()
+        dim_rows = self._dimension(_now()).rows
         report.formula, report.published = CORRECT, True
         report.message, report.outcome = "queue cleared", "fact table emptied"
         return self._close(report, audit=True, dim_rows=dim_rows)
@@ -212,7 +213,7 @@ class SalesFlow:
     def _build(self, report: RunReport, days: Sequence[date | None], formula: str,
                files: Sequence[str] = ()) -> RunReport:
         run_ts = _now()
-        dim = measured(self._dimension(run_ts), "store_id")
+        dim = self._dimension(run_ts)
         report.days = list(days)
         aligned = dim.small and self.landing.laid_out_by_day
         landed = self.landing.rows([*days, None] if self.gate and None not in days else days) \
@@ -255,7 +256,7 @@ class SalesFlow:
         report.formula, report.published = formula, True
         self._log_days(report, formula, days, totals, run_ts)
         self._log_moved(report.seq, set(written) - set(days))
-        ledger.append(self.store, "file_ledger", FILE_LEDGER, [(report.seq, n) for n in files])
+        report.files = list(files)
         report.outcome = f"{report.touched} partitions rebuilt"
         return self._close(report, audit=True, dim_rows=dim.rows)
 
@@ -264,11 +265,14 @@ class SalesFlow:
             return [s[0] for s in upsert_by_key(self.store, FACT, fact, ["sale_id"])]
         return replace_days(self.store, FACT, fact, days, rebalance=False)
 
-    def _dimension(self, run_ts: datetime) -> DataFrame:
+    def _dimension(self, run_ts: datetime) -> Dimension:
+        """The measured store dimension, rebuilt from the master list if that is due."""
         if self.refresh_dimension or not self.store.exists(DIM):
-            dim = conform_stores(stage_stores(self.stores), run_ts)
-            overwrite_table(self.store, DIM, dim)
-        return self.store.read(DIM)
+            overwrite_table(self.store, DIM, conform_stores(stage_stores(self.stores), run_ts))
+            self._measured = None
+        if self._measured is None:
+            self._measured = measured(self.store.read(DIM), "store_id")
+        return self._measured
 
     def _stage(self, keyed: DataFrame) -> DataFrame:
         """Write the batch once, laid out by day, for the checks and the publishing to read.
@@ -385,7 +389,7 @@ class SalesFlow:
         ledger.append(self.store, "run_ledger", RUN_LEDGER, [(
             report.seq, run_id, report.action, report.formula, min(dated, default=None),
             max(dated, default=None), report.touched, report.passed, report.failed, report.published,
-            report.message, report.outcome, finished)])
+            report.files, report.message, report.outcome, finished)])
         return report
 
 

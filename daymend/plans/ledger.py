@@ -2,8 +2,8 @@
 
 ``day_ledger`` holds one row per build and day it touched. The latest row of a day says what the
 day holds now, so status, contaminated days and snapshots are views of it and cannot drift apart.
-``file_ledger`` names the files taken in, ``run_ledger`` holds one row per action. All of them grow with days
-and actions, never with sales.
+``run_ledger`` holds one row per action, with the files it took in; it is written last, so
+a file counts as loaded only once its rows are published. Both grow with days and actions, never with sales.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from daymend.functions.measures import CORRECT, days_inclusive, is_bugged
 from daymend.operators.write import append_rows
-from daymend.schema import DAY_LEDGER, FILE_LEDGER, RUN_LEDGER
+from daymend.schema import DAY_LEDGER, RUN_LEDGER
 from daymend.sources.local import local_frame
 from daymend.sources.tables import TableStore
 
@@ -36,7 +36,7 @@ def run_ledger(store: TableStore) -> DataFrame:
 
 
 def loaded_files(store: TableStore) -> DataFrame:
-    return store.read_or_empty("file_ledger", FILE_LEDGER).select("source_file").distinct()
+    return run_ledger(store).where("published").select(F.explode("files").alias("source_file")).distinct()
 
 
 def pending_files(arrived: DataFrame, store: TableStore) -> DataFrame:

@@ -35,11 +35,6 @@ DAY_LEDGER = T.StructType([
     T.StructField("built_at", T.TimestampType()),
 ])
 
-FILE_LEDGER = T.StructType([
-    T.StructField("seq", T.LongType()),
-    T.StructField("source_file", T.StringType()),
-])
-
 RUN_LEDGER = T.StructType([
     T.StructField("seq", T.LongType()),
     T.StructField("run_id", T.StringType()),
@@ -51,6 +46,7 @@ RUN_LEDGER = T.StructType([
     T.StructField("passed", T.LongType()),
     T.StructField("failed", T.LongType()),
     T.StructField("published", T.BooleanType()),
+    T.StructField("files", T.ArrayType(T.StringType())),
     T.StructField("message", T.StringType()),
     T.StructField("outcome", T.StringType()),
     T.StructField("finished_at", T.TimestampType()),

@@ -15,6 +15,7 @@ _ARROW = {
     T.BooleanType: pa.bool_(),
     T.TimestampType: pa.timestamp("us", "UTC"),
     T.DecimalType: pa.decimal128(38, 2),
+    T.ArrayType: pa.list_(pa.string()),
 }
 
 

@@ -30,6 +30,7 @@ class TableStore:
         self.spark = spark
         self.root = root.rstrip("/")
         self.database = database or re.sub(r"\W", "_", self.root.rsplit("/", 1)[-1])
+        self._known: set[str] = set()
         self._partition_columns: dict[str, list[str]] = {}
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}` LOCATION '{self.root}'")
 
@@ -40,9 +41,10 @@ class TableStore:
         return f"{self.root}/{name}"
 
     def exists(self, name: str) -> bool:
-        if self.spark.catalog.tableExists(self.ident(name)):
-            return True
-        return self._attach(name)
+        """Known to the catalog, or left in the folder by an earlier session and attached now."""
+        if name not in self._known and (self.spark.catalog.tableExists(self.ident(name)) or self._attach(name)):
+            self._known.add(name)
+        return name in self._known
 
     def create(self, name: str, schema: T.StructType, partition_by: Sequence[str] = ()) -> None:
         """Create if missing (opens what the folder already holds)."""
