@@ -9,12 +9,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date, timedelta
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daymend.functions.measures import NET_PLUS_TAX
-from daymend.plans.flow import SalesFlow
-from daymend.session import fresh_root
+from daymend.plans import ledger
+from daymend.plans.flow import FACT, SalesFlow
+from daymend.session import fresh_root, shared_dir
 from daymend.sources.landing import FrameLanding
 from daymend.sources.tables import TableStore
 
@@ -96,6 +98,47 @@ def mid_bug(spark: SparkSession, sf_dir: str, label: str, **options) -> SalesFlo
     return flow
 
 
+def five_loads(spark: SparkSession, sf_dir: str, label: str, **options) -> SalesFlow:
+    """All days in five loads of equal length."""
+    flow = events_flow(spark, sf_dir, label, **options)
+    step = N_DAYS // 5
+    for first in range(1, N_DAYS + 1, step):
+        flow.load_files(names(first, first + step - 1))
+    return flow
+
+
+_BUILT: dict[tuple, SalesFlow] = {}
+
+
+def shared(build: Callable[..., SalesFlow], spark: SparkSession, sf_dir: str, **options) -> SalesFlow:
+    """A state that report queries only read, built once per session and input.
+
+    Writing the whole fact again for every report would cost far more than the reports. The state
+    is built anew when the input files changed or its tables are no longer complete.
+    """
+    key = (build.__name__, sf_dir, spark.sparkContext.applicationId, shared_dir(spark),
+           _fingerprint(spark, sf_dir), str(sorted(options.items())))
+    if key not in _BUILT or not _complete(_BUILT[key]):
+        _BUILT[key] = build(spark, sf_dir, build.__name__, **options)
+    return _BUILT[key]
+
+
+def _fingerprint(spark: SparkSession, sf_dir: str) -> tuple:
+    """Number, size and newest time of the input files, from the listing alone."""
+    paths = [f"{sf_dir}/{t}.parquet" for t in ("events", "customer", "nation", "region")]
+    files = spark.read.format("binaryFile").load(paths)
+    return tuple(files.agg(F.count("*"), F.sum("length"), F.max("modificationTime")).first())
+
+
+def _complete(flow: SalesFlow) -> bool:
+    """The fact still holds what the ledger says; counting reads Parquet footers only."""
+    try:
+        logged = ledger.current_days(flow.store).agg(F.sum("fact_rows").alias("n")).first().n
+        return logged is not None and flow.store.read(FACT).count() == logged
+    except PySparkException:
+        return False
+
+
 def write_drops(spark: SparkSession, sf_dir: str, folder: str, without_channel_after: int | None = None) -> None:
     """The stream as daily CSV drops. Odd and even days differ in column order and carry an extra
     column; on request late days lack the channel."""

@@ -12,7 +12,7 @@ from daymend.operators.transform import transform_sales
 from daymend.plans import audit, ledger, reports
 from daymend.plans.flow import FACT
 from daymend.queries.fixtures import (
-    EVENT_TYPES, N_DAYS, events_flow, mid_bug, names, open_stores, store_master,
+    EVENT_TYPES, five_loads, mid_bug, open_stores, shared, store_master,
 )
 from daymend.queries.models import sales, stores
 from daymend.schema import EXPORT_TABLES
@@ -56,15 +56,15 @@ def check_relationships(spark, sf_dir):
 
 
 def check_net_exceeds_gross(spark, sf_dir):
-    flow = mid_bug(spark, sf_dir, "net")
+    flow = shared(mid_bug, spark, sf_dir)
     check = next(c for c in flow.suite if c.name == "net_never_exceeds_gross")
     return dq.failures(check, {"fact_sale": dq.Model(flow.store.read(FACT))})
 
 
 def check_results(spark, sf_dir):
     """The whole suite over all tables, with a closed list of channels that lacks one."""
-    flow = mid_bug(spark, sf_dir, "results", channels=KNOWN_CHANNELS)
-    return dq.evaluate(flow.suite, flow.table_models())
+    models = shared(mid_bug, spark, sf_dir).table_models()
+    return dq.evaluate(dq.sale_suite(KNOWN_CHANNELS), models)
 
 
 def check_tally(spark, sf_dir):
@@ -73,70 +73,62 @@ def check_tally(spark, sf_dir):
 
 def failed_checks(spark, sf_dir):
     """Red checks of the last build, as its gate recorded them."""
-    flow = mid_bug(spark, sf_dir, "red", gate=True, channels=KNOWN_CHANNELS)
+    flow = shared(mid_bug, spark, sf_dir, gate=True, channels=KNOWN_CHANNELS)
     return reports.failed_checks(flow.store)
 
 
 def check_failures_union(spark, sf_dir):
-    flow = mid_bug(spark, sf_dir, "failures", gate=True, channels=KNOWN_CHANNELS)
+    flow = shared(mid_bug, spark, sf_dir, gate=True, channels=KNOWN_CHANNELS)
     return dq.stored_failures(flow.store, flow.suite)
 
 
-def _five_loads(spark, sf_dir, label, **options):
-    flow = events_flow(spark, sf_dir, label, **options)
-    step = N_DAYS // 5
-    for first in range(1, N_DAYS + 1, step):
-        flow.load_files(names(first, first + step - 1))
-    return flow
-
-
 def row_count_audit(spark, sf_dir):
-    store = _five_loads(spark, sf_dir, "audit").store
+    store = shared(five_loads, spark, sf_dir, gate=True).store
     runs = ledger.run_ledger(store).select("seq", F.col("run_id").alias("invocation_id"))
     return audit.latest(store).join(runs, "invocation_id").select("seq", "model_name", "row_count")
 
 
 def audit_latest(spark, sf_dir):
-    store = _five_loads(spark, sf_dir, "newest").store
+    store = shared(five_loads, spark, sf_dir, gate=True).store
     return audit.latest(store, limit=8).select("model_name", "row_count")
 
 
 def run_history(spark, sf_dir):
-    store = _five_loads(spark, sf_dir, "history", gate=True).store
+    store = shared(five_loads, spark, sf_dir, gate=True).store
     return reports.run_history(store, limit=3).select(
         "seq", "action", "start_date", "end_date", "touched", "passed", "failed", "published",
         "message", "outcome")
 
 
 def partition_status(spark, sf_dir):
-    flow = mid_bug(spark, sf_dir, "status")
+    flow = shared(mid_bug, spark, sf_dir)
     return flow.store.read("dim_partition_status").drop("last_built_at", "dbt_run_timestamp")
 
 
 def dm_daily_sales_flagged(spark, sf_dir):
-    return daily_sales_flagged(mid_bug(spark, sf_dir, "flagged").store.read(FACT)).drop("net_ratio")
+    return daily_sales_flagged(shared(mid_bug, spark, sf_dir).store.read(FACT)).drop("net_ratio")
 
 
 def net_ratio(spark, sf_dir):
-    mart = daily_sales_flagged(mid_bug(spark, sf_dir, "ratio").store.read(FACT))
+    mart = daily_sales_flagged(shared(mid_bug, spark, sf_dir).store.read(FACT))
     return mart.select("sale_date", F.round("net_ratio", 6).alias("net_ratio"))
 
 
 def bugged_partitions(spark, sf_dir):
-    return reports.bugged_partitions(mid_bug(spark, sf_dir, "bugged").store) \
+    return reports.bugged_partitions(shared(mid_bug, spark, sf_dir).store) \
         .select("sale_date", "row_count", "gross_total", "net_total")
 
 
 def summary(spark, sf_dir):
-    return reports.summary(mid_bug(spark, sf_dir, "summary"))
+    return reports.summary(shared(mid_bug, spark, sf_dir))
 
 
 def daily_reconciliation(spark, sf_dir):
-    return reports.daily_reconciliation(mid_bug(spark, sf_dir, "series"))
+    return reports.daily_reconciliation(shared(mid_bug, spark, sf_dir))
 
 
 def affected_days(spark, sf_dir):
-    return reports.affected_days(reports.daily_reconciliation(mid_bug(spark, sf_dir, "affected"))) \
+    return reports.affected_days(reports.daily_reconciliation(shared(mid_bug, spark, sf_dir))) \
         .select("sale_date", "correct", "bugged", "current")
 
 
@@ -146,32 +138,32 @@ def net_delta(spark, sf_dir):
 
 
 def pending_partitions(spark, sf_dir):
-    return mid_bug(spark, sf_dir, "pending").pending()
+    return shared(mid_bug, spark, sf_dir).pending()
 
 
 def next_pending(spark, sf_dir):
-    flow = mid_bug(spark, sf_dir, "queue")
+    flow = shared(mid_bug, spark, sf_dir)
     return ledger.next_file(flow.landing.arrived(), flow.store)
 
 
 def next_preview(spark, sf_dir):
-    return mid_bug(spark, sf_dir, "preview").next_preview()
+    return shared(mid_bug, spark, sf_dir).next_preview()
 
 
 def backfill_range(spark, sf_dir):
-    return ledger.backfill_range(mid_bug(spark, sf_dir, "span").store)
+    return ledger.backfill_range(shared(mid_bug, spark, sf_dir).store)
 
 
 def touched_partitions(spark, sf_dir):
-    return ledger.touched_partitions(ledger.backfill_range(mid_bug(spark, sf_dir, "touched").store))
+    return ledger.touched_partitions(ledger.backfill_range(shared(mid_bug, spark, sf_dir).store))
 
 
 def bug_snapshot(spark, sf_dir):
-    return ledger.snapshots(mid_bug(spark, sf_dir, "snapshot").store)
+    return ledger.snapshots(shared(mid_bug, spark, sf_dir).store)
 
 
 def table_row_counts(spark, sf_dir):
-    return mid_bug(spark, sf_dir, "counts").store.row_counts(EXPORT_TABLES)
+    return shared(mid_bug, spark, sf_dir).store.row_counts(EXPORT_TABLES)
 
 
 QUERIES = {f.__name__: f for f in (

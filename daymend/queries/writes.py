@@ -13,7 +13,8 @@ from daymend.operators.write import upsert_by_key as upsert
 from daymend.plans import ledger
 from daymend.plans.flow import FACT
 from daymend.queries.fixtures import (
-    N_DAYS, day, days, events_between, events_flow, mid_bug, names, new_store, store_master, write_drops,
+    N_DAYS, day, days, events_between, events_flow, mid_bug, names, new_store, shared, store_master,
+    write_drops,
 )
 from daymend.queries.models import sales, shown, stores
 from daymend.schema import EXPORT_TABLES, MONEY
@@ -163,7 +164,7 @@ def stream_ingest_daily(spark, sf_dir):
 
 
 def ledger_load(spark, sf_dir):
-    flow = mid_bug(spark, sf_dir, "loaded")
+    flow = shared(mid_bug, spark, sf_dir)
     built = ledger.current_days(flow.store).select(
         F.col("sale_date").cast("string").alias("source_file"), "formula")
     return ledger.loaded_files(flow.store).join(built, "source_file", "left")

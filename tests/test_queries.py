@@ -27,3 +27,13 @@ def test_entry(spark):
     frame = entry_point.entry(spark)
     assert frame.columns == ["sale_date", "orders", "gross_total", "tax_total", "net_total"]
     assert frame.count() == 30
+
+
+def test_shared_state_is_rebuilt_when_it_lost_rows(spark):
+    from daymend.operators.write import clear_table
+    from daymend.plans.flow import FACT
+    from daymend.queries.fixtures import mid_bug, shared
+    first = shared(mid_bug, spark, SF)
+    assert shared(mid_bug, spark, SF) is first
+    clear_table(first.store, FACT)
+    assert shared(mid_bug, spark, SF) is not first
