@@ -139,7 +139,7 @@ class SalesFlow:
         if not rebuild:
             report.formula, report.outcome = formula, "0 partitions rebuilt"
             return self._close(report)
-        return self._build(report, self._all_days(), formula)
+        return self._build(report, self._all_days(), formula, in_force=formula)
 
     def fix_and_backfill(self, start: date | None = None, end: date | None = None,
                          contiguous: bool = False) -> RunReport:
@@ -164,11 +164,12 @@ class SalesFlow:
             return self._close(report)
         dated = [d for d in days if d is not None]
         report.message = f"backfill {min(dated)} to {max(dated)}" if dated else "backfill of undated rows"
-        return self._build(report, days, CORRECT)
+        return self._build(report, days, CORRECT, in_force=CORRECT)
 
     def replay(self, days: Iterable[date], formula: str | None = None,
                action: str = "fix_and_backfill") -> RunReport | None:
-        """Rebuild exactly these days. No days, no change."""
+        """Rebuild exactly these days, with the formula in force or another one for this build only.
+        No days, no change."""
         wanted = list(days)
         if not wanted:
             return None
@@ -211,7 +212,11 @@ class SalesFlow:
     # -- the build ---------------------------------------------------------------------------
 
     def _build(self, report: RunReport, days: Sequence[date | None], formula: str,
-               files: Sequence[str] = ()) -> RunReport:
+               files: Sequence[str] = (), in_force: str | None = None) -> RunReport:
+        if not days:
+            report.formula, report.published, report.files = in_force or report.formula, True, list(files)
+            report.outcome = "0 partitions rebuilt"
+            return self._close(report)
         run_ts = _now()
         dim = self._dimension(run_ts)
         report.days = list(days)
@@ -253,7 +258,7 @@ class SalesFlow:
         report.touched = len(written)
         clear_table(self.store, STAGE)
         self._ensure_mart()
-        report.formula, report.published = formula, True
+        report.formula, report.published = in_force or report.formula, True
         self._log_days(report, formula, days, totals, run_ts)
         self._log_moved(report.seq, set(written) - set(days))
         report.files = list(files)

@@ -287,3 +287,21 @@ def test_odd_file_names(spark, store, folder):
     flow.load_files(["a b%1#x"])
     assert store.read("fact_sale").count() == 21
     assert store.partitions("incoming_sale") == [(d("2026-07-01"), "a b%1#x")]
+
+
+def test_nothing_loaded_yet(spark, store, folder):
+    write_csv(folder, "2026-07-01", [])
+    flow = flow_over(spark, store, folder)
+    assert flow.switch_formula(NET_PLUS_TAX).touched == 0
+    assert ledger.position(store) == (1, NET_PLUS_TAX)
+    assert flow.fix_and_backfill().outcome == "0 partitions rebuilt"
+    assert flow.load_next().touched == 0 and flow.pending().count() == 0
+    assert flow.reset().published and flow.pending().count() == 1
+
+
+def test_replay_with_another_formula_changes_only_its_days(spark, store, folder):
+    flow = flow_over(spark, store, golden_folder(folder, 2), gate=False)
+    flow.load_files(["2026-07-01", "2026-07-02"])
+    flow.replay([d("2026-07-02")], NET_PLUS_TAX)
+    assert ledger.position(store)[1] == CORRECT
+    assert [str(r.sale_date) for r in ledger.contaminated_days(store).collect()] == ["2026-07-02"]
