@@ -305,3 +305,10 @@ def test_replay_with_another_formula_changes_only_its_days(spark, store, folder)
     flow.replay([d("2026-07-02")], NET_PLUS_TAX)
     assert ledger.position(store)[1] == CORRECT
     assert [str(r.sale_date) for r in ledger.contaminated_days(store).collect()] == ["2026-07-02"]
+
+
+def test_audit_of_any_relation(spark, store):
+    audit.record(store, "numbers", spark.range(7), "run-a")
+    audit.record(store, "numbers", spark.range(9), "run-b")
+    assert [(r.model_name, r.row_count, r.invocation_id) for r in audit.latest(store, 1).collect()] == [
+        ("numbers", 9, "run-b")]

@@ -21,6 +21,19 @@ def test_every_query_has_a_twin():
 def test_query(spark, con, name):
     frame = entry_point.queries()[name](spark, SF)
     assert differences(frame, con, entry_point.oracle_sql()[name]) == ""
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert not [bad for bad in ("CartesianProduct", "NestedLoopJoin", "Python") if bad in plan]
+
+
+def test_sample_is_a_top_k(spark):
+    plan = entry_point.queries()["model_sample"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan
+
+
+def test_mart_reads_three_columns(spark):
+    frame = entry_point.queries()["backfill_partial_mart"](spark, SF)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<gross_amount:decimal(10,2),tax_amount:decimal(10,2),net_amount:decimal(11,2)>" in plan
 
 
 def test_entry(spark):
