@@ -4,6 +4,8 @@ import pytest
 
 import __spark_entry__ as entry_point
 from compare import differences, duck
+from daymend.queries.oracles import ORACLES
+from daymend.queries.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -14,10 +16,11 @@ def con():
 
 
 def test_every_query_has_a_twin():
-    assert set(entry_point.queries()) == set(entry_point.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_point.queries()) and set(ORACLES) <= set(entry_point.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     frame = entry_point.queries()[name](spark, SF)
     assert differences(frame, con, entry_point.oracle_sql()[name]) == ""
