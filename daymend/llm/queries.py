@@ -7,18 +7,46 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from daymend.llm import packing, token_counts
+from pyspark.sql import functions as F
+
+from daymend.llm import chat, decontamination, language_id, packing, suffix_dedup, token_counts, toxicity
 from daymend.llm.frames import read
 
 
+def op2_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminations(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(read(spark, sf_dir, "documents"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")).drop("text")
+
+
+def op7_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    own = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)],
+                                "conv_id long, turn long, role string, text string")
+    turns = read(spark, sf_dir, "conversations").select(*own.columns)
+    return chat.digests(chat.examples(turns.union(own)))
+
+
+def op8_hyperdimensional_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.language_id(read(spark, sf_dir, "documents"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_best_fit_packing, op9_token_counts)}
+    f.__name__: f for f in (
+        op2_string_tiling, op4_suffix_array_dedup, op5_best_fit_packing, op6_toxicity, op7_prefix_targets,
+        op8_hyperdimensional_language, op9_token_counts)}
 ORACLES: dict[str, str] = {}
