@@ -6,10 +6,18 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-
 from pyspark.sql import functions as F
 
-from daymend.llm import chat, decontamination, language_id, packing, suffix_dedup, token_counts, toxicity
+from daymend.llm import (
+    chat,
+    decontamination,
+    language_id,
+    packing,
+    set_join,
+    suffix_dedup,
+    token_counts,
+    toxicity,
+)
 from daymend.llm.frames import read
 
 
@@ -45,8 +53,12 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op10_count_vector_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return set_join.set_join(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op2_string_tiling, op4_suffix_array_dedup, op5_best_fit_packing, op6_toxicity, op7_prefix_targets,
-        op8_hyperdimensional_language, op9_token_counts)}
+        op8_hyperdimensional_language, op9_token_counts, op10_count_vector_join)}
 ORACLES: dict[str, str] = {}
