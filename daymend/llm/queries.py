@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daymend.llm import (
+    cap_filters,
     chat,
     decontamination,
     language_id,
@@ -21,6 +22,10 @@ from daymend.llm import (
 from daymend.llm.frames import read
 
 
+def op1_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cap_filters.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
 def op2_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminations(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -59,6 +64,6 @@ def op10_count_vector_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op2_string_tiling, op4_suffix_array_dedup, op5_best_fit_packing, op6_toxicity, op7_prefix_targets,
+        op1_cap_filters, op2_string_tiling, op4_suffix_array_dedup, op5_best_fit_packing, op6_toxicity, op7_prefix_targets,
         op8_hyperdimensional_language, op9_token_counts, op10_count_vector_join)}
 ORACLES: dict[str, str] = {}
