@@ -14,6 +14,7 @@ from daymend.llm import (
     decontamination,
     language_id,
     packing,
+    quality,
     set_join,
     suffix_dedup,
     token_counts,
@@ -30,6 +31,10 @@ def op2_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminations(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op3_kneser_ney_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digests(read(spark, sf_dir, "documents"))
 
@@ -64,6 +69,6 @@ def op10_count_vector_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_cap_filters, op2_string_tiling, op4_suffix_array_dedup, op5_best_fit_packing, op6_toxicity, op7_prefix_targets,
+        op1_cap_filters, op2_string_tiling, op3_kneser_ney_quality, op4_suffix_array_dedup, op5_best_fit_packing, op6_toxicity, op7_prefix_targets,
         op8_hyperdimensional_language, op9_token_counts, op10_count_vector_join)}
 ORACLES: dict[str, str] = {}

@@ -239,9 +239,17 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
     return docs.mapInArrow(scored, f"{schema}, score double, predicted int")
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5, held_fold: int = 0, **options) -> DataFrame:
+def held_out(folds: int = 5, fold: int = 0):
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % folds == fold, F.lit(True))
+
+
+def learnable(labels: DataFrame, folds: int = 5, fold: int = 0) -> DataFrame:
+    """Labels of the rows that are not held out."""
+    return labels.where(~held_out(folds, fold))
+
+
+def toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0, **options) -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted, text; held-out rows are never learned from."""
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % folds == held_fold, F.lit(True))
-    model = learn(rows, labels.where(~held), **options)
-    return score(rows.select("doc_id", held.alias("held_out"), "text"), model)
+    model = learn(rows, learnable(labels, folds, fold), **options)
+    return score(rows.select("doc_id", held_out(folds, fold).alias("held_out"), "text"), model)
