@@ -408,10 +408,12 @@ def dedup_passages(docs: DataFrame) -> DataFrame:
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """``docs`` without repeated passages; what is left of a character that a cut has split goes too."""
-    out = dedup_passages(docs)
+    others = [x for x in docs.columns if x not in ("doc_id", "text")]
+    out = dedup_passages(docs.select("doc_id", "text", F.struct(F.lit(0).alias("_"), *others).alias("rest")))
     kept = F.col("kept").cast("string")
     text = F.when(F.col("n_removed") > 0, F.replace(F.make_valid_utf8(kept), F.lit("\ufffd"), F.lit(""))).otherwise(kept)
-    return out.select(*(text.alias("text") if x == "text" else F.col(x) for x in docs.columns))
+    return out.select(*(text.alias(x) if x == "text" else F.col(x) if x == "doc_id" else F.col("rest")[x].alias(x)
+                        for x in docs.columns))
 
 
 def digests(docs: DataFrame) -> DataFrame:

@@ -158,7 +158,7 @@ def learn(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, n_features
     share = {k: min(1.0, max_rows / 2 / v) for k, v in n.items()}
     point = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
     sample = known.where(point < F.when(F.col("toxic") == 1, share[1]).otherwise(share[0]))
-    rows = stored(docs.join(F.broadcast(sample), "doc_id").select("toxic", text_or_empty().alias("text")), "toxic_sample")
+    rows = stored(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("toxic", text_or_empty().alias("text")), "toxic_sample")
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -239,6 +239,22 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
     return docs.mapInArrow(scored, f"{schema}, score double, predicted int")
 
 
+def accepted(docs: DataFrame, model: Model | None) -> DataFrame:
+    """The rows of ``docs`` that the model does not call toxic, all columns as they are."""
+    column = docs.columns.index("text")
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            text, offsets = T.buffers(batch.column(column).fill_null("").cast(pa.string()))
+            for lo, hi in T.blocks(offsets) if model else ():
+                value = model.scores(text[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
+                yield batch.slice(lo, hi - lo).filter(pa.array(value < 0.5))
+            if not model:
+                yield batch
+
+    return docs.mapInArrow(kept, docs.schema)
+
+
 def held_out(folds: int = 5, fold: int = 0):
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % folds == fold, F.lit(True))
 
