@@ -17,7 +17,7 @@ from daymend.llm.frames import read, stored
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject."""
     model = toxicity.learn(docs, toxicity.learnable(read(spark, sf_dir, "labels")))
-    return toxicity.score(docs, model).where("predicted = 0").select(*docs.columns)
+    return toxicity.accepted(docs, model)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
