@@ -12,10 +12,13 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def stored(frame: DataFrame, label: str) -> DataFrame:
-    """Write a frame to the shared folder and read it again: cuts the lineage and survives lost executors."""
+def stored(frame: DataFrame, label: str, files: int | None = None) -> DataFrame:
+    """Write a frame to the shared folder and read it again: cuts the lineage and survives lost executors.
+
+    ``files`` bounds their number where the rows are known to be few.
+    """
     path = f"{fresh_root(frame.sparkSession, label)}"
-    frame.write.parquet(path)
+    (frame.coalesce(files) if files else frame).write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
@@ -36,13 +39,13 @@ def components(edges: DataFrame, label: str = "components", max_rounds: int = 60
     """
     known = stored(
         edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), label)
-    last = None
+    files = 1 + known.count() // 100_000  # a round never has more edges than the one before
     for _ in range(max_rounds):
-        size = known.agg(F.count("*").alias("n"), F.sum(F.hash("a", "b").cast("decimal(38,0)")).alias("h"),
-                         F.sum(F.col("b").cast("decimal(38,0)")).alias("s")).first()
-        if not size["n"] or tuple(size) == last:
+        # done when every id hangs on one other that hangs on none
+        tops = known.select(F.col("b").alias("a")).distinct().withColumn("top", F.lit(1))
+        if known.groupBy("a").agg(F.count("*").alias("n")).join(tops, "a", "left").where(
+                "n > 1 or top is not null").isEmpty():
             break
-        last = tuple(size)
         both = known.union(known.select("b", "a"))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
         large = (both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("low").alias("b"))
@@ -50,9 +53,7 @@ def components(edges: DataFrame, label: str = "components", max_rounds: int = 60
         down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         low = down.groupBy("a").agg(F.min("b").alias("low"))
         small = down.join(low, "a").select(F.col("b").alias("a"), F.col("low").alias("b")).where("a <> b")
-        known = stored(small.union(low.select("a", F.col("low").alias("b"))).distinct(), label)
+        known = stored(small.union(low.select("a", F.col("low").alias("b"))).distinct(), label, files)
     else:
         raise RuntimeError("components did not settle")
-    roots = known.groupBy("a").agg(F.min("b").alias("component_id")).withColumnRenamed("a", "id")
-    return roots.union(known.select(F.col("b").alias("id"), F.col("b").alias("component_id")).distinct()
-                       .join(roots.select("id"), "id", "left_anti"))
+    return known.toDF("id", "component_id").union(known.select("b", "b").distinct())

@@ -12,15 +12,16 @@ dealt into cells on fine coordinate blocks, and a tree is built in each cell:
    so agree on each block with a probability of about one third. A document has up to ``BLOCKS`` blocks (small sets
    several independent rounds of them); that no block of a linked pair agrees has a probability below 1e-11.
    Documents with the same counts in a block share a cell.
-2. Equal sets are one class. In each cell the class with the smallest id stands for the others: every class is
-   compared with the one that stands for it most often, by bound and then by tokens. This joins most copies without
-   any pairs among them.
+2. Equal sets are one class. In each cell the class whose cells are the fullest stands for the others, which for
+   copies of one text is that text: every class is compared with the one that stands for it most often, by bound and
+   then by tokens. This joins most copies without any pairs among them.
 3. Cells whose classes are not all connected by then are searched by their R-trees: packed by size and leading
    coordinates, joined with themselves from the root, node pairs cut by the summed minima of their corners.
    Surviving pairs of different components are verified by tokens. Very full cells are searched chunk by chunk.
 4. Components of all verified links are the answer.
 
-Tokens travel only to the tasks that verify them, and a hot document goes once to each task. Nothing is capped.
+Tokens travel only to the tasks that verify them, at most twice for each pair; pairs are dealt by their second
+document, so one that very many are compared with is spread over all tasks. Nothing is capped.
 
 Cases: a null or empty text, or one of white space, has no shingles and links with nothing; with fewer than five
 words the whole sequence is the one shingle; equal ids are one document; rows with a null id get a null component;
@@ -33,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daymend.llm import textops as T
@@ -46,12 +47,12 @@ PERCENT = 80
 BLOCKS = 64
 #: Tokens of a block at the upper end of a level.
 PER_BLOCK = 5
-GROUPS, MORE_GROUPS, LARGE = 64, 256, 512
+GROUPS = 256
 FAN = 16
 #: Classes of a cell that one task searches.
 CELL = 2048
 #: Pairs that one task verifies, about.
-PAIRS = 1500
+PAIRS = 2000
 
 
 def _per_row_sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -60,14 +61,17 @@ def _per_row_sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def points(tokens: np.ndarray, bounds: np.ndarray) -> list[bytes]:
-    """Group counts of each set; a large set has finer groups, four of which make one of the others."""
+    """Group counts of each set."""
     n = np.diff(bounds)
     rows = np.repeat(np.arange(len(n)), n)
-    fine = np.bincount(rows * MORE_GROUPS + (tokens >> np.uint64(56)).astype(np.int64), minlength=len(n) * MORE_GROUPS)
-    fine = fine.reshape(len(n), MORE_GROUPS)
-    coarse = fine.reshape(len(n), GROUPS, -1).sum(axis=2)
-    return [(fine[k] if n[k] > LARGE else coarse[k]).astype("<u4" if n[k] > 65535 else "<u2").tobytes()
-            for k in range(len(n))]
+    counts = np.bincount(rows * GROUPS + (tokens >> np.uint64(56)).astype(np.int64), minlength=len(n) * GROUPS)
+    counts = counts.reshape(len(n), GROUPS)
+    return [counts[k].astype(_kind(n[k])).tobytes() for k in range(len(n))]
+
+
+def _kind(n: int) -> str:
+    """The smallest type that holds any count of a set of ``n`` tokens."""
+    return "<u1" if n < 1 << 8 else "<u2" if n < 1 << 16 else "<u4"
 
 
 def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,7 +150,7 @@ def tell_keys(buckets: int):
 
 
 def shared_cells(table: pa.Table) -> pa.Table:
-    """(key, doc) of the cells of a bucket that hold more than one document."""
+    """(key, doc, full) of the cells of a bucket that hold ``full`` documents, more than one."""
     told = [unpack(x) for x in table.column("body")]
     keys, docs = np.concatenate([x["key"] for x in told]), np.concatenate([x["doc"] for x in told])
     order = np.lexsort((docs, keys))
@@ -154,11 +158,12 @@ def shared_cells(table: pa.Table) -> pa.Table:
     new = np.ones(len(keys), bool)
     new[1:] = (keys[1:] != keys[:-1]) | (docs[1:] != docs[:-1])
     keys, docs = keys[new], docs[new]
-    pair = keys[1:] == keys[:-1]
-    several = np.zeros(len(keys), bool)
-    several[1:] |= pair
-    several[:-1] |= pair
-    return pa.table({"key": pa.array(keys[several].view(np.int64)), "doc": pa.array(docs[several])})
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    full = np.diff(np.append(first, len(keys)))
+    full = np.repeat(full, full)
+    several = full > 1
+    return pa.table({"key": pa.array(keys[several].view(np.int64)), "doc": pa.array(docs[several]),
+                     "full": pa.array(full[several].astype(np.int64))})
 
 
 def needed(total: np.ndarray) -> np.ndarray:
@@ -167,23 +172,16 @@ def needed(total: np.ndarray) -> np.ndarray:
 
 
 def _matrix(blobs: list[bytes], sizes: np.ndarray) -> np.ndarray:
-    """Points as rows of GROUPS counts."""
+    """Points as rows of counts."""
     out = np.empty((len(blobs), GROUPS), np.int32)
     for k, blob in enumerate(blobs):
-        point = np.frombuffer(blob, "<u4" if sizes[k] > 65535 else "<u2")
-        out[k] = point if len(point) == GROUPS else point.reshape(GROUPS, -1).sum(axis=1)
+        out[k] = np.frombuffer(blob, _kind(sizes[k]))
     return out
 
 
 def may_link(a: list[bytes], b: list[bytes], n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
-    """Does the sum of the smaller counts reach what a link needs? On fine groups where both sets have them."""
-    need = needed(n_a + n_b)
-    out = np.minimum(_matrix(a, n_a), _matrix(b, n_b)).sum(axis=1) >= need
-    for k in np.flatnonzero(out & (n_a > LARGE) & (n_b > LARGE)).tolist():
-        x = np.frombuffer(a[k], "<u4" if n_a[k] > 65535 else "<u2")
-        y = np.frombuffer(b[k], "<u4" if n_b[k] > 65535 else "<u2")
-        out[k] = np.minimum(x.astype(np.int64), y).sum() >= need[k]
-    return out
+    """Does the sum of the smaller counts reach what a link needs?"""
+    return np.minimum(_matrix(a, n_a), _matrix(b, n_b)).sum(axis=1) >= needed(n_a + n_b)
 
 
 class Tree:
@@ -214,8 +212,8 @@ class Tree:
             fine = (left < below) & (right < below) & ((left < right) if depth == 1 else (left <= right))
             left, right = left[fine], right[fine]
             corners, sizes = self.corners[depth - 1], self.sizes[depth - 1]
-            for k in range(0, len(left), 4096):
-                x, y = left[k : k + 4096], right[k : k + 4096]
+            for k in range(0, len(left), 2048):
+                x, y = left[k : k + 2048], right[k : k + 2048]
                 keep = np.minimum(corners[x], corners[y]).sum(axis=1) >= needed(sizes[x] + sizes[y])
                 if keep.any():
                     stack.append((depth - 1, x[keep], y[keep]))
@@ -281,16 +279,13 @@ def verify_pairs(pairs: pa.Table, sets: pa.Table) -> pa.Table:
 
 
 def verified(pairs: DataFrame, docs: DataFrame, parts: int) -> DataFrame:
-    """Links among distinct pairs (a, b): tasks of about PAIRS pairs, a hot document's pairs over several of them."""
+    """Links among distinct pairs (a, b), in tasks of about PAIRS pairs."""
     pairs = stored(pairs, "pairs")
     total = pairs.count()
     if not total:
         return pairs
     tasks = max(parts, -(-total // PAIRS))
-    load = pairs.groupBy("a").agg(F.ceil(F.count("*") / PAIRS).alias("shares"))
-    dealt = pairs.join(load, "a").select("a", "b", F.pmod(F.xxhash64(
-        "a", F.pmod(F.xxhash64("b"), F.col("shares"))), F.lit(tasks)).alias("task"))
-    dealt = stored(dealt, "dealt_pairs")
+    dealt = pairs.withColumn("task", F.pmod(F.xxhash64("b"), F.lit(tasks)))
     wanted = (dealt.select("task", F.col("a").alias("doc")).union(dealt.select("task", F.col("b").alias("doc"))).distinct()
               .withColumn("part", F.pmod(F.xxhash64("doc"), F.lit(parts)).cast("int")))
     sets = (deal(docs, parts).groupBy("part").cogroup(wanted.groupBy("part"))
@@ -310,15 +305,16 @@ def set_join(docs: DataFrame) -> DataFrame:
 
     filled = texts.where("doc_id is not null")
     cells = stored(filled.mapInArrow(tell_keys(parts), "bucket int, body binary")
-                   .groupBy("bucket").applyInArrow(shared_cells, "key long, doc long"), "cells")
-    members = (cells.join(own_class.where("doc_id <> id").select(F.col("doc_id").alias("doc"), "id"), "doc", "left")
-               .select("key", F.coalesce("id", "doc").alias("id")).distinct())
-    roots = members.groupBy("key").agg(F.min("id").alias("root"), F.count("*").alias("n"))
-    members = stored(members.join(roots.where("n > 1"), "key"), "members")
+                   .groupBy("bucket").applyInArrow(shared_cells, "key long, doc long, full long"), "cells")
+    of_doc = (cells.groupBy("doc").agg(F.sum("full").alias("weight"))
+              .join(own_class.select(F.col("doc_id").alias("doc"), "id"), "doc"))
+    members = cells.join(of_doc, "doc").groupBy("key", "id").agg(F.max("weight").alias("weight"))
+    roots = members.groupBy("key").agg(
+        F.max_by("id", F.struct("weight", -F.col("id"))).alias("root"), F.count("*").alias("n"))
+    members = stored(members.drop("weight").join(roots.where("n > 1"), "key"), "members")
 
     stands = members.where("id <> root").groupBy("id", "root").agg(F.count("*").alias("shared"))
-    best = Window.partitionBy("id").orderBy(F.col("shared").desc(), "root")
-    first = stands.withColumn("place", F.row_number().over(best)).where("place = 1")
+    first = stored(stands.groupBy("id").agg(F.max_by("root", F.struct("shared", -F.col("root"))).alias("root")), "stands")
     point = full.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "point").join(
         members.select("id").distinct(), "id")
     point = stored(point, "cell_points")
@@ -349,9 +345,9 @@ def set_join(docs: DataFrame) -> DataFrame:
                  "key", F.least("chunk", "other"), F.greatest("chunk", "other")).alias("cell"))
              .withColumn("task", F.pmod(F.xxhash64("cell"), F.lit(4 * parts))))
     pairs = (dealt.groupBy("task").applyInArrow(search_cells, "a long, b long").distinct()
-             .join(first.select(F.col("root").alias("a"), F.col("id").alias("b")), ["a", "b"], "left_anti"))
-    links = links.union(verified(pairs, texts, parts))
-    final = components(links)
+             .join(first.select(F.least("root", "id").alias("a"), F.greatest("root", "id").alias("b")), ["a", "b"], "left_anti"))
+    more = verified(pairs, texts, parts)
+    final = joined if more.isEmpty() else components(links.union(more))
     return (known.select("doc_id", "n_shingles", "digest").join(classes, ["n_shingles", "digest"], "left")
             .join(final, "id", "left")
             .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce(
