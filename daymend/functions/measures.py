@@ -22,9 +22,13 @@ def net_amount(formula: str = CORRECT) -> Column:
     return _FORMULAS[formula]()
 
 
-def net_amount_when(wrong: Column) -> Column:
-    """The net amount with the formula picked per row by a boolean column."""
-    return F.when(wrong, net_amount(NET_PLUS_TAX)).otherwise(net_amount(NET_MINUS_TAX))
+def net_amount_by(formula: Column) -> Column:
+    """The net amount with the formula picked per row by its name; an unknown name is an error."""
+    unknown = F.raise_error(F.concat(F.lit("unknown formula "), formula)).cast("decimal(11,2)")
+    picked = F.when(formula.isNull(), net_amount(CORRECT))
+    for name in _FORMULAS:
+        picked = picked.when(formula == name, net_amount(name))
+    return picked.otherwise(unknown)
 
 
 def is_bugged() -> Column:

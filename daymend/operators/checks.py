@@ -8,8 +8,8 @@ the ``scope`` of each model says which rows belong to it.
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -42,11 +42,14 @@ class Check:
 
 @dataclass
 class Model:
-    """Rows of a model: those of ``frame`` inside ``scope``, plus ``others`` for key checks."""
+    """Rows of a model: those of ``frame`` inside ``scope``.
+
+    ``others`` holds values from outside the frame that key and relationship checks count too, by columns.
+    """
 
     frame: DataFrame
     scope: Column | None = None
-    others: DataFrame | None = None
+    others: Mapping[tuple[str, ...], DataFrame] = field(default_factory=dict)
 
     def rows(self) -> DataFrame:
         return self.frame if self.scope is None else self.frame.where(self.scope)
@@ -108,8 +111,8 @@ def failures(check: Check, models: dict[str, Model]) -> DataFrame:
     first = check.columns[0]
     if check.kind in ("unique", "duplicates"):
         keys = rows.select(*check.columns)
-        if model.others is not None and set(check.columns) <= set(model.others.columns):
-            keys = keys.unionByName(model.others.select(*check.columns))
+        if check.columns in model.others:
+            keys = keys.unionByName(model.others[check.columns])
         if check.kind == "unique":
             keys = keys.dropna(how="any")
         return keys.groupBy(*check.columns).agg(F.count("*").alias("n")).where("n > 1")
@@ -120,6 +123,8 @@ def failures(check: Check, models: dict[str, Model]) -> DataFrame:
             .where(~F.col("value").isin(list(check.values)))
     if check.kind == "relationships":
         child = rows.where(F.col(first).isNotNull()).select(F.col(first).alias("from_key"))
+        if check.columns in model.others:
+            child = child.unionByName(model.others[check.columns].toDF("from_key"))
         parent = models[check.parent].rows().select(F.col(check.parent_column).alias("from_key"))
         return child.join(parent, "from_key", "left_anti")
     return rows.where(check.predicate).select(*check.columns)
@@ -190,8 +195,10 @@ def _inside(model: Model) -> Column:
 
 def _orphan_tally(check: Check, models: dict[str, Model]) -> DataFrame:
     """Child rows without a parent; counted per key before the join, so a hot key is one row."""
-    keys = models[check.model].rows().groupBy(F.col(check.columns[0]).alias("from_key")) \
-        .agg(F.count("*").alias("n")).where("from_key IS NOT NULL")
+    rows = models[check.model].rows().select(F.col(check.columns[0]).alias("from_key"))
+    if check.columns in models[check.model].others:
+        rows = rows.unionByName(models[check.model].others[check.columns].toDF("from_key"))
+    keys = rows.groupBy("from_key").agg(F.count("*").alias("n")).where("from_key IS NOT NULL")
     parent = models[check.parent].rows().select(F.col(check.parent_column).alias("from_key"))
     return keys.join(parent, "from_key", "left_anti").agg(F.sum("n").alias(check.name))
 
@@ -208,8 +215,8 @@ def _key_tallies(group: list[Check], models: dict[str, Model]) -> DataFrame:
     flags = {c.name: _inside(models[c.model]).alias(f"in_{c.name}") for c in group}
     keys = models[group[0].model].frame.select(*columns, *flags.values())
     for check in group:
-        others = models[check.model].others
-        if others is None or not set(columns) <= set(others.columns):
+        others = models[check.model].others.get(columns)
+        if others is None:
             continue
         keys = keys.unionByName(others.select(
             *columns, *[F.lit(c.name == check.name).alias(f"in_{c.name}") for c in group]))

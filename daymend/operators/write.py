@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 from daymend.sources.tables import Spec, TableStore
 
+_SWAP = "partition string"
+
 
 def lay_out_by_day(rows: DataFrame) -> DataFrame:
     """Shuffle rows by day ahead of a write. AQE gives a day with a large share of all rows to many
@@ -92,11 +94,13 @@ def upsert_by_key(store: TableStore, name: str, batch: DataFrame, keys: Sequence
     inserted; NULL keys match nothing.
 
     The batch is used several times, so it is written aside first; ``stage=False`` spares that for a batch
-    that already is a plain table scan.
+    that already is a plain table scan. The merged partitions are written aside as a whole before the table is
+    touched; a run that dies in the swap is finished by the next upsert, which starts with that swap.
     """
     columns = store.partition_columns(name)
+    _finish_swap(store, name)
     target = store.read(name)
-    aside = f"stage_{name}"
+    aside = f"upsert_{name}"
     if stage:
         overwrite_table(store, aside, batch.select(*target.columns), columns)
         batch = store.read(aside)
@@ -113,12 +117,29 @@ def upsert_by_key(store: TableStore, name: str, batch: DataFrame, keys: Sequence
         existing = {s for s in store.partitions(name) if s[0] in firsts}
         kept = target.where(in_days(F.col(columns[0]), firsts)).join(batch_keys, list(keys), "left_anti")
         merged = kept.select(*target.columns).unionByName(batch.select(*target.columns))
-        replace_partitions(store, name, merged, existing)
+        overwrite_table(store, f"merged_{name}", merged, columns)
+        # The note is written last: with it the merged partitions are complete and may replace their originals.
+        note = store.spark.createDataFrame([(store.spec_sql(name, s),) for s in sorted(existing | touched, key=str)], _SWAP)
+        overwrite_table(store, f"swap_{name}", note)
+        _finish_swap(store, name)
     if stage:
         clear_table(store, aside)
     return sorted(touched, key=str)
 
 
+def _finish_swap(store: TableStore, name: str) -> None:
+    """Put merged partitions in place if a note says that they are complete."""
+    note, merged = f"swap_{name}", f"merged_{name}"
+    if not store.exists(note):
+        return
+    wanted = {r.partition for r in store.read(note).collect()}
+    if wanted:
+        scope = [s for s in store.partitions(name) if store.spec_sql(name, s) in wanted]
+        replace_partitions(store, name, store.read(merged), scope, rebalance=False)
+        clear_table(store, note)
+        clear_table(store, merged)
+
+
 def clear_table(store: TableStore, name: str) -> None:
     """Remove all rows, keep the table."""
     if not store.exists(name):

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daymend.functions.measures import CORRECT, net_amount_when
+from daymend.functions.measures import CORRECT, net_amount_by
 from daymend.operators import checks as dq
 from daymend.operators.conform import (
     Dimension, conform_stores, day_totals, fact_rows, known_store, measured, with_keys,
@@ -35,7 +35,8 @@ from daymend.sources.tables import TableStore
 
 FACT = "fact_sale"
 DIM = "dim_store"
-STAGE = "stage_fact_sale"
+STAGE = "batch_fact_sale"
+STAGED_DIM = "batch_dim_store"
 AUDIT_TABLE = "tbl_metadata_audit"
 
 _STATUS_KEYS = T.StructType([T.StructField("sale_date", T.DateType()),
@@ -54,7 +55,7 @@ WHERE last.row_count > 0
 _MART_VIEW = """
 SELECT sale_date, count(*) AS orders, sum(gross_amount) AS gross_total,
        sum(tax_amount) AS tax_total, sum(net_amount) AS net_total
-FROM {fact_sale} GROUP BY sale_date ORDER BY sale_date
+FROM {fact_sale} GROUP BY sale_date
 """
 
 
@@ -89,11 +90,12 @@ class SalesFlow:
 
     ``gate``: run the check suite on the batch before it is published.
     ``publish_on_red``: publish a red batch all the same and only report it.
-    ``unique_across_days``: look for the batch's sale ids in the other days too. That reads one column
-    of the other partitions, cut down by the batch's id range.
+    ``unique_across_days``: look for the batch's sale ids and keys in the other days too. That reads two columns
+    of the other partitions, the ids cut down by the batch's range; only hits go on to the counting.
     ``by_key``: write by sale id instead of by day. A sale that left its file then stays in the fact, and one
     that moved to another day leaves the old one.
-    ``refresh_dimension``: rebuild the dimension from the master list in every action, not only when missing.
+    ``refresh_dimension``: rebuild the dimension from the master list in every action, not only when missing. With
+    the gate it is checked aside and put in place when the batch is published.
     """
 
     def __init__(self, store: TableStore, landing: Landing, stores: DataFrame, *,
@@ -122,22 +124,22 @@ class SalesFlow:
         following = ledger.next_file(self.landing.arrived(), self.store).first()
         if following is None:
             report = self._report("load_next")
-            report.message, report.outcome = "nothing left to load", "0 partitions rebuilt"
+            report.message, report.outcome = "no file is waiting", _rebuilt(0)
             return self._close(report)
         return self.load_files([following.source_file])
 
     def load_files(self, names: Sequence[str]) -> RunReport:
         """Take in the given files, new or re-delivered, and rebuild every day they touch."""
         report = self._report("load_next")
-        report.message = f"{', '.join(names)} landed" if len(names) == 1 else f"{len(names)} files landed"
-        return self._build(report, self.landing.land(names), report.formula, files=names)
+        report.message = f"took in {names[0]}" if len(names) == 1 else f"took in {len(names)} files"
+        return self._build(report, self.landing.take(names), report.formula, files=names)
 
     def switch_formula(self, formula: str, rebuild: bool = True) -> RunReport:
         """Put another formula in force; rebuild all loaded days with it, or leave them for later."""
         report = self._report("inject_bug" if formula != CORRECT else "fix_and_backfill")
         report.message = f"formula {formula} in force"
         if not rebuild:
-            report.formula, report.outcome = formula, "0 partitions rebuilt"
+            report.formula, report.outcome = formula, _rebuilt(0)
             return self._close(report)
         return self._build(report, self._all_days(), formula, in_force=formula)
 
@@ -154,13 +156,15 @@ class SalesFlow:
         if start or end or contiguous:
             span = ledger.backfill_range(self.store, start, end).first()
             lo, hi = span.start_date, span.end_date
+            if lo and hi and lo > hi:
+                raise ValueError(f"the range {lo} to {hi} is empty; give both ends")
             days = [] if lo is None or hi is None else \
                 [d for d in self._all_days() if d is not None and lo <= d <= hi]
         else:
             days = [r.sale_date for r in ledger.contaminated_days(self.store).collect()]
         if not days:
             report.formula = CORRECT
-            report.message, report.outcome = "nothing to replay", "0 partitions rebuilt"
+            report.message, report.outcome = "no day is wrong", _rebuilt(0)
             return self._close(report)
         dated = [d for d in days if d is not None]
         report.message = f"backfill {min(dated)} to {max(dated)}" if dated else "backfill of undated rows"
@@ -182,11 +186,14 @@ class SalesFlow:
         report = self._report("reset")
         for table in ("day_ledger", "run_ledger", "check_results", FACT):
             clear_table(self.store, table)
+        for check in self.suite:
+            clear_table(self.store, dq.FAILURE_PREFIX + check.name)
         self.landing.reset()
-        dim_rows = self._dimension(_now()).rows
+        overwrite_table(self.store, DIM, conform_stores(stage_stores(self.stores), _now()))
+        self._measured = None
         report.formula, report.published = CORRECT, True
-        report.message, report.outcome = "queue cleared", "fact table emptied"
-        return self._close(report, audit=True, dim_rows=dim_rows)
+        report.message, report.outcome = "all files wait again", "the fact is empty"
+        return self._close(report, audit=True)
 
     # -- state -------------------------------------------------------------------------------
 
@@ -200,11 +207,14 @@ class SalesFlow:
 
     def landed_rows(self) -> DataFrame:
         """All typed rows of the loaded files."""
-        return self.landing.rows(self._landed_days())
+        names = self._loaded()
+        return self.landing.rows(self.landing.days(names), names)
+
+    def _loaded(self) -> list[str]:
+        return [r.source_file for r in ledger.loaded_files(self.store).collect()]
 
     def _landed_days(self) -> list[date | None]:
-        names = [r.source_file for r in ledger.loaded_files(self.store).collect()]
-        return self.landing.days(names)
+        return self.landing.days(self._loaded())
 
     def _all_days(self) -> list[date | None]:
         return sorted({*self._landed_days(), *self.store.days(FACT)}, key=lambda d: (d is None, d))
@@ -214,14 +224,17 @@ class SalesFlow:
     def _build(self, report: RunReport, days: Sequence[date | None], formula: str,
                files: Sequence[str] = (), in_force: str | None = None) -> RunReport:
         if not days:
+            if files:
+                self.landing.accept(files)
             report.formula, report.published, report.files = in_force or report.formula, True, list(files)
-            report.outcome = "0 partitions rebuilt"
+            report.outcome = _rebuilt(0)
             return self._close(report)
         run_ts = _now()
-        dim = self._dimension(run_ts)
+        dim, staged_dim = self._dimension(run_ts)
         report.days = list(days)
         aligned = dim.small and self.landing.laid_out_by_day
-        landed = self.landing.rows([*days, None] if self.gate and None not in days else days) \
+        loaded = sorted({*self._loaded(), *files})
+        landed = self.landing.rows([*days, None] if self.gate and None not in days else days, loaded, files) \
             .drop("source_file")
         transformed = transform_sales(landed, formula)
         wanted = F.coalesce(in_days(F.col("sale_date"), days), F.lit(False))
@@ -232,10 +245,9 @@ class SalesFlow:
             keyed = with_keys(transformed, dim.frame, lay_out=not dim.small)
 
         if self.gate:
-            if not aligned:
-                keyed = self._stage(keyed)
+            keyed = self._stage(keyed)
         # The join adds no rows if store ids are unique; then the staged rows serve for totals too.
-        counted = keyed if self.gate and not aligned and dim.unique else transformed
+        counted = keyed if self.gate and dim.unique else transformed
         totals = day_totals(counted.where(wanted), F.min("sale_id").alias("lo"),
                             F.max("sale_id").alias("hi")).collect()
 
@@ -250,41 +262,51 @@ class SalesFlow:
             self._keep_failures(report, models)
         if report.failed and not self.publish_on_red:
             clear_table(self.store, STAGE)
-            report.outcome = "0 partitions rebuilt"
+            if files:
+                self.landing.refuse(files)
+            self._measured = None
+            report.outcome = _rebuilt(0)
             self._close(report)
             raise ChecksFailed(report)
 
+        if staged_dim:
+            overwrite_table(self.store, DIM, self.store.read(STAGED_DIM))
+            clear_table(self.store, STAGED_DIM)
+            self._measured = None
         written = self._publish(fact_rows(keyed.where(wanted), run_ts), days)
         report.touched = len(written)
         clear_table(self.store, STAGE)
+        if files:
+            self.landing.accept(files)
         self._ensure_mart()
         report.formula, report.published = in_force or report.formula, True
         self._log_days(report, formula, days, totals, run_ts)
         self._log_moved(report.seq, set(written) - set(days))
         report.files = list(files)
-        report.outcome = f"{report.touched} partitions rebuilt"
-        return self._close(report, audit=True, dim_rows=dim.rows)
+        report.outcome = _rebuilt(report.touched)
+        return self._close(report, audit=True)
 
     def _publish(self, fact: DataFrame, days: Sequence[date | None]) -> list[date | None]:
         if self.by_key and self.store.exists(FACT):
             return [s[0] for s in upsert_by_key(self.store, FACT, fact, ["sale_id"])]
         return replace_days(self.store, FACT, fact, days, rebalance=False)
 
-    def _dimension(self, run_ts: datetime) -> Dimension:
-        """The measured store dimension, rebuilt from the master list if that is due."""
-        if self.refresh_dimension or not self.store.exists(DIM):
-            overwrite_table(self.store, DIM, conform_stores(stage_stores(self.stores), run_ts))
+    def _dimension(self, run_ts: datetime) -> tuple[Dimension, bool]:
+        """The measured store dimension, and whether it waits aside for the checks.
+
+        It is rebuilt from the master list if that is due; with the gate not in place but aside.
+        """
+        due = self.refresh_dimension or not self.store.exists(DIM)
+        aside = due and self.gate
+        if due:
+            overwrite_table(self.store, STAGED_DIM if aside else DIM, conform_stores(stage_stores(self.stores), run_ts))
             self._measured = None
         if self._measured is None:
-            self._measured = measured(self.store.read(DIM), "store_id")
-        return self._measured
+            self._measured = measured(self.store.read(STAGED_DIM if aside else DIM), "store_id")
+        return self._measured, aside
 
     def _stage(self, keyed: DataFrame) -> DataFrame:
-        """Write the batch once, laid out by day, for the checks and the publishing to read.
-
-        Only where working it out again costs a shuffle or a full parse; a batch that comes from landed days
-        and a broadcast dimension is cheaper to scan again than to write.
-        """
+        """Write the batch once, laid out by day; the checks read these files and the publishing does too."""
         overwrite_table(self.store, STAGE, keyed, ["sale_date"], rebalance=False)
         return self.store.read(STAGE)
 
@@ -294,13 +316,15 @@ class SalesFlow:
         Stage, transform and fact are the same rows seen after more steps, so one frame with both
         keys serves all three, and the suite scans it once.
         """
-        status = local_frame(self.store.spark, _STATUS_KEYS, [(r.sale_date, action) for r in totals])
+        built = local_frame(self.store.spark, _STATUS_KEYS, [(r.sale_date, action) for r in totals])
+        elsewhere = ~F.coalesce(in_days(F.col("sale_date"), days), F.lit(False))
+        status = self.store.read("dim_partition_status").where(elsewhere).select(*built.columns).unionByName(built)
         return {
             "stg_store": dq.Model(stage_stores(self.stores)),
             "dim_store": dq.Model(dim),
             "stg_sale": dq.Model(keyed),
             "trn_tbl_sale": dq.Model(keyed),
-            "fact_sale": dq.Model(keyed, known_store() & wanted, self._other_ids(days, totals)),
+            "fact_sale": dq.Model(keyed, known_store() & wanted, self._others(keyed, dim, days, totals)),
             "dim_partition_status": dq.Model(status),
             "dm_daily_sales": dq.Model(status),
         }
@@ -308,27 +332,37 @@ class SalesFlow:
     def table_models(self) -> dict[str, dq.Model]:
         """The models of the suite over everything loaded and published."""
         landed = self.landed_rows()
-        days = ledger.current_days(self.store).select("sale_date", (F.col("formula") != CORRECT).alias("wrong"))
-        built = landed.join(days, "sale_date", "left")
+        built = landed.join(ledger.current_days(self.store).select("sale_date", "formula"), "sale_date", "left")
         return {
             "stg_store": dq.Model(stage_stores(self.stores)),
             "dim_store": dq.Model(self.store.read(DIM)),
             "stg_sale": dq.Model(landed),
-            "trn_tbl_sale": dq.Model(transform_sales(built, net_amount_when(F.col("wrong")))),
+            "trn_tbl_sale": dq.Model(transform_sales(built, net_amount_by(F.col("formula")))),
             "fact_sale": dq.Model(self.store.read(FACT)),
             "dim_partition_status": dq.Model(ledger.partition_status(self.store)),
             "dm_daily_sales": dq.Model(daily_sales(self.store.read(FACT))),
         }
 
-    def _other_ids(self, days, totals) -> DataFrame | None:
-        """Sale ids of the other days that could clash with the batch."""
-        lows = [r.lo for r in totals if r.lo is not None]
-        if not self.unique_across_days or not lows or not set(self.store.days(FACT)) - set(days):
-            return None
-        lo, hi = min(lows), max(r.hi for r in totals if r.hi is not None)
+    def _others(self, keyed: DataFrame, dim: DataFrame, days, totals) -> dict[tuple[str, ...], DataFrame]:
+        """Values of the other days that bear on the batch's checks, by column.
+
+        Ids and keys that the batch has too, and store keys that the new dimension has lost.
+        """
+        if not set(self.store.days(FACT)) - set(days):
+            return {}
         elsewhere = ~F.coalesce(in_days(F.col("sale_date"), days), F.lit(False))
-        return self.store.read(FACT).where(elsewhere & F.col("sale_id").between(F.lit(lo), F.lit(hi))) \
-            .select("sale_id")
+        fact, others = self.store.read(FACT).where(elsewhere), {}
+        lows = [r.lo for r in totals if r.lo is not None]
+        if self.unique_across_days and lows:
+            lo, hi = min(lows), max(r.hi for r in totals if r.hi is not None)
+            near = fact.where(F.col("sale_id").between(F.lit(lo), F.lit(hi)))
+            for column, rows in (("sale_id", near), ("sale_key", fact)):
+                others[column,] = rows.select(column).join(keyed.select(column).distinct(), column, "left_semi")
+        if self.store.exists(DIM):
+            lost = self.store.read(DIM).select("store_key").join(dim.select("store_key"), "store_key", "left_anti")
+            if not lost.isEmpty():
+                others["store_key",] = fact.select("store_key").join(lost.distinct(), "store_key", "left_semi")
+        return others
 
     def _keep_failures(self, report: RunReport, models: dict[str, dq.Model]) -> None:
         red = [c for c in self.suite if c.name in report.failed_checks]
@@ -380,23 +414,26 @@ class SalesFlow:
         seq, formula = ledger.position(self.store)
         return RunReport(seq + 1, action, formula)
 
-    def _close(self, report: RunReport, audit: bool = False, dim_rows: int = 0) -> RunReport:
+    def _close(self, report: RunReport, audit: bool = False) -> RunReport:
+        """Log the run; ``audit`` counts the relations as they are now."""
         run_id = f"run-{report.seq}-{uuid.uuid4().hex[:8]}"
         finished = _now()
         if audit:
-            now = ledger.current_days(self.store).agg(
-                F.coalesce(F.sum("fact_rows"), F.lit(0)).alias("fact"), F.count("*").alias("status"),
-                F.count_if(F.col("fact_rows") > 0).alias("mart")).first()
-            counts = [(DIM, dim_rows), (FACT, now.fact), ("dim_partition_status", now.status)]
-            counts += [] if report.failed else [("dm_daily_sales", now.mart)]
-            ledger.append(self.store, AUDIT_TABLE, AUDIT, [(m, n, run_id, finished) for m, n in counts])
+            wanted = [DIM, FACT, "dim_partition_status", *([] if report.failed else ["dm_daily_sales"])]
+            counts = self.store.row_counts([m for m in wanted if self.store.exists(m)]).collect()
+            ledger.append(self.store, AUDIT_TABLE, AUDIT, [(r["name"], r["n"], run_id, finished) for r in counts])
+        converged = report.formula == CORRECT and ledger.contaminated_days(self.store).isEmpty()
         dated = [d for d in report.days if d is not None]
         ledger.append(self.store, "run_ledger", RUN_LEDGER, [(
             report.seq, run_id, report.action, report.formula, min(dated, default=None),
             max(dated, default=None), report.touched, report.passed, report.failed, report.published,
-            report.files, report.message, report.outcome, finished)])
+            report.files, report.message, report.outcome, finished, report.failed_checks, converged)])
         return report
 
 
+def _rebuilt(days: int) -> str:
+    return f"rebuilt {days} days"
+
+
 def _now() -> datetime:
     return datetime.now(timezone.utc)

@@ -98,6 +98,7 @@ def backfill_range(store: TableStore, start: date | None = None, end: date | Non
 
 
 def touched_partitions(ranges: DataFrame) -> DataFrame:
-    """Calendar days of each range, both ends counted; 0 where an end is missing."""
-    days = days_inclusive(F.col("start_date"), F.col("end_date"))
+    """Calendar days of each range, both ends counted; 0 where an end is missing, an error where it is reversed."""
+    days = F.when(F.col("start_date") > F.col("end_date"), F.raise_error(F.lit("range starts after it ends")).cast("int")) \
+        .otherwise(days_inclusive(F.col("start_date"), F.col("end_date")))
     return ranges.select(F.coalesce(days, F.lit(0)).cast("long").alias("touched"))

@@ -32,7 +32,7 @@ def daily_reconciliation(flow: SalesFlow) -> DataFrame:
     return correct.join(shown, "sale_date", "left").join(current, "sale_date", "left").select(
         "sale_date", "correct", "bugged", now.alias("current"),
         F.coalesce(F.col("wrong_rows"), F.lit(0)).alias("wrong_rows"),
-        (now == F.col("correct")).alias("converged"))
+        (now == F.col("correct")).alias("converged")).orderBy("sale_date")
 
 
 def affected_days(reconciliation: DataFrame) -> DataFrame:
@@ -104,7 +104,7 @@ def export_json(flow: SalesFlow, folder: str) -> None:
         "next_file": flow.next_preview(),
         "check_results": check_results(store),
         **{f"table_{t}": store.read(t) for t in EXPORT_TABLES},
-        **{f"sample_{t}": model_sample(store.read(t)) for t in store.names()},
+        **{f"sample_{t}": model_sample(store.read(t)) for t in EXPORT_TABLES},
     }
     for name, frame in reports.items():
         frame.write.mode("overwrite").json(f"{folder}/{name}")

@@ -21,7 +21,6 @@ from daymend.sources.landing import FrameLanding
 from daymend.sources.tables import TableStore
 
 FIRST_DAY = date(2024, 1, 1)
-N_DAYS = 30
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 CLOSED_REGION = "ASIA"
 
@@ -39,6 +38,11 @@ def names(first: int, last: int) -> list[str]:
     return [d.isoformat() for d in days(first, last)]
 
 
+def waiting(flow: SalesFlow) -> list[str]:
+    """Names of all files that have arrived, in order."""
+    return sorted(r.source_file for r in flow.landing.arrived().collect())
+
+
 def events_between(spark: SparkSession, sf_dir: str) -> Callable[[date | None, date | None], DataFrame]:
     """Landing rows of a date range; the range reaches the Parquet scan as a filter on ``ts``."""
     def rows(start: date | None, end: date | None) -> DataFrame:
@@ -90,9 +94,9 @@ def events_flow(spark: SparkSession, sf_dir: str, label: str, *, gate: bool = Fa
 
 
 def mid_bug(spark: SparkSession, sf_dir: str, label: str, **options) -> SalesFlow:
-    """Days 1..20 right, 21..25 loaded while the wrong formula was in force, 26..30 pending."""
+    """Files up to the 20th day right, 21..25 loaded while the wrong formula was in force, all later ones pending."""
     flow = events_flow(spark, sf_dir, label, **options)
-    flow.load_files(names(1, 20))
+    flow.load_files([n for n in waiting(flow) if n <= day(20).isoformat()])
     flow.switch_formula(NET_PLUS_TAX, rebuild=False)
     flow.load_files(names(21, 25))
     return flow
@@ -101,9 +105,10 @@ def mid_bug(spark: SparkSession, sf_dir: str, label: str, **options) -> SalesFlo
 def five_loads(spark: SparkSession, sf_dir: str, label: str, **options) -> SalesFlow:
     """All days in five loads of equal length."""
     flow = events_flow(spark, sf_dir, label, **options)
-    step = N_DAYS // 5
-    for first in range(1, N_DAYS + 1, step):
-        flow.load_files(names(first, first + step - 1))
+    files = waiting(flow)
+    step = -(-len(files) // 5)
+    for first in range(0, len(files), step):
+        flow.load_files(files[first:first + step])
     return flow
 
 

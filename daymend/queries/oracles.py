@@ -144,6 +144,14 @@ ORACLES = {
     "load_next_day": _fact(_CLEAN),
     "late_rows_replay": _fact(_CLEAN),
     "stream_ingest_daily": _fact(_CLEAN),
+    "refused_file_stays_out": _fact(_CLEAN, where="sale_date <= DATE '2024-01-25'"),
+    "refused_file_does_not_block": _fact(_CLEAN),
+    "backfill_by_key": _fact(_CLEAN),
+    "orphaned_by_dimension_change": f"""WITH {_T}, {_DIM}
+        SELECT 'relationships_fact_sale_store_key_dim_store' AS "check", count(*) AS failures, 'fail' AS status
+        FROM t JOIN dim USING (store_id) WHERE region = '{CLOSED_REGION}' AND sale_date <> DATE '2024-01-07'""",
+    "master_from_file": f"""WITH {_DIM} SELECT store_key, CAST(store_id AS VARCHAR) AS store_id, store_name, region
+        FROM dim""",
     "range_replace": _fact(_CLEAN, where="""sale_date <> DATE '2024-01-11'
         AND NOT (sale_date = DATE '2024-01-12' AND channel = 'error')"""),
     "upsert_by_key": f"""WITH {_T}, {_DIM}, changed AS (
@@ -196,7 +204,8 @@ ORACLES = {
     "run_history": f"""WITH {_T}, {_DIM}, {_LOADS}
         SELECT seq, 'load_next' AS action, first_day AS start_date, last_day AS end_date, touched,
                CAST(28 AS BIGINT) AS passed, CAST(0 AS BIGINT) AS failed, true AS published,
-               touched || ' files landed' AS message, touched || ' partitions rebuilt' AS outcome
+               'took in ' || touched || ' files' AS message, 'rebuilt ' || touched || ' days' AS outcome,
+               true AS converged
         FROM loads ORDER BY seq DESC LIMIT 3""",
     # status and reports
     "partition_status": f"WITH {_T}, {_M} {_STATUS}",

@@ -85,7 +85,7 @@ def check_failures_union(spark, sf_dir):
 def row_count_audit(spark, sf_dir):
     store = shared(five_loads, spark, sf_dir, gate=True).store
     runs = ledger.run_ledger(store).select("seq", F.col("run_id").alias("invocation_id"))
-    return audit.latest(store).join(runs, "invocation_id").select("seq", "model_name", "row_count")
+    return store.read(audit.TABLE).join(runs, "invocation_id").select("seq", "model_name", "row_count")
 
 
 def audit_latest(spark, sf_dir):
@@ -97,7 +97,7 @@ def run_history(spark, sf_dir):
     store = shared(five_loads, spark, sf_dir, gate=True).store
     return reports.run_history(store, limit=3).select(
         "seq", "action", "start_date", "end_date", "touched", "passed", "failed", "published",
-        "message", "outcome")
+        "message", "outcome", "converged")
 
 
 def partition_status(spark, sf_dir):

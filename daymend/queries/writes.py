@@ -5,21 +5,21 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from daymend.functions.measures import NET_PLUS_TAX
-from daymend.operators.conform import conform_sales
-from daymend.operators.stage import stage_sales
+from daymend.operators.conform import conform_sales, conform_stores
+from daymend.operators.stage import stage_sales, stage_stores
 from daymend.operators.transform import transform_sales
 from daymend.operators.write import overwrite_table, replace_days
 from daymend.operators.write import upsert_by_key as upsert
-from daymend.plans import ledger
-from daymend.plans.flow import FACT
+from daymend.plans import ledger, reports
+from daymend.plans.flow import FACT, ChecksFailed
 from daymend.queries.fixtures import (
-    N_DAYS, day, days, events_between, events_flow, mid_bug, names, new_store, shared, store_master,
-    write_drops,
+    day, days, events_between, events_flow, mid_bug, names, new_store, open_stores, shared, store_master,
+    waiting, write_drops,
 )
 from daymend.queries.models import sales, shown, stores
 from daymend.schema import EXPORT_TABLES, MONEY
 from daymend.session import fresh_root
-from daymend.sources.csv_files import list_drops, read_drops
+from daymend.sources.csv_files import list_drops, read_drops, read_master
 from daymend.sources.landing import CsvLanding, FrameLanding
 from daymend.streaming.arrivals import run_drops
 
@@ -28,7 +28,7 @@ def _all_wrong(spark, sf_dir, label):
     """Every day loaded while the wrong formula was in force."""
     flow = events_flow(spark, sf_dir, label)
     flow.switch_formula(NET_PLUS_TAX, rebuild=False)
-    flow.load_files(names(1, N_DAYS))
+    flow.load_files(waiting(flow))
     return flow
 
 
@@ -44,7 +44,7 @@ def _published(flow):
 
 def full_refresh_bugged(spark, sf_dir):
     flow = events_flow(spark, sf_dir, "refresh")
-    flow.load_files(names(1, N_DAYS))
+    flow.load_files(waiting(flow))
     flow.switch_formula(NET_PLUS_TAX)
     return _published(flow)
 
@@ -63,7 +63,7 @@ def backfill_partial_mart(spark, sf_dir):
 def backfill_full(spark, sf_dir):
     flow = mid_bug(spark, sf_dir, "full")
     flow.fix_and_backfill()
-    flow.load_files(names(26, N_DAYS))
+    flow.load_files([r.source_file for r in flow.pending().collect()])
     return _published(flow)
 
 
@@ -76,31 +76,103 @@ def replay_idempotent(spark, sf_dir):
 
 def replay_noop(spark, sf_dir):
     flow = events_flow(spark, sf_dir, "noop")
-    flow.load_files(names(1, N_DAYS))
+    flow.load_files(waiting(flow))
     flow.replay([])
     flow.fix_and_backfill()
     return _published(flow)
 
 
 def load_next_day(spark, sf_dir):
-    flow = events_flow(spark, sf_dir, "next")
-    flow.load_files(names(1, N_DAYS - 3))
-    for _ in range(3):
-        flow.load_next()
-    return _published(flow)
+    """All files but the last three in one load, these by name one after the other, from written drops."""
+    flow, _ = _drops_flow(spark, sf_dir, "next")
+    flow.load_files(waiting(flow)[:-3])
+    while flow.load_next().files:
+        pass
+    return _numbered(flow)
 
 
 def late_rows_replay(spark, sf_dir):
-    """Sales after 22:00 miss their day's first file; the complete files come again later."""
+    """Sales of the 12th day after 22:00 miss its first file; only the complete file of that day comes again."""
     complete = events_between(spark, sf_dir)
+    late = (F.col("sale_date") == F.lit(day(12))) & (F.hour("ts") >= 22)
     flow = events_flow(spark, sf_dir, "late")
-    flow.landing = FrameLanding(lambda lo, hi: complete(lo, hi).where(F.hour("ts") < 22))
-    flow.load_files(names(1, N_DAYS))
+    flow.landing = FrameLanding(lambda lo, hi: complete(lo, hi).where(~late))
+    flow.load_files(waiting(flow))
     flow.landing = FrameLanding(complete)
-    flow.load_files(names(1, N_DAYS))
+    flow.load_files(names(12, 12))
+    return _published(flow)
+
+
+def refused_file_stays_out(spark, sf_dir):
+    """A file refused under the wrong formula is not published by a repair whose range covers its day."""
+    flow, _ = _drops_flow(spark, sf_dir, "refused", gate=True, publish_on_red=False)
+    flow.load_files([n for n in waiting(flow) if n <= day(25).isoformat()])
+    flow.switch_formula(NET_PLUS_TAX, rebuild=False)
+    _refused(flow.load_next)
+    flow.fix_and_backfill(day(24), day(28))
+    return _numbered(flow)
+
+
+def refused_file_does_not_block(spark, sf_dir):
+    """A file refused for a doubled sale leaves its neighbours repairable; delivered again it is taken in."""
+    whole = events_between(spark, sf_dir)
+    doubled = F.explode(F.when(F.col("sale_date") == F.lit(day(26)), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
+    flow = events_flow(spark, sf_dir, "blocked", gate=True, publish_on_red=False)
+    flow.landing = FrameLanding(lambda lo, hi: whole(lo, hi).withColumn("copy", doubled))
+    flow.load_files([n for n in waiting(flow) if n <= day(25).isoformat()])
+    _refused(flow.load_next)
+    flow.fix_and_backfill(day(24), day(27))
+    flow.landing = FrameLanding(whole)
+    flow.load_files([r.source_file for r in flow.pending().collect()])
+    return _published(flow)
+
+
+def backfill_by_key(spark, sf_dir):
+    """Loads and a repair that publish by sale id, behind the gate."""
+    flow = mid_bug(spark, sf_dir, "by_key", gate=True, by_key=True)
+    flow.fix_and_backfill()
+    flow.load_files([r.source_file for r in flow.pending().collect()])
     return _published(flow)
 
 
+def orphaned_by_dimension_change(spark, sf_dir):
+    """What the gate of a one-day replay counts once a region has left the master list: sales of other days too."""
+    flow = events_flow(spark, sf_dir, "orphaned", gate=True, refresh_dimension=True)
+    flow.load_files(waiting(flow))
+    flow.stores = open_stores(flow.stores)
+    flow.replay([day(7)])
+    return reports.check_results(flow.store).where("kind = 'relationships'").select("check", "failures", "status")
+
+
+def master_from_file(spark, sf_dir):
+    """The store master as a CSV file, read typed and conformed."""
+    path = fresh_root(spark, "master")
+    store_master(spark, sf_dir).write.option("header", True).csv(path)
+    return conform_stores(stage_stores(read_master(spark, path)))
+
+
+def _refused(action):
+    try:
+        action()
+    except ChecksFailed:
+        return
+    raise RuntimeError("the gate let a red batch through")
+
+
+def _drops_flow(spark, sf_dir, label, **options):
+    """A flow over written CSV drops; ids are text there."""
+    folder = fresh_root(spark, "drops")
+    write_drops(spark, sf_dir, folder)
+    flow = events_flow(spark, sf_dir, label, **options)
+    flow.landing = CsvLanding(flow.store, folder)
+    flow.stores = store_master(spark, sf_dir).withColumn("store_id", F.col("store_id").cast("string"))
+    return flow, folder
+
+
+def _numbered(flow):
+    return _published(flow).withColumn("sale_id", F.col("sale_id").cast("bigint"))
+
+
 def _written_fact(spark, sf_dir, label):
     store = new_store(spark, label)
     fact = conform_sales(transform_sales(sales(spark, sf_dir)), stores(spark, sf_dir))
@@ -148,19 +220,16 @@ def landing_union(spark, sf_dir):
     folder = fresh_root(spark, "drops")
     write_drops(spark, sf_dir, folder, without_channel_after=20)
     landing = CsvLanding(new_store(spark, "landing"), folder)
-    landing.land(names(1, 25))
-    landing.land(names(21, N_DAYS))
-    return _typed(landing.rows(landing.days([])))
+    arrived = sorted(r.source_file for r in landing.arrived().collect())
+    landing.land([n for n in arrived if n <= day(25).isoformat()])
+    landing.land([n for n in arrived if n > day(20).isoformat()])
+    return _typed(landing.rows(landing.days(arrived)))
 
 
 def stream_ingest_daily(spark, sf_dir):
-    folder = fresh_root(spark, "drops")
-    write_drops(spark, sf_dir, folder)
-    flow = events_flow(spark, sf_dir, "stream")
-    flow.landing = CsvLanding(flow.store, folder)
-    flow.stores = store_master(spark, sf_dir).withColumn("store_id", F.col("store_id").cast("string"))
+    flow, folder = _drops_flow(spark, sf_dir, "stream")
     run_drops(flow, folder, fresh_root(spark, "stream_checkpoint"), max_files_per_trigger=10)
-    return shown(flow.store.read(FACT)).withColumn("sale_id", F.col("sale_id").cast("bigint"))
+    return _numbered(flow)
 
 
 def ledger_load(spark, sf_dir):
@@ -183,5 +252,6 @@ def _typed(staged):
 
 QUERIES = {f.__name__: f for f in (
     full_refresh_bugged, backfill_partial, backfill_partial_mart, backfill_full, replay_idempotent,
-    replay_noop, load_next_day, late_rows_replay, range_replace, upsert_by_key, reset_empty, csv_ingest,
+    replay_noop, load_next_day, late_rows_replay, refused_file_stays_out, refused_file_does_not_block,
+    backfill_by_key, orphaned_by_dimension_change, master_from_file, range_replace, upsert_by_key, reset_empty, csv_ingest,
     landing_union, stream_ingest_daily, ledger_load, ledger_contaminate)}

@@ -50,6 +50,8 @@ RUN_LEDGER = T.StructType([
     T.StructField("message", T.StringType()),
     T.StructField("outcome", T.StringType()),
     T.StructField("finished_at", T.TimestampType()),
+    T.StructField("failed_checks", T.ArrayType(T.StringType())),
+    T.StructField("converged", T.BooleanType()),
 ])
 
 CHECK_RESULTS = T.StructType([

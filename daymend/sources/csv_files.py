@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -17,6 +18,7 @@ from daymend.schema import LANDING_COLUMNS, MASTER_STORE
 _CSV = {"header": True, "quote": '"', "escape": '"', "recursiveFileLookup": True,
         "pathGlobFilter": "*.csv", "mode": "PERMISSIVE"}
 _HEADER_JOBS = 8  # first lines read at a time
+_PART = re.compile(r"^(.*?/[^/]+\.csv)/[^/]+$")  # a part file of a drop that is a folder
 
 
 def list_drops(spark: SparkSession, folder: str) -> DataFrame:
@@ -35,16 +37,20 @@ def read_drops(spark: SparkSession, paths: Sequence[str], columns: Sequence[str]
                multi_line: bool = False) -> DataFrame:
     """Rows of the given files as text, with ``source_file`` first.
 
-    Columns are matched by name: files with the same header are read together, a missing column
-    is NULL, an extra one is dropped, an empty field is NULL. Typing is left to the stage casts, which
+    Columns are matched by name: drops with the same header are read together, a missing column
+    is NULL, an extra one is dropped, an empty field is NULL. One header is read for each drop; a part file whose
+    header differs from that of its drop fails the read. Typing is left to the stage casts, which
     fail on bad text where a typed CSV read would turn it into NULL. ``multi_line`` allows line breaks inside
     quotes; such a file is read by one task, so ask for it only where producers write them.
     """
-    by_header = defaultdict(list)
+    by_drop, by_header = defaultdict(list), defaultdict(list)
+    for path in paths:
+        part = _PART.match(path)
+        by_drop[part[1] if part else path].append(path)
     with ThreadPoolExecutor(_HEADER_JOBS) as pool:
-        headers = list(pool.map(lambda path: _header(spark, path), paths))
-    for path, header in zip(paths, headers):
-        by_header[tuple(header)].append(path)
+        headers = list(pool.map(lambda files: _header(spark, files[0]), by_drop.values()))
+    for files, header in zip(by_drop.values(), headers):
+        by_header[tuple(header)] += files
     groups = [_read_group(spark, header, files, columns, multi_line)
               for header, files in sorted(by_header.items())]
     if not groups:
@@ -66,7 +72,7 @@ def _header(spark: SparkSession, path: str) -> list[str]:
 def _read_group(spark: SparkSession, header: tuple, files: list[str], columns: Sequence[str],
                 multi_line: bool) -> DataFrame:
     schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
-    raw = spark.read.schema(schema).options(**_CSV, multiLine=multi_line).csv(files)
+    raw = spark.read.schema(schema).options(**_CSV, enforceSchema=False, multiLine=multi_line).csv(files)
     # Spark escapes the path in _metadata; a literal + must survive the decoding.
     path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     values = [F.nullif(F.col(f"`{c}`"), F.lit("")) if c in header else F.lit(None).cast("string")

@@ -28,14 +28,23 @@ class Landing(Protocol):
     def preview(self, names: Sequence[str]) -> DataFrame:
         """Raw rows of files, landed or not."""
 
-    def land(self, names: Sequence[str]) -> list[date | None]:
-        """Take the files in; return every sale date they touch."""
+    def take(self, names: Sequence[str]) -> list[date | None]:
+        """Hold the files apart until they are accepted or refused; return every sale date they touch."""
+
+    def accept(self, names: Sequence[str]) -> None:
+        """Land the held files, in place of what was landed under their names before."""
+
+    def refuse(self, names: Sequence[str]) -> None:
+        """Forget the held files; what was landed before stays as it is."""
 
     def days(self, landed: Sequence[str]) -> list[date | None]:
-        """Sale dates of all landed files."""
+        """Sale dates of the given files."""
+
+    def rows(self, days: Days, landed: Sequence[str] | None = None, held: Sequence[str] = ()) -> DataFrame:
+        """Typed rows of the given days; None asks for rows without a date.
 
-    def rows(self, days: Days) -> DataFrame:
-        """Typed rows of the given days; None asks for rows without a date."""
+        ``landed`` names the files that count (default: all), ``held`` those to take from what is held apart.
+        """
 
     def reset(self) -> None: ...
 
@@ -45,10 +54,13 @@ class CsvLanding:
 
     A replay reads the directories of its days only. Landing a file again replaces its own partitions, so a
     re-delivered or corrected file never doubles rows, and rows of one day may come from several files.
+    A file is parsed once, into a table of held files; it reaches the landing table when it is accepted, so what
+    a gate refuses never mixes with landed rows, also where it is a new delivery of a landed file.
     """
 
     laid_out_by_day = True
     table = "incoming_sale"
+    held_table = "held_sale"
 
     def __init__(self, store: TableStore, folder: str, multi_line: bool = False):
         self.store = store
@@ -62,22 +74,50 @@ class CsvLanding:
         return read_drops(self.store.spark, self._paths(names), multi_line=self.multi_line)
 
     def land(self, names: Sequence[str]) -> list[date | None]:
+        """Take and accept at once."""
+        days = self.take(names)
+        self.accept(names)
+        return days
+
+    def take(self, names: Sequence[str]) -> list[date | None]:
         rows = stage_sales(self.preview(names))
-        self.store.create(self.table, rows.schema, ["sale_date", "source_file"])
-        old = [s for s in self.store.partitions(self.table) if s[1] in set(names)]
+        for table in (self.table, self.held_table):
+            self.store.create(table, rows.schema, ["sale_date", "source_file"])
         # A drop holds one day, so its splits write straight into their partition without a shuffle.
-        new = replace_partitions(self.store, self.table, rows, old, rebalance=False)
-        return _ordered({s[0] for s in [*old, *new]})
+        held = replace_partitions(self.store, self.held_table, rows, self.store.partitions(self.held_table),
+                                  rebalance=False)
+        return _ordered({s[0] for s in [*self._of(names), *held]})
 
-    def days(self, landed: Sequence[str]) -> list[date | None]:
-        return self.store.days(self.table)
+    def accept(self, names: Sequence[str]) -> None:
+        held = self.store.read(self.held_table).where(F.col("source_file").isin(list(names)))
+        replace_partitions(self.store, self.table, held, self._of(names), rebalance=False)
+        self.refuse(names)
+
+    def refuse(self, names: Sequence[str]) -> None:
+        clear_table(self.store, self.held_table)
 
-    def rows(self, days: Days) -> DataFrame:
-        return self.store.read(self.table).where(in_days(F.col("sale_date"), days))
+    def days(self, landed: Sequence[str]) -> list[date | None]:
+        return _ordered({s[0] for s in self._of(landed)})
+
+    def rows(self, days: Days, landed: Sequence[str] | None = None, held: Sequence[str] = ()) -> DataFrame:
+        wanted = in_days(F.col("sale_date"), days)
+        rows = self.store.read(self.table).where(wanted)
+        known = {s[1] for s in self.store.partitions(self.table)}
+        left_out = (known - set(landed) if landed is not None else set()) | (known & set(held))
+        if left_out:
+            rows = rows.where(~F.col("source_file").isin(sorted(left_out)))
+        if held:
+            more = self.store.read(self.held_table).where(wanted & F.col("source_file").isin(list(held)))
+            rows = rows.unionByName(more)
+        return rows
 
     def reset(self) -> None:
         clear_table(self.store, self.table)
 
+    def _of(self, names: Sequence[str]) -> list:
+        wanted = set(names)
+        return [s for s in self.store.partitions(self.table) if s[1] in wanted]
+
     def _paths(self, names: Sequence[str]) -> list[str]:
         files = list_drops(self.store.spark, self.folder)
         return [r.path for r in files.where(F.col("source_file").isin(list(names))).select("path").collect()]
@@ -87,7 +127,7 @@ class FrameLanding:
     """Landed rows served from any frame with the landing columns; one source file per sale date.
 
     ``rows_between(start, end)`` returns the rows of a date range, so that the source can push
-    the range into its own scan. Rows without a date belong to no file and are never landed.
+    the range into its own scan. Rows without a date belong to no file; the gate asks for them and turns red.
     """
 
     def __init__(self, rows_between: Callable[[date | None, date | None], DataFrame],
@@ -101,16 +141,25 @@ class FrameLanding:
     def preview(self, names: Sequence[str]) -> DataFrame:
         return self.rows([date.fromisoformat(n) for n in names])
 
-    def land(self, names: Sequence[str]) -> list[date | None]:
+    def take(self, names: Sequence[str]) -> list[date | None]:
         return _ordered({date.fromisoformat(n) for n in names})
 
+    def accept(self, names: Sequence[str]) -> None:
+        return None
+
+    def refuse(self, names: Sequence[str]) -> None:
+        return None
+
     def days(self, landed: Sequence[str]) -> list[date | None]:
-        return self.land(landed)
+        return self.take(landed)
 
-    def rows(self, days: Days) -> DataFrame:
+    def rows(self, days: Days, landed: Sequence[str] | None = None, held: Sequence[str] = ()) -> DataFrame:
         dated = sorted(d for d in days if d is not None)
         bounds = (dated[0], dated[-1]) if dated else (None, None)
-        return stage_sales(self._rows_between(*bounds)).where(in_days(F.col("sale_date"), dated))
+        rows = stage_sales(self._rows_between(*bounds)).where(in_days(F.col("sale_date"), dated))
+        if None in days:
+            rows = rows.unionByName(stage_sales(self._rows_between(None, None).where("sale_date IS NULL")))
+        return rows
 
     def reset(self) -> None:
         return None

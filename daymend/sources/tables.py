@@ -49,6 +49,9 @@ class TableStore:
     def create(self, name: str, schema: T.StructType, partition_by: Sequence[str] = ()) -> None:
         """Create if missing (opens what the folder already holds)."""
         if self.exists(name):
+            known = set(self.columns(name))
+            if known != set(schema.names):
+                raise ValueError(f"table {name} has columns {sorted(known)}, not {sorted(schema.names)}")
             return
         self._declare(name, schema, partition_by)
 
@@ -125,10 +128,6 @@ class TableStore:
 
     def _attach(self, name: str) -> bool:
         """Register a table an earlier session left in the folder."""
-        jvm = self.spark.sparkContext._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(self.path(name))
-        if not folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
-            return False
         try:
             frame = self.spark.read.parquet(self.path(name))
         except AnalysisException:

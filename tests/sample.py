@@ -11,12 +11,12 @@ SALE = "sale_id string, store_id string, sale_date date, gross_amount decimal(10
 FACT = "sale_id string, sale_date date, gross_amount decimal(10,2), net_amount decimal(11,2)"
 HEADER = ["sale_id", "store_id", "sale_date", "gross_amount", "tax_amount", "channel"]
 
-# The store master, and its keys as the key function must give them.
-STORES = [("ST-01", "Riverside Market", "Southeast", "4107152013173585981"),
-          ("ST-02", "Harbor Point", "Northeast", "2327920453883448302"),
-          ("ST-03", "Prairie Crossing", "Midwest", "17763199528127575263"),
-          ("ST-04", "Desert Ridge", "Southwest", "15934552467445253649"),
-          ("ST-05", "Cascade Corner", "West", "1513165664181054485")]
+# Store names and regions are made up; the keys are fixed values that the key function must give.
+STORES = [("ST-01", "Mill Lane", "Coast", "4107152013173585981"),
+          ("ST-02", "Old Pier", "Coast", "2327920453883448302"),
+          ("ST-03", "Long Field", "Plain", "17763199528127575263"),
+          ("ST-04", "Red Rock", "Hills", "15934552467445253649"),
+          ("ST-05", "Ferry Street", "Plain", "1513165664181054485")]
 
 # Rows, gross and tax of fourteen consecutive days from 2026-07-01.
 DAYS = [(22, "5119.54", "391.66"), (28, "6260.78", "467.69"), (19, "4681.95", "328.81"),

@@ -77,10 +77,10 @@ def test_golden_sequence(spark, store, folder):
 def test_all_days_by_name(spark, store, folder):
     flow = flow_over(spark, store, golden_folder(folder), gate=False)
     flow.load_files([date(2026, 7, n).isoformat() for n in range(1, 15)])
-    mart = store.read("dm_daily_sales").collect()
+    mart = store.read("dm_daily_sales").orderBy("sale_date").collect()
     assert [(r.orders, str(r.gross_total), str(r.tax_total)) for r in mart] == DAYS
     report = flow.load_next()
-    assert report.message == "nothing left to load" and report.touched == 0
+    assert report.message == "no file is waiting" and report.touched == 0
 
 
 def test_red_batch_is_not_published(spark, store, folder):
@@ -118,7 +118,8 @@ def test_id_of_another_day_is_found(spark, store, folder):
     flow.load_next()
     with pytest.raises(ChecksFailed) as caught:
         flow.load_next()
-    assert caught.value.report.failed_checks == ["no_duplicate_sale_ids", "unique_fact_sale_sale_id"]
+    assert caught.value.report.failed_checks == [
+        "no_duplicate_sale_ids", "unique_fact_sale_sale_id", "unique_fact_sale_sale_key"]
     lenient = flow_over(spark, store, folder, unique_across_days=False)
     assert lenient.load_next().published
 
@@ -233,7 +234,7 @@ def test_any_history_ends_in_the_one_shot_build(spark, cuts, wrong_from, replays
     for a, b in replays:
         flow.fix_and_backfill(date(2026, 7, min(a, b)), date(2026, 7, max(a, b)))
     flow.fix_and_backfill()
-    mart = flow.store.read("dm_daily_sales").collect()
+    mart = flow.store.read("dm_daily_sales").orderBy("sale_date").collect()
     assert [(r.orders, str(r.gross_total), str(r.tax_total)) for r in mart] == DAYS[:6]
     assert all(r.net_total == r.gross_total - r.tax_total for r in mart)
 
@@ -294,7 +295,7 @@ def test_nothing_loaded_yet(spark, store, folder):
     flow = flow_over(spark, store, folder)
     assert flow.switch_formula(NET_PLUS_TAX).touched == 0
     assert ledger.position(store) == (1, NET_PLUS_TAX)
-    assert flow.fix_and_backfill().outcome == "0 partitions rebuilt"
+    assert flow.fix_and_backfill().outcome == "rebuilt 0 days"
     assert flow.load_next().touched == 0 and flow.pending().count() == 0
     assert flow.reset().published and flow.pending().count() == 1
 
@@ -312,3 +313,96 @@ def test_audit_of_any_relation(spark, store):
     audit.record(store, "numbers", spark.range(9), "run-b")
     assert [(r.model_name, r.row_count, r.invocation_id) for r in audit.latest(store, 1).collect()] == [
         ("numbers", 9, "run-b")]
+
+
+def test_refused_file_is_not_published_later(spark, store, folder):
+    flow = flow_over(spark, store, golden_folder(folder, 3))
+    flow.load_next()
+    flow.switch_formula(NET_PLUS_TAX, rebuild=False)
+    with pytest.raises(ChecksFailed):
+        flow.load_next()
+    flow.fix_and_backfill(d("2026-07-01"), d("2026-07-03"))
+    assert store.days("fact_sale") == [d("2026-07-01")]
+    assert [str(r.sale_date) for r in reports.daily_reconciliation(flow).collect()] == ["2026-07-01"]
+    assert flow.load_next().published and store.read("fact_sale").count() == 50
+
+
+def test_refused_file_does_not_block_and_leaves_the_landed_one(spark, store, folder):
+    flow = flow_over(spark, store, golden_folder(folder, 2))
+    flow.load_next()
+    flow.load_next()
+    rows = golden_day(2)
+    write_csv(folder, "2026-07-02", rows + rows[:1])
+    with pytest.raises(ChecksFailed):
+        flow.load_files(["2026-07-02"])
+    assert flow.fix_and_backfill(d("2026-07-01"), d("2026-07-02")).published
+    assert store.read("fact_sale").count() == 50 and flow.landed_rows().count() == 50
+
+
+def test_by_key_behind_the_gate_for_a_frame(spark, store):
+    rows = [(f"s{n}-{k}", f"ST-0{k + 1}", d(f"2024-01-0{n}"), Decimal("5"), Decimal("1"), "online", f"2024-01-0{n}")
+            for n in (1, 2, 3) for k in range(5)]
+    frame = spark.createDataFrame(rows, SALE)
+    flow = SalesFlow(store, FrameLanding(lambda lo, hi: frame), master(spark), by_key=True)
+    for n in (1, 2, 3):
+        assert flow.load_next().failed == 0
+    assert store.read("fact_sale").count() == 15
+
+
+def test_dateless_rows_of_a_frame_turn_the_build_red(spark, store):
+    rows = [(i, "ST-01", when, Decimal("5"), Decimal("1"), "online", str(when) if when else None)
+            for i, when in (("a", d("2024-01-01")), ("b", d("2024-01-01")), ("c", None))]
+    frame = spark.createDataFrame(rows, SALE)
+    flow = SalesFlow(store, FrameLanding(lambda lo, hi: frame), master(spark))
+    with pytest.raises(ChecksFailed) as caught:
+        flow.load_next()
+    assert caught.value.report.failed_checks == ["not_null_stg_sale_sale_date"]
+
+
+def test_refused_master_list_leaves_the_dimension(spark, store, folder):
+    flow = flow_over(spark, store, golden_folder(folder, 2))
+    flow.load_next()
+    before = sorted(map(tuple, store.read("dim_store").select("store_id", "store_name").collect()))
+    flow.stores = master(spark).union(master(spark).limit(1))
+    with pytest.raises(ChecksFailed):
+        flow.load_next()
+    assert sorted(map(tuple, store.read("dim_store").select("store_id", "store_name").collect())) == before
+
+
+def test_store_that_left_the_master_orphans_other_days(spark, store, folder):
+    flow = flow_over(spark, store, golden_folder(folder, 2))
+    flow.load_next()
+    flow.stores = master(spark).where("store_id <> 'ST-02'")
+    with pytest.raises(ChecksFailed) as caught:
+        flow.load_next()
+    assert "relationships_fact_sale_store_key_dim_store" in caught.value.report.failed_checks
+
+
+def test_audit_and_run_log(spark, store, folder):
+    flow = flow_over(spark, store, golden_folder(folder, 2), publish_on_red=True)
+    flow.load_next()
+    flow.switch_formula(NET_PLUS_TAX)
+    last = ledger.run_ledger(store).orderBy(F.desc("seq")).first()
+    assert last.failed_checks == ["net_never_exceeds_gross"] and last.converged is False
+    flow.fix_and_backfill()
+    assert ledger.run_ledger(store).orderBy(F.desc("seq")).first().converged is True
+    flow.reset()
+    assert store.read("dbt_audit__net_never_exceeds_gross").count() == 0
+
+
+def test_empty_resolved_range_is_an_error(spark, store, folder):
+    flow = flow_over(spark, store, golden_folder(folder, 2), gate=False)
+    flow.switch_formula(NET_PLUS_TAX, rebuild=False)
+    flow.load_next()
+    with pytest.raises(ValueError):
+        flow.fix_and_backfill(start=d("2026-07-02"))
+
+
+def test_one_build_reads_the_drop_once_and_checks_what_it_publishes(spark, store, folder, monkeypatch):
+    """The checks and the fact come from the staged files: what lands meanwhile changes neither."""
+    flow = flow_over(spark, store, golden_folder(folder, 1))
+    reads = []
+    plain = flow.landing.preview
+    monkeypatch.setattr(flow.landing, "preview", lambda names: reads.append(names) or plain(names))
+    flow.load_next()
+    assert reads == [["2026-07-01"]]

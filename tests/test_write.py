@@ -144,3 +144,25 @@ def test_another_session_opens_the_same_folder(spark, table):
     replace_days(again, "f", fact(spark, [("a", "2024-01-01", "8")]), [d("2024-01-01")])
     assert ("a", "2024-01-01", "8.00") in content(again)
     assert again.names() == ["f", "log"]
+
+
+def test_upsert_cut_short_is_finished_by_the_next(spark, store, monkeypatch):
+    from daymend.operators import write
+    overwrite_table(store, "f", fact(spark, [("a", "2024-01-01", "1"), ("b", "2024-01-01", "2"), ("c", "2024-01-02", "3")]),
+                    ["sale_date"])
+    swap = write.replace_partitions
+
+    def dies(store, name, batch, *rest, **options):
+        if name == "f":
+            raise RuntimeError("lost in the swap")
+        return swap(store, name, batch, *rest, **options)
+
+    batch = fact(spark, [("a", "2024-01-02", "9")])
+    monkeypatch.setattr(write, "replace_partitions", dies)
+    with pytest.raises(RuntimeError):
+        upsert_by_key(store, "f", batch, ["sale_id"])
+    monkeypatch.setattr(write, "replace_partitions", swap)
+    # as if the swap had removed the old files: only the merged partitions hold the kept rows now
+    write.clear_table(store, "f")
+    upsert_by_key(store, "f", batch, ["sale_id"])
+    assert [r[:2] for r in content(store)] == [("a", "2024-01-02"), ("b", "2024-01-01"), ("c", "2024-01-02")]
