@@ -278,9 +278,9 @@ def verify_pairs(pairs: pa.Table, sets: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})
 
 
-def verified(pairs: DataFrame, docs: DataFrame, parts: int) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame, parts: int, files: int | None = None) -> DataFrame:
     """Links among distinct pairs (a, b), in tasks of about PAIRS pairs."""
-    pairs = stored(pairs, "pairs")
+    pairs = stored(pairs, "pairs", files)
     total = pairs.count()
     if not total:
         return pairs
@@ -290,7 +290,8 @@ def verified(pairs: DataFrame, docs: DataFrame, parts: int) -> DataFrame:
               .withColumn("part", F.pmod(F.xxhash64("doc"), F.lit(parts)).cast("int")))
     sets = (deal(docs, parts).groupBy("part").cogroup(wanted.groupBy("part"))
             .applyInArrow(send_tokens, "task long, doc long, tokens binary"))
-    return stored(dealt.groupBy("task").cogroup(sets.groupBy("task")).applyInArrow(verify_pairs, "a long, b long"), "links")
+    return stored(dealt.groupBy("task").cogroup(sets.groupBy("task")).applyInArrow(verify_pairs, "a long, b long"),
+                  "links", tasks)
 
 
 def set_join(docs: DataFrame) -> DataFrame:
@@ -298,9 +299,11 @@ def set_join(docs: DataFrame) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     parts = n_parts(texts)
     known = stored(texts.mapInArrow(describe, "doc_id long, n_shingles long, digest binary, point binary"), "points")
+    n_docs = known.count()
+    files = lambda rows: 1 + n_docs // rows  # noqa: E731  for results of a few rows a document at most
     full = known.where("n_shingles > 0 and doc_id is not null")
     classes = full.groupBy("n_shingles", "digest").agg(F.min("doc_id").alias("id"))
-    classes = stored(classes, "classes")
+    classes = stored(classes, "classes", files(50_000))
     own_class = full.select("doc_id", "n_shingles", "digest").join(classes, ["n_shingles", "digest"])
 
     filled = texts.where("doc_id is not null")
@@ -311,13 +314,13 @@ def set_join(docs: DataFrame) -> DataFrame:
     members = cells.join(of_doc, "doc").groupBy("key", "id").agg(F.max("weight").alias("weight"))
     roots = members.groupBy("key").agg(
         F.max_by("id", F.struct("weight", -F.col("id"))).alias("root"), F.count("*").alias("n"))
-    members = stored(members.drop("weight").join(roots.where("n > 1"), "key"), "members")
+    members = stored(members.drop("weight").join(roots.where("n > 1"), "key"), "members", files(5_000))
 
     stands = members.where("id <> root").groupBy("id", "root").agg(F.count("*").alias("shared"))
-    first = stored(stands.groupBy("id").agg(F.max_by("root", F.struct("shared", -F.col("root"))).alias("root")), "stands")
+    first = stored(stands.groupBy("id").agg(F.max_by("root", F.struct("shared", -F.col("root"))).alias("root")), "stands", files(50_000))
     point = full.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "point").join(
         members.select("id").distinct(), "id")
-    point = stored(point, "cell_points")
+    point = stored(point, "cell_points", files(10_000))
 
     def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -328,8 +331,8 @@ def set_join(docs: DataFrame) -> DataFrame:
     sides = (first.select(F.col("root").alias("a"), F.col("id").alias("b"))
              .join(point.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("point").alias("pa")), "a")
              .join(point.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("point").alias("pb")), "b"))
-    links = verified(sides.mapInArrow(bounded, "a long, b long").distinct(), texts, parts)
-    joined = stored(components(links), "first_components")
+    links = verified(sides.mapInArrow(bounded, "a long, b long").distinct(), texts, parts, files(50_000))
+    joined = stored(components(links), "first_components", files(50_000))
 
     state = members.select("key", "id").join(joined, "id", "left").select(
         "key", "id", F.coalesce("component_id", "id").alias("component_id"))
