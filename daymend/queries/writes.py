@@ -148,7 +148,8 @@ def master_from_file(spark, sf_dir):
     """The store master as a CSV file, read typed and conformed."""
     path = fresh_root(spark, "master")
     store_master(spark, sf_dir).write.option("header", True).csv(path)
-    return shown(conform_stores(stage_stores(read_master(spark, path))))
+    dim = conform_stores(stage_stores(read_master(spark, path)))
+    return dim.withColumn("store_key", F.col("store_key").cast("string"))
 
 
 def _refused(action):
