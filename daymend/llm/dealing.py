@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from daymend.llm.frames import text_or_empty, total_bytes
 
 #: Bytes of text in a part, about.
-PART = 16 << 20
+PART = 8 << 20
 
 
 def pack(**arrays: np.ndarray) -> bytes:

@@ -385,7 +385,9 @@ def cut_texts(buckets: int, names: list[str]):
                 [x if x != "text" else "kept" for x in names] + ["n_bytes", "n_removed", "n_spans"])
 
     def table_of(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        return pa.Table.from_batches(list(cut(docs, answers)))
+        out = pa.Table.from_batches(list(cut(docs, answers)))
+        pa.default_memory_pool().release_unused()
+        return out
 
     return table_of
 

@@ -16,7 +16,7 @@ _MASK = (1 << 64) - 1
 _INVERSE = pow(BASE, -1, 1 << 64)
 
 #: Bytes of text that are worked on at once; a longer document is a block of its own.
-BLOCK = 2 << 20
+BLOCK = 1 << 20
 
 WHITE = np.zeros(256, bool)
 WHITE[[0x20, *range(0x09, 0x0E)]] = True
