@@ -6,6 +6,7 @@ time, so words, shingles and windows are hashed without a Python object for each
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,6 +19,12 @@ _INVERSE = pow(BASE, -1, 1 << 64)
 #: Bytes of text that are worked on at once; a longer document is a block of its own.
 BLOCK = 1 << 20
 
+# A worker serves many stages. Freed arrays go back to the system at once instead of adding up in its heap: the size
+# from which the C library maps memory singly (parameter -3 of glibc) otherwise grows with the arrays it has seen.
+if hasattr(_libc := ctypes.CDLL(None), "mallopt"):
+    _libc.mallopt(-3, 1 << 20)
+pa.set_memory_pool(pa.system_memory_pool())
+
 WHITE = np.zeros(256, bool)
 WHITE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
