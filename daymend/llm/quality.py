@@ -1,14 +1,15 @@
 """Quality by the perplexity of an interpolated modified Kneser-Ney model of trusted text.
 
-Tokens are characters folded into ``SYMBOLS`` classes (lower-cased; Latin letters apart, accented and other letters,
-digits, white space and signs in classes of their own), and the model has ``ORDER`` of them, so it has at most
-64**4 entries whatever the corpus holds. That bound is what lets it be broadcast; a model of words would need the
-texts shuffled once for each order and did not fit the disk that the check tool allows.
+The model has words (``word_grams``: three of them, in shards that grow with the trusted text) over characters: what
+the words leave goes to the spelling of the word by a model of ``ORDER`` characters folded into ``SYMBOLS`` classes
+(lower-cased; Latin letters apart, accented and other letters, digits, white space and signs in classes of their own).
+That one has at most 64**4 entries and is broadcast; it only spells words that the shards do not know.
 
-Training reads all trusted documents whole. Their part tells the counts of its grams; counts are summed by key,
-continuation counts and context totals follow from them by grouping on suffixes and prefixes, and each gram is
-joined with its context's totals to get its discounted share. Scoring is one pass without a shuffle. A document is
-kept when its perplexity is at most the ``quantile`` of the trusted documents of its language.
+Training reads all trusted documents whole. Parts tell the counts of their grams; counts are summed by key,
+continuation counts and context totals follow from them by grouping on suffixes and prefixes. Parts are dealt again to
+be scored, with the answers of the shards; a part is scored by the words of the others, so a trusted document never by
+its own words (its spelling stays in the character model). Perplexity is by character. A document is kept when it is
+at most the ``quantile`` of the trusted documents of its language.
 
 Cases: null and empty texts have no perplexity and are not kept; a language (or a null one) without trusted documents
 takes the threshold over all languages; without any trusted text perplexities are null and every text that is not
@@ -26,11 +27,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daymend.llm import textops as T
-from daymend.llm.dealing import deal, n_parts, rows_of
+from daymend.llm import word_grams as W
+from daymend.llm.dealing import batch, deal, n_parts, rows_of
 from daymend.llm.frames import stored, text_or_empty
 from daymend.llm.language_id import letters
 
 SYMBOLS, BITS, ORDER = 64, 6, 4
+#: Least number of parts; a part is scored by the words of all others.
+FOLDS = 16
 _fold: list[np.ndarray] = []
 
 
@@ -90,10 +94,7 @@ def count_grams(docs: pa.Table, trusted: pa.Table) -> pa.Table:
 def shares(counts: DataFrame, order: int) -> tuple[DataFrame, DataFrame]:
     """Discounted shares (gram, share) and what each context leaves to the lower order (context, rest)."""
     of = counts.agg(*(F.count(F.when(F.col("n") == k, 1)).alias(f"n{k}") for k in (1, 2, 3, 4))).first()
-    n1, n2, n3, n4 = (max(1, of[f"n{k}"]) for k in (1, 2, 3, 4))
-    y = n1 / (n1 + 2 * n2)
-    d1, d2, d3 = (min(max(x, 0.05), k - 0.05) for k, x in
-                  ((1, 1 - 2 * y * n2 / n1), (2, 2 - 3 * y * n3 / n2), (3, 3 - 4 * y * n4 / n3)))
+    d1, d2, d3 = W.discounts_of(*of)
     n = F.col("n")
     discount = F.when(n == 1, d1).when(n == 2, d2).otherwise(d3)
     keyed = counts.withColumn("context", F.shiftright("gram", BITS)).withColumn("discount", discount)
@@ -138,11 +139,16 @@ class Model:
         return np.log(self.table[gram] + self.rest[gram >> BITS] * self.lower[gram & (SYMBOLS ** (ORDER - 1) - 1)])
 
 
+def trusted_ids(labels: DataFrame, parts: int) -> DataFrame:
+    """(doc_id, part) of the documents that a label calls good."""
+    return (labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
+            .withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(parts)).cast("int")))
+
+
 def train(docs: DataFrame, labels: DataFrame) -> Model | None:
     """The model of all documents that a label calls good; None where there are none."""
     parts = n_parts(docs)
-    trusted = (labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
-               .withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(parts)).cast("int")))
+    trusted = trusted_ids(labels, parts)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     counts = stored(deal(texts, parts).groupBy("part").cogroup(trusted.groupBy("part"))
                     .applyInArrow(count_grams, "gram long, n long")
@@ -163,32 +169,71 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
     return Model({int(k): (key[order == k], value[order == k]) for k in np.unique(order)})
 
 
-def perplexities(docs: DataFrame, model: Model | None) -> DataFrame:
+def _own(rows: pa.Table, ids: np.ndarray) -> np.ndarray:
+    """Rows with one of the ids."""
+    column = rows.column("doc_id")
+    return np.isin(column.fill_null(-1).to_numpy(), ids) & column.is_valid().to_numpy()
+
+
+def _block_texts(table: pa.Table) -> Iterator[tuple[pa.Table, list[str]]]:
+    for rows in rows_of(table):
+        text, offsets = T.buffers(rows.column("text"))
+        for lo, hi in T.blocks(offsets):
+            yield rows.slice(lo, hi - lo), _strings(text[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
+
+
+def tell_words(buckets: int):
+    """What a part asks of the shards and tells them."""
+
+    def told(key: tuple, docs: pa.Table, trusted: pa.Table) -> pa.Table:
+        ids, found, marks = trusted.column("doc_id").to_numpy(), [], []
+        for rows, texts in _block_texts(docs):
+            tokens = W.tokens(texts)
+            found.append(tokens)
+            marks.append((_own(rows, ids) & (tokens["lengths"] > 0))[tokens["row"]])
+        return batch(W.MESSAGE, W.asks(found, marks, key[0].as_py(), buckets))
+
+    return told
+
+
+def perplexities(docs: DataFrame, labels: DataFrame, model: Model | None) -> DataFrame:
     """(doc_id, lang, n_symbols, perplexity) of each document; an empty text has no perplexity."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {kind}, lang string, n_symbols long, perplexity double"
+    if model is None:
+        return docs.select("doc_id", F.col("lang").cast("string").alias("lang"), F.char_length(text_or_empty()).cast("long").alias("n_symbols"),
+                           F.lit(None).cast("double").alias("perplexity"))
+    parts = max(FOLDS, n_parts(docs))
+    buckets = 2 * parts
+    trusted = trusted_ids(labels, parts)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text")
+    dealt = deal(texts, parts)
+    told = stored(dealt.groupBy("part").cogroup(trusted.groupBy("part")).applyInArrow(tell_words(buckets), W.MESSAGE), "asked")
+    answers, discounts, words = W.answers(told)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, lang string, n_symbols long, perplexity double"
-
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            text, offsets = T.buffers(batch.column("text"))
-            value, length = np.full(batch.num_rows, np.nan), np.zeros(batch.num_rows, np.int64)
-            for lo, hi in T.blocks(offsets):
-                gram, rows = grams(_strings(text[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]))
-                n = np.bincount(rows, minlength=hi - lo)
-                length[lo:hi] = n - 1
-                if shared.value is not None:
-                    total = np.bincount(rows, shared.value.log_probabilities(gram), minlength=hi - lo)
-                    value[lo:hi] = np.where(n > 1, np.exp(-total / n), np.nan)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("lang"), pa.array(length), pa.array(value, mask=np.isnan(value))],
-                ["doc_id", "lang", "n_symbols", "perplexity"])
-
-    return docs.select("doc_id", F.col("lang").cast("string").alias("lang"), text_or_empty().alias("text")).mapInArrow(scored, schema)
+
+    def scored(key: tuple, docs: pa.Table, answers: pa.Table) -> pa.Table:
+        blocks = [(rows.select(["doc_id", "lang"]), texts) for rows, texts in _block_texts(docs)]
+        ids = W.asked([W.tokens(texts) for _, texts in blocks], buckets)
+        part = W.PartModel(ids, answers, key[0].as_py(), buckets, discounts, words)
+        out = []
+        for rows, texts in blocks:
+            found = W.tokens(texts)
+            spelled = np.bincount(found["symbol"], shared.value.log_probabilities(grams(texts)[0]), len(found["row"]))
+            total = np.bincount(found["row"], part.log_probabilities(found, spelled), len(texts))
+            n = found["lengths"]
+            value = np.where(n > 0, np.exp(-total / (n + 1)), np.nan)
+            out.append(rows.append_column("n_symbols", pa.array(n)).append_column("perplexity", pa.array(value, mask=n == 0)))
+        return pa.concat_tables(out) if out else pa.table({"doc_id": pa.array([], pa.int64()), "lang": pa.array([], pa.string()),
+                                                          "n_symbols": pa.array([], pa.int64()), "perplexity": pa.array([], pa.float64())})
+
+    return (dealt.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(scored, schema.replace(kind, "long", 1))
+            .withColumn("doc_id", F.col("doc_id").cast(kind)))
 
 
 def quality(docs: DataFrame, labels: DataFrame, quantile: float = 0.99) -> DataFrame:
     """One row per document: doc_id, lang, perplexity, threshold, kept."""
-    scored = stored(perplexities(docs, train(docs, labels)), "perplexities")
+    scored = stored(perplexities(docs, labels, train(docs, labels)), "perplexities")
     trusted = labels.where("quality = 1").select("doc_id").distinct()
     of_trusted = scored.join(trusted, "doc_id", "left_semi").where("perplexity is not null")
     point = F.percentile_approx("perplexity", quantile, 10_000).alias("threshold")

@@ -17,7 +17,7 @@ from tokenizers import Tokenizer
 
 import __spark_entry__ as entry_point
 from daymend.llm import cap_filters, chat, decontamination, frames, language_id, packing, quality, set_join
-from daymend.llm import suffix_dedup, textops, token_counts, toxicity, units
+from daymend.llm import suffix_dedup, textops, token_counts, toxicity, units, word_grams
 
 SF = "/root/testdata/sf0.001"
 DOC = "doc_id long, text string, lang string, source string, n_chars long"
@@ -502,6 +502,84 @@ def test_kneser_ney_sums_to_one(spark):
         assert abs(np.exp(model.log_probabilities(after)).sum() - 1) < 1e-3
 
 
+def words_by_hand(docs, part_of, trusted):
+    """Perplexities by the words of all other parts over the spelling that ``spell`` gives, gram by gram."""
+    tokens = {i: [*t.lower().split(), 0] for i, t in docs.items()}
+
+    def grams_of(i):
+        w = [1, 1, *tokens[i]]
+        return [tuple(w[k - 2 : k + 1]) for k in range(2, len(w))]
+
+    def orders(ids):
+        out = {3: Counter(g for i in ids for g in grams_of(i))}
+        out[2] = Counter(g[1:] for g in out[3])
+        out[1] = Counter(g[1:] for g in out[2])
+        return out
+
+    whole = orders(trusted)
+    discount = {k: [0, *word_grams.discounts_of(*(sum(n == c for n in whole[k].values()) for c in (1, 2, 3, 4)))] for k in whole}
+
+    def model_without(part):
+        counts = orders([i for i in trusted if part_of[i] != part])
+        by = {k: defaultdict(list) for k in counts}
+        for k, table in counts.items():
+            for g, n in table.items():
+                by[k][g[:-1]].append(n)
+
+        def chance(k, g, spelled):
+            kinds = by[k][g[:-1]] if k else []
+            if not kinds:
+                return chance(k - 1, g[1:], spelled) if k else spelled
+            share = counts[k][g] - discount[k][min(3, counts[k][g])]
+            return (share + sum(discount[k][min(3, n)] for n in kinds) * chance(k - 1, g[1:], spelled)) / sum(kinds)
+
+        return chance
+
+    models = {part: model_without(part) for part in set(part_of.values())}
+    return {i: [lambda spelled, g=g, chance=models[part_of[i]]: chance(3, g, spelled) for g in grams_of(i)] for i in docs}
+
+
+def test_words_by_hand(spark):
+    rng = random.Random(21)
+    docs = {i: "  " * (i % 2) + prose(rng, 12, 9) + ("\n" if i % 3 else "") for i in range(60)}
+    trusted = [i for i in docs if i % 4]
+    frame = spark.createDataFrame([(i, t, "en") for i, t in docs.items()], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, int(i in trusted), 0) for i in docs], "doc_id long, quality int, toxic int")
+    model = quality.train(frame, labels)
+    parts = quality.FOLDS
+    part_of = {r[0]: r[1] for r in frame.select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(parts))).collect()}
+    chances = words_by_hand(docs, part_of, trusted)
+    got = {r["doc_id"]: r["perplexity"] for r in quality.perplexities(frame, labels, model).collect()}
+    for i, text in docs.items():
+        found = word_grams.tokens([text])
+        spelled = np.bincount(found["symbol"], model.log_probabilities(quality.grams([text])[0]))
+        total = sum(np.log(f(np.exp(x))) for f, x in zip(chances[i], spelled, strict=True))
+        assert np.isclose(got[i], np.exp(-total / (len(text) + 1)), rtol=1e-6)
+
+
+def test_quality_of_shuffled_words(spark):
+    """The same words in another order are worse text, and so are those of a script that folds into few classes."""
+    rng = random.Random(22)
+    lines = [prose(rng, 12, 3000) for _ in range(150)]
+    chinese = ["".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(12)) for _ in range(150)]
+    good = [" ".join(rng.sample(lines, 12)) for _ in range(150)] + ["".join(rng.sample(chinese, 12)) for _ in range(150)]
+    bad = [" ".join(rng.sample(t.split(), 144)) for t in good[:60]] + ["".join(rng.sample(t, len(t))) for t in good[150:210]]
+    lang = lambda k, n: "en" if k < n else "zh"
+    rows = [(k, t, lang(k, 150)) for k, t in enumerate(good)] + [(1000 + k, t, lang(k, 60)) for k, t in enumerate(bad)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(k, 1, 0) for k in range(len(good)) if k % 3], "doc_id long, quality int, toxic int")
+    kept = {r["doc_id"]: r["kept"] for r in quality.quality(frame, labels).collect()}
+    assert not any(kept[1000 + k] for k in range(len(bad)))
+    assert all(kept[k] for k in range(0, 150, 3))  # good text without a label
+    assert sum(kept[k] for k in range(150, 300, 3)) >= 30  # little text; the spelling knows trusted documents themselves
+
+
+def test_words_of_scripts_without_spaces():
+    found = word_grams.tokens(["", " \n", "Été x", "中文 Été"])
+    assert np.bincount(found["row"]).tolist() == [1, 1, 3, 4]
+    assert found["one"][2] == found["one"][7] and found["lengths"].tolist() == [0, 2, 5, 6]
+
+
 # --- chat
 
 
