@@ -6,8 +6,10 @@ decoding: partial products that cannot reach it any more are left out. Vectors o
 share and are verified there by cosine in double precision.
 
 The threshold follows the largest label: a filter holds about ``OCCUPANCY`` vectors that have nothing to do with one
-another, and a vector is in about ``LISTS`` filters, at least in its ``LEAST`` best. Recall is measured in the tests
-(above 0.99; the filters are random, so it is no certainty). No vector and no filter is sampled or capped.
+another, and a vector is in about ``LISTS`` filters, at least in its best ones. How many these are grows with the label:
+filters get sparser and products of codes depend on one another, so ``LEAST`` is doubled until ``PLANTED`` random pairs
+at the linking cosine share a filter with a recall of ``RECALL``. The filters are random, so it is no certainty. No
+vector and no filter is sampled or capped.
 
 Equal vectors of a label are one class. Large groups of near copies would compare quadratically, so in a filter with
 more than ``HOT`` classes those within half the linking angle of its smallest id form a core: any two of them link by
@@ -33,10 +35,21 @@ from daymend.llm.frames import components, stored
 
 COSINE = 0.93
 OCCUPANCY, LISTS, LEAST = 3, 20, 10
+PLANTED, RECALL = 1000, 0.996
 HOT, CELL = 256, 1024
 SEED = 20240229
 
 
+def planted(dim: int, n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Random pairs of unit vectors at the linking cosine."""
+    rng = np.random.default_rng([seed, dim])
+    one, aside = rng.standard_normal((n, dim)), rng.standard_normal((n, dim))
+    one /= np.linalg.norm(one, axis=1, keepdims=True)
+    aside -= (aside * one).sum(axis=1, keepdims=True) * one
+    aside /= np.linalg.norm(aside, axis=1, keepdims=True)
+    return one, COSINE * one + np.sqrt(1 - COSINE**2) * aside
+
+
 class Codes:
     """The filters for vectors of ``dim`` numbers when a label has up to ``n`` classes."""
 
@@ -56,6 +69,17 @@ class Codes:
         for a, b in zip(self.edges, self.edges[1:], strict=False):
             book = rng.standard_normal((self.codes, b - a))
             self.books.append(book / np.linalg.norm(book, axis=1, keepdims=True) / np.sqrt(self.blocks))
+        self.least = LEAST
+        if dim > 1:
+            one, other = planted(dim, PLANTED, SEED)
+            while self.shared(one, other) < RECALL and self.least < self.codes**self.blocks:
+                self.least *= 2
+
+    def shared(self, one: np.ndarray, other: np.ndarray) -> float:
+        """Share of the pairs of rows that have a filter in common."""
+        (a, left), (b, right) = self.lists(one), self.lists(other)
+        size = self.codes**self.blocks
+        return len(np.unique(np.intersect1d(a * size + left, b * size + right, assume_unique=True) // size)) / len(one)
 
     def _decode(self, scores: list[np.ndarray], bound: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(row, filter, score) of all products with a score of ``bound`` or more for their row."""
@@ -78,17 +102,17 @@ class Codes:
             scores = [part[:, a:b] @ book.T for a, b, book in zip(self.edges, self.edges[1:], self.books, strict=False)]
             bound = np.full(len(part), self.threshold)
             row, code, total = self._decode(scores, bound)
-            few = np.bincount(row, minlength=len(part)) < LEAST
+            few = np.bincount(row, minlength=len(part)) < self.least
             while few.any():  # lower the threshold for these until they have their best ones
                 bound[few] -= 0.02
                 row, code, total = self._decode(scores, bound)
-                few = np.bincount(row, minlength=len(part)) < min(LEAST, self.codes**self.blocks)
+                few = np.bincount(row, minlength=len(part)) < min(self.least, self.codes**self.blocks)
             keep = np.ones(len(row), bool)
             low = bound < self.threshold
             if low.any():
                 order = np.lexsort((-total, row))
                 place = np.arange(len(row)) - np.searchsorted(row[order], row[order])
-                keep[order] = ~low[row[order]] | (place < LEAST)
+                keep[order] = ~low[row[order]] | (place < self.least)
             rows.append(row[keep] + lo)
             found.append(code[keep])
         rows, found = np.concatenate(rows), np.concatenate(found)
@@ -251,7 +275,7 @@ def near_duplicates(embeddings: DataFrame) -> DataFrame:
               .select("id", "key", F.coalesce("core", F.lit(NONE)).alias("core"),
                       F.when(main, -1).otherwise(F.col("chunk")).cast("long").alias("side"),
                       F.col("place.crossing").alias("crossing"), F.xxhash64("key", "place").alias("cell")))
-    tasks = max(8, (known.count() * LISTS) // 20_000)
+    tasks = max(8, (known.agg(F.sum(F.size("filters")).alias("n")).first()["n"] or 0) // 20_000)
     found = (spread.join(known, "id").withColumn("task", F.pmod(F.xxhash64("cell"), F.lit(tasks)))
              .groupBy("task").applyInArrow(verify(kind), "id long, root long, links long"))
     found = stored(found, "found")

@@ -360,6 +360,11 @@ def test_cap_filters_recall_near_the_threshold(spark):
     assert sum(got.values()) >= 0.97 * sum(want.values())
 
 
+@pytest.mark.parametrize("n", [10**3, 10**5, 10**6])
+def test_cap_filters_recall_in_large_labels(n):
+    assert cap_filters.Codes(64, n).shared(*cap_filters.planted(64, 600, 16)) >= 0.99
+
+
 def test_components(spark):
     rng = random.Random(9)
     pairs = [(rng.randrange(300), rng.randrange(300)) for _ in range(180)] + [(k, k + 1) for k in range(1000, 1040)]
