@@ -12,7 +12,8 @@ dealt into cells on fine coordinate blocks, and a tree is built in each cell:
    so agree on each block with a probability of about one third. A document has up to ``BLOCKS`` blocks (small sets
    several independent rounds of them); that no block of a linked pair agrees has a probability below 1e-11.
    Documents with the same counts in a block share a cell.
-2. Equal sets are one class. In each cell the class whose cells are the fullest stands for the others, which for
+2. Equal sets are one class, and only one document of it tells cell keys. Parts tell the sums of a key, which are all
+   that meets in a task, and are answered its weight. In each cell the class whose cells are the fullest stands for the others, which for
    copies of one text is that text: every class is compared with the one that stands for it most often, by bound and
    then by tokens. This joins most copies without any pairs among them.
 3. Cells whose classes are not all connected by then are searched by their R-trees: packed by size and leading
@@ -123,47 +124,65 @@ def block_keys(tokens: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def tell_keys(buckets: int):
-    """(doc_id, text) to the cell keys of each bucket; equal sets of a block of rows speak once."""
-
-    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            text, offsets = T.buffers(batch.column("text"))
-            ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-            keys, docs = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    """Cell keys of a part's classes by bucket: (key, number of classes, weight) in ``sums``, the classes in ``docs``.
+
+    Only the document that stands for a class of equal sets speaks, with the size of the class as its weight.
+    """
+
+    def told(key: tuple, docs: pa.Table, classes: pa.Table) -> pa.Table:
+        classes = classes.sort_by("id")
+        ids, size = classes.column("id").to_numpy(), classes.column("size").to_numpy()
+        keys, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        for rows in rows_of(docs) if len(ids) else ():
+            rows = rows.filter(pa.array(np.isin(rows.column("doc_id").to_numpy(), ids))).combine_chunks()
+            text, offsets = T.buffers(rows.column("text"))
+            own = rows.column("doc_id").to_numpy()
             for lo, hi in T.blocks(offsets):
                 tokens, bounds = T.shingles(text[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], SIZE)
-                key, own = block_keys(tokens, bounds)
-                keys.append(key)
-                docs.append(ids[lo:hi][own])
-            keys, docs = np.concatenate(keys), np.concatenate(docs)
-            bucket = (keys % np.uint64(buckets)).astype(np.int64)
-            order = np.lexsort((docs, keys, bucket))
-            keys, docs, bucket = keys[order], docs[order], bucket[order]
-            found, first = np.unique(bucket, return_index=True)
-            ends = [*first[1:].tolist(), len(keys)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(found, pa.int32()),
-                 pa.array([pack(key=keys[a:b], doc=docs[a:b]) for a, b in zip(first.tolist(), ends, strict=False)],
-                          pa.binary())], ["bucket", "body"])
+                found, of = block_keys(tokens, bounds)
+                keys.append(found)
+                owners.append(own[lo:hi][of])
+        keys, owners = np.concatenate(keys), np.concatenate(owners)
+        bucket = (keys % np.uint64(buckets)).astype(np.int64)
+        order = np.lexsort((owners, keys, bucket))
+        keys, owners, bucket = keys[order], owners[order], bucket[order]
+        new = np.ones(len(keys), bool)
+        new[1:] = (keys[1:] != keys[:-1]) | (owners[1:] != owners[:-1])
+        keys, owners, bucket = keys[new], owners[new], bucket[new]
+        found, first = np.unique(bucket, return_index=True)
+        sums, docs_of = [], []
+        for a, b in zip(first.tolist(), [*first[1:].tolist(), len(keys)], strict=False):
+            at = np.flatnonzero(np.append(True, keys[a + 1 : b] != keys[a : b - 1]))
+            n = np.diff(np.append(at, b - a))
+            sums.append(pack(key=keys[a:b][at], n=n, weight=np.add.reduceat(size[np.searchsorted(ids, owners[a:b])], at)))
+            docs_of.append(pack(doc=owners[a:b]))
+        return pa.table({"bucket": pa.array(found, pa.int32()), "part": pa.array([key[0].as_py()] * len(found), pa.int32()),
+                         "sums": pa.array(sums, pa.binary()), "docs": pa.array(docs_of, pa.binary())})
 
     return told
 
 
-def shared_cells(table: pa.Table) -> pa.Table:
-    """(key, doc, full) of the cells of a bucket that hold ``full`` documents, more than one."""
-    told = [unpack(x) for x in table.column("body")]
-    keys, docs = np.concatenate([x["key"] for x in told]), np.concatenate([x["doc"] for x in told])
-    order = np.lexsort((docs, keys))
-    keys, docs = keys[order], docs[order]
-    new = np.ones(len(keys), bool)
-    new[1:] = (keys[1:] != keys[:-1]) | (docs[1:] != docs[:-1])
-    keys, docs = keys[new], docs[new]
-    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
-    full = np.diff(np.append(first, len(keys)))
-    full = np.repeat(full, full)
-    several = full > 1
-    return pa.table({"key": pa.array(keys[several].view(np.int64)), "doc": pa.array(docs[several]),
-                     "full": pa.array(full[several].astype(np.int64))})
+def cell_weights(table: pa.Table) -> pa.Table:
+    """Answers each part the weights of its keys over the whole bucket; 0 where one class is alone."""
+    told = [unpack(x) for x in table.column("sums")]
+    keys, which = np.unique(np.concatenate([x["key"] for x in told]), return_inverse=True)
+    total = lambda name: np.bincount(which, np.concatenate([x[name] for x in told]), len(keys)).astype(np.int64)
+    full = np.where(total("n") > 1, total("weight"), 0)[which]
+    ends = np.cumsum([len(x["key"]) for x in told])[:-1]
+    return pa.table({"bucket": table.column("bucket"), "part": table.column("part"),
+                     "answer": pa.array([pack(full=x) for x in np.split(full, ends)], pa.binary())})
+
+
+def shared_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, doc, full) of the cells with several classes, ``full`` documents together."""
+    for batch in batches:
+        for sums, docs, answer in zip(*(batch.column(x) for x in ("sums", "docs", "answer")), strict=True):
+            sums, docs, full = unpack(sums), unpack(docs)["doc"], unpack(answer)["full"]
+            keys, full = np.repeat(sums["key"], sums["n"]), np.repeat(full, sums["n"])
+            several = full > 0
+            if several.any():
+                yield pa.RecordBatch.from_arrays([pa.array(keys[several].view(np.int64)), pa.array(docs[several]), pa.array(full[several])],
+                                                 ["key", "doc", "full"])
 
 
 def needed(total: np.ndarray) -> np.ndarray:
@@ -302,16 +321,19 @@ def set_join(docs: DataFrame) -> DataFrame:
     n_docs = known.count()
     files = lambda rows: 1 + n_docs // rows  # noqa: E731  for results of a few rows a document at most
     full = known.where("n_shingles > 0 and doc_id is not null")
-    classes = full.groupBy("n_shingles", "digest").agg(F.min("doc_id").alias("id"))
-    classes = stored(classes, "classes", files(50_000))
-    own_class = full.select("doc_id", "n_shingles", "digest").join(classes, ["n_shingles", "digest"])
-
-    filled = texts.where("doc_id is not null")
-    cells = stored(filled.mapInArrow(tell_keys(parts), "bucket int, body binary")
-                   .groupBy("bucket").applyInArrow(shared_cells, "key long, doc long, full long"), "cells")
-    of_doc = (cells.groupBy("doc").agg(F.sum("full").alias("weight"))
-              .join(own_class.select(F.col("doc_id").alias("doc"), "id"), "doc"))
-    members = cells.join(of_doc, "doc").groupBy("key", "id").agg(F.max("weight").alias("weight"))
+    classes = full.groupBy("n_shingles", "digest").agg(F.min("doc_id").alias("id"), F.count("*").alias("size"))
+    sized = stored(classes, "classes", files(50_000))
+    classes = sized.drop("size")
+
+    texts = texts.where("doc_id is not null")
+    standing = (sized.groupBy("id").agg(F.sum("size").alias("size"))
+                .withColumn("part", F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int")))
+    told = stored(deal(texts, parts).groupBy("part").cogroup(standing.groupBy("part"))
+                  .applyInArrow(tell_keys(parts), "bucket int, part int, sums binary, docs binary"), "told")
+    weights = told.select("bucket", "part", "sums").groupBy("bucket").applyInArrow(cell_weights, "bucket int, part int, answer binary")
+    cells = stored(told.join(weights, ["bucket", "part"]).mapInArrow(shared_cells, "key long, doc long, full long"), "cells")
+    of_doc = cells.groupBy("doc").agg(F.sum("full").alias("weight"))
+    members = cells.join(of_doc, "doc").select("key", F.col("doc").alias("id"), "weight")
     roots = members.groupBy("key").agg(
         F.max_by("id", F.struct("weight", -F.col("id"))).alias("root"), F.count("*").alias("n"))
     members = stored(members.drop("weight").join(roots.where("n > 1"), "key"), "members", files(5_000))

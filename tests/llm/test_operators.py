@@ -263,6 +263,23 @@ def test_set_join_odd_rows(odd):
     assert set_join.set_join(empty(odd)).count() == 0
 
 
+def test_copies_tell_no_cell_keys(spark, monkeypatch):
+    """Of a hot group of copies one document speaks; it links with a near copy as all of them do."""
+    rows = {}
+    monkeypatch.setattr(set_join, "stored", lambda frame, label, files=None: rows.setdefault(label, []).append(
+        out := frames.stored(frame, label, files)) or out)
+    rng = random.Random(23)
+    base = prose(rng, 200)
+    near = base.split()
+    near[100] = "other"
+    frame = spark.createDataFrame([(k, base) for k in range(400)] + [(400, " ".join(near)), (401, prose(rng, 200)), (None, base)],
+                                  "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in set_join.set_join(frame).collect()}
+    assert got == {**dict.fromkeys(range(401), 0), 401: 401, None: None}
+    assert 0 < rows["cells"][0].count() <= 2 * 128
+    assert rows["cells"][0].agg(F.max("full")).first()[0] == 401
+
+
 def test_set_join_of_borderline_chains(spark):
     """Copies of copies around the threshold, in sets of all sizes, some of which link only by way of others."""
     rng = random.Random(6)
