@@ -1,6 +1,7 @@
 """Benchmark decontamination by greedy string tiling.
 
-Seeds are runs of ``min_match`` words (lower-cased runs of letters and digits). Documents meet test items on shared
+Seeds are runs of ``min_match`` words: runs of Unicode letters, marks and digits, in normal form (NFKC) and without
+case. Documents meet test items on shared
 seeds; for each such pair all maximal common runs are found by a rolling (Karp-Rabin) hash, and the longest one that
 overlaps no tile is marked again and again until none of ``min_match`` words is left. A document is contaminated
 when the tiles cover at least ``coverage`` of an item's words, in whatever order its parts stand in the document.
@@ -8,14 +9,15 @@ when the tiles cover at least ``coverage`` of an item's words, in whatever order
 The benchmark goes to the tasks in blocks of at most ``BLOCK_WORDS`` words (16 MB), a pass over the documents for
 each block, so its size is bounded at any size of the benchmark. Documents are never shuffled, whatever they share.
 
-Cases: null or empty texts match nothing; an item with fewer than ``min_match`` words cannot be tested and matches
-nothing; each of several equal items or equal documents is reported by itself; of runs of one length the first in
+Cases: null or empty texts match nothing; an item with fewer than ``min_match`` words matches where all of them stand
+in a row; each of several equal items or equal documents is reported by itself; of runs of one length the first in
 the document is marked first; empty tables give empty results. Whole texts are compared, however long.
 """
 
 from __future__ import annotations
 
 import heapq
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,16 +29,30 @@ from daymend.llm import textops as T
 from daymend.llm.frames import text_or_empty
 
 BLOCK_WORDS = 1 << 20
-_WORD = np.zeros(256, bool)
-_WORD[48:58] = _WORD[65:91] = _WORD[97:123] = True
-_WORD[128:] = True
+_word: list[np.ndarray] = []
+
+
+def _in_words() -> np.ndarray:
+    """Is each code point part of a word?"""
+    if not _word:
+        _word.append(np.array([unicodedata.category(chr(k))[0] in "LMN" for k in range(0x110000)]))
+    return _word[0]
+
+
+def folded(text: str) -> str:
+    """Normal form without case; texts that differ in these only become equal."""
+    if text.isascii():
+        return text.lower()
+    return unicodedata.normalize("NFKC", unicodedata.normalize("NFKC", text).casefold())
 
 
 def word_hashes(text: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and rows of lower-cased words."""
-    text = T.LOWER[text]
-    starts, ends, rows = T.runs(_WORD[text], offsets)
-    return T.range_hashes(T.prefix_sums(text), starts, ends), rows
+    """Hashes and rows of folded words."""
+    raw, ends = text.tobytes(), offsets.tolist()
+    texts = [folded(raw[a:b].decode("utf-8", "replace")) for a, b in zip(ends, ends[1:], strict=False)]
+    codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    starts, ends, rows = T.runs(_in_words()[codes], np.concatenate([[0], np.cumsum([len(x) for x in texts], dtype=np.int64)]))
+    return T.range_hashes(T.prefix_sums(codes), starts, ends), rows
 
 
 def maximal_runs(doc_at: np.ndarray, item_at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -85,12 +101,26 @@ class Items:
         order = whole[np.argsort(seeds[whole], kind="stable")]
         self.seeds, self.rows = seeds[order], rows[order]
         self.at = order - first[self.rows]
+        self.short = {}  # items below the size of a seed, by their number of words
+        for n in range(1, size):
+            few = np.flatnonzero(self.words == n)
+            whole = T.sequence_hashes(hashes, n)[first[few]] if len(few) else np.zeros(0, np.uint64)
+            if len(few):
+                order = np.argsort(whole, kind="stable")
+                self.short[n] = whole[order], few[order]
         self.marks = np.zeros(1 << 22, bool)
         self.marks[(self.seeds & np.uint64(0x3FFFFF)).astype(np.int64)] = True
 
     def matches(self, text: np.ndarray, offsets: np.ndarray, coverage: float) -> Iterator[tuple]:
         """(row, item id, tiles, matched words, item words) of the contaminated rows."""
         hashes, rows = word_hashes(text, offsets)
+        for words, (known, items) in self.short.items():
+            found = T.sequence_hashes(hashes, words)
+            lo = np.searchsorted(known, found, "left")
+            n = np.where(rows[: len(found)] == rows[words - 1 :][: len(found)], np.searchsorted(known, found, "right") - lo, 0)
+            pairs = np.stack([np.repeat(rows[: len(found)], n), items[T.ranges(lo, n)]], axis=1)
+            for row, k in np.unique(pairs, axis=0).tolist():
+                yield row, self.ids[k], 1, words, words
         seeds = T.sequence_hashes(hashes, self.size)
         near = np.flatnonzero(self.marks[(seeds & np.uint64(0x3FFFFF)).astype(np.int64)])
         near = near[rows[near] == rows[near + self.size - 1]]

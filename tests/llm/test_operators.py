@@ -4,6 +4,7 @@ import hashlib
 import os
 import random
 import re
+import unicodedata
 import zlib
 from collections import Counter, defaultdict
 
@@ -422,6 +423,20 @@ def test_string_tiling(spark, odd):
     assert decontamination.decontaminated(odd, items).columns == odd.columns
 
 
+def test_string_tiling_of_other_writing(spark):
+    """Case, normal form, quotes, dashes and no-break spaces of other scripts do not hide a passage."""
+    said = "l'été à Évreux où naît une étrange idée, die Straße führt über größere Brücken, él añadió cien años más"
+    ways = [said.upper(), unicodedata.normalize("NFD", said), "« " + said.replace(" ", "\u00a0") + " »", said.replace(" ", "—"),
+            "“" + "” “".join(said.split()) + "”"]
+    items = spark.createDataFrame([(1, said), (2, "Göteborgs Straße"), (3, "…"), (4, "été")], "item_id long, text string")
+    docs = spark.createDataFrame([(k, f"avant {t} après") for k, t in enumerate(ways)] + [
+        (10, "in GÖTEBORGS STRASSE, dort"), (11, "Göteborgs neue Straße"), (12, "Göteborgs"), (13, "Straße")], "doc_id long, text string")
+    docs = docs.repartition(1)  # neighbours in one buffer
+    got = {(r["doc_id"], r["item_id"]): r["coverage"] for r in decontamination.contaminations(docs, items).collect()}
+    assert got == {**{(k, i): 1.0 for k in range(len(ways)) for i in (1, 4)}, (10, 2): 1.0}
+    assert {r["doc_id"] for r in decontamination.decontaminated(docs, items).collect()} == {11, 12, 13}
+
+
 def test_tiles_by_hand():
     """Greedy string tiling as it is written down: find the longest free match, mark it, again."""
     rng = random.Random(11)
