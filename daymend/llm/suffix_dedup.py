@@ -336,8 +336,16 @@ def answer_strings(table: pa.Table) -> pa.Table:
     return batch(MESSAGE, out)
 
 
-def cut_texts(buckets: int, names: list[str]):
-    """Cuts a part's documents by the answers of the buckets."""
+def whole_characters(removed: np.ndarray, text: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """``removed`` with the bytes that a cut has left of split characters."""
+    begins = (text & 0xC0) != 0x80
+    begins[offsets[:-1][offsets[:-1] < len(text)]] = True
+    character = np.cumsum(begins) - 1
+    return (np.bincount(character, removed) > 0)[character] if len(text) else removed
+
+
+def cut_texts(buckets: int, names: list[str], whole: bool = False):
+    """Cuts a part's documents by the answers of the buckets; ``whole`` cuts no character in two."""
 
     def cut(docs: pa.Table, answers: pa.Table) -> Iterator[pa.RecordBatch]:
         hashes, counts, owners, hot = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], np.zeros(0, np.uint64)
@@ -374,8 +382,9 @@ def cut_texts(buckets: int, names: list[str]):
             spans[inner] = removed[inner]
             sums = np.concatenate([[0], np.cumsum(removed)])
             span_sums = np.concatenate([[0], np.cumsum(spans)])
-            raw = text[~removed].tobytes()
-            ends = (offsets - sums[offsets]).tolist()
+            gone = whole_characters(removed, text, offsets) if whole else removed
+            raw = text[~gone].tobytes()
+            ends = (offsets - np.concatenate([[0], np.cumsum(gone)])[offsets]).tolist()
             kept = [raw[a:b] for a, b in zip(ends, ends[1:], strict=False)]
             part = rows.slice(lo, hi - lo).combine_chunks()
             yield pa.RecordBatch.from_arrays(
@@ -392,8 +401,11 @@ def cut_texts(buckets: int, names: list[str]):
     return table_of
 
 
-def dedup_passages(docs: DataFrame) -> DataFrame:
-    """All columns of ``docs`` with ``text`` replaced by ``kept`` (binary), and n_bytes, n_removed, n_spans."""
+def dedup_passages(docs: DataFrame, whole: bool = False) -> DataFrame:
+    """All columns of ``docs`` with ``text`` replaced by ``kept`` (binary), and n_bytes, n_removed, n_spans.
+
+    With ``whole``, what is left of a character that a cut has split is not in ``kept``; the numbers do not count it.
+    """
     names = docs.columns
     parts = n_parts(docs)
     buckets = 2 * parts
@@ -405,15 +417,14 @@ def dedup_passages(docs: DataFrame) -> DataFrame:
                .groupBy("bucket").applyInArrow(answer_strings, MESSAGE))
     fields = [f if f.name != "text" else S.StructField("kept", S.BinaryType()) for f in docs.schema.fields]
     schema = S.StructType([*fields, *(S.StructField(x, S.LongType()) for x in ("n_bytes", "n_removed", "n_spans"))])
-    return by_part(dealt).cogroup(by_part(answers)).applyInArrow(cut_texts(buckets, names), schema)
+    return by_part(dealt).cogroup(by_part(answers)).applyInArrow(cut_texts(buckets, names, whole), schema)
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """``docs`` without repeated passages; what is left of a character that a cut has split goes too."""
     others = [x for x in docs.columns if x not in ("doc_id", "text")]
-    out = dedup_passages(docs.select("doc_id", "text", F.struct(F.lit(0).alias("_"), *others).alias("rest")))
-    kept = F.col("kept").cast("string")
-    text = F.when(F.col("n_removed") > 0, F.replace(F.make_valid_utf8(kept), F.lit("\ufffd"), F.lit(""))).otherwise(kept)
+    out = dedup_passages(docs.select("doc_id", "text", F.struct(F.lit(0).alias("_"), *others).alias("rest")), whole=True)
+    text = F.col("kept").cast("string")
     return out.select(*(text.alias(x) if x == "text" else F.col(x) if x == "doc_id" else F.col("rest")[x].alias(x)
                         for x in docs.columns))
 

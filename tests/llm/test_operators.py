@@ -184,6 +184,17 @@ def test_passages(spark, odd, sample, monkeypatch):
     assert suffix_dedup.digests(empty(odd)).count() == 0
 
 
+def test_cut_texts_keep_their_own_replacement_characters(spark):
+    """Only what a cut has left of a character goes; marks of earlier damage are text."""
+    passage = "é" * 20 + "中" * 20
+    docs = spark.createDataFrame([(1, "a\ufffd" + passage + "\ufffdb"), (2, "x\ufffdy " + passage + " \ufffd中z")], "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in suffix_dedup.deduplicated(docs).collect()}
+    assert got == {1: "a\ufffd" + passage + "\ufffdb", 2: "x\ufffdy  \ufffd中z"}
+    split = spark.createDataFrame([(1, "Ã" + "é" * 30), (2, "É" + "é" * 30 + "è\ufffd")], "doc_id long, text string")
+    want = {r["doc_id"]: r["kept"].decode("utf-8", "ignore") for r in suffix_dedup.dedup_passages(split).collect()}
+    assert {r["doc_id"]: r["text"] for r in suffix_dedup.deduplicated(split).collect()} == want
+
+
 def test_windows_of_hot_anchors(monkeypatch):
     """All steps by hand with every shared anchor treated as hot."""
     monkeypatch.setattr(suffix_dedup, "HOT", 1)
