@@ -12,6 +12,7 @@ from daymend.llm import (
     cap_filters,
     chat,
     decontamination,
+    fill_in_middle,
     language_id,
     packing,
     quality,
@@ -67,8 +68,12 @@ def op10_count_vector_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return set_join.set_join(read(spark, sf_dir, "documents"))
 
 
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.digests(fill_in_middle.fill_in_middle(read(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_cap_filters, op2_string_tiling, op3_kneser_ney_quality, op4_suffix_array_dedup, op5_best_fit_packing, op6_toxicity, op7_prefix_targets,
-        op8_hyperdimensional_language, op9_token_counts, op10_count_vector_join)}
-ORACLES: dict[str, str] = {}
+        op8_hyperdimensional_language, op9_token_counts, op10_count_vector_join, op13_fill_in_middle)}
+ORACLES: dict[str, str] = {"op13_fill_in_middle": fill_in_middle.ORACLE}
