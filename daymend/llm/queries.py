@@ -20,6 +20,7 @@ from daymend.llm import (
     suffix_dedup,
     token_counts,
     toxicity,
+    vector_codes,
 )
 from daymend.llm.frames import read
 
@@ -68,6 +69,10 @@ def op10_count_vector_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return set_join.set_join(read(spark, sf_dir, "documents"))
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.vector_codes(read(spark, sf_dir, "embeddings"))
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_in_middle.digests(fill_in_middle.fill_in_middle(read(spark, sf_dir, "documents").select("doc_id", "text")))
 
@@ -75,5 +80,6 @@ def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_cap_filters, op2_string_tiling, op3_kneser_ney_quality, op4_suffix_array_dedup, op5_best_fit_packing, op6_toxicity, op7_prefix_targets,
-        op8_hyperdimensional_language, op9_token_counts, op10_count_vector_join, op13_fill_in_middle)}
-ORACLES: dict[str, str] = {"op13_fill_in_middle": fill_in_middle.ORACLE}
+        op8_hyperdimensional_language, op9_token_counts, op10_count_vector_join, op12_vector_codes, op13_fill_in_middle)}
+ORACLES: dict[str, str] = {
+    "op12_vector_codes": vector_codes.ORACLE, "op13_fill_in_middle": fill_in_middle.ORACLE}
