@@ -14,6 +14,7 @@ from daymend.llm import (
     decontamination,
     fill_in_middle,
     language_id,
+    mixing,
     packing,
     quality,
     set_join,
@@ -69,6 +70,11 @@ def op10_count_vector_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return set_join.set_join(read(spark, sf_dir, "documents"))
 
 
+def op11_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = mixing.mixed(read(spark, sf_dir, "documents"), mixing.quality_weights(read(spark, sf_dir, "labels")))
+    return mix.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.vector_codes(read(spark, sf_dir, "embeddings"))
 
@@ -80,6 +86,6 @@ def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_cap_filters, op2_string_tiling, op3_kneser_ney_quality, op4_suffix_array_dedup, op5_best_fit_packing, op6_toxicity, op7_prefix_targets,
-        op8_hyperdimensional_language, op9_token_counts, op10_count_vector_join, op12_vector_codes, op13_fill_in_middle)}
+        op8_hyperdimensional_language, op9_token_counts, op10_count_vector_join, op11_mixture, op12_vector_codes, op13_fill_in_middle)}
 ORACLES: dict[str, str] = {
-    "op12_vector_codes": vector_codes.ORACLE, "op13_fill_in_middle": fill_in_middle.ORACLE}
+    "op11_mixture": mixing.ORACLE, "op12_vector_codes": vector_codes.ORACLE, "op13_fill_in_middle": fill_in_middle.ORACLE}
