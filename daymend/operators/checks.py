@@ -51,6 +51,10 @@ class Model:
     scope: Column | None = None
     others: Mapping[tuple[str, ...], DataFrame] = field(default_factory=dict)
 
+    def __post_init__(self) -> None:
+        if not isinstance(self.others, Mapping):
+            raise TypeError("others go by columns")
+
     def rows(self) -> DataFrame:
         return self.frame if self.scope is None else self.frame.where(self.scope)
 

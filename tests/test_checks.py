@@ -1,5 +1,6 @@
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from daymend.operators import checks as dq
@@ -72,11 +73,13 @@ def test_relationships_lets_null_pass(spark):
 def test_scope_and_other_rows(spark):
     frame = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1)], "id string, day int")
     others = spark.createDataFrame([("b",)], "id string")
-    models = {"all": dq.Model(frame), "some": dq.Model(frame, F.col("day") == 1, others)}
+    models = {"all": dq.Model(frame), "some": dq.Model(frame, F.col("day") == 1, {("id",): others})}
     suite = [dq.unique("all", "id"), dq.unique("some", "id")]
     got = {r.model: r.failures for r in dq.evaluate(suite, models).collect()}
     assert got == {"all": 1, "some": 1}
     assert [r.id for r in dq.failures(suite[1], models).collect()] == ["b"]
+    with pytest.raises(TypeError, match="by columns"):
+        dq.Model(frame, None, others)
 
 
 def test_shared_frame_is_scanned_once_for_row_checks(spark, store):

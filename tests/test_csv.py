@@ -61,7 +61,7 @@ def test_relanding_a_file_replaces_its_rows(spark, store, folder):
     assert landing.land(["2024-01-01", "2024-01-02"]) == [d("2023-12-31"), d("2024-01-01")]
     write_csv(folder, "2024-01-01", [["s1", "ST-01", "2024-01-01", "5.00", "0.10", "online"]])
     assert landing.land(["2024-01-01"]) == [d("2023-12-31"), d("2024-01-01")]
-    rows = sorted((r.sale_id, str(r.gross_amount), r.source_file) for r in landing.rows(landing.days([])).collect())
+    rows = sorted((r.sale_id, str(r.gross_amount), r.source_file) for r in landing.rows(landing.days(["2024-01-01", "2024-01-02"])).collect())
     assert rows == [("s1", "5.00", "2024-01-01"), ("s2", "2.00", "2024-01-02")]
 
 
