@@ -139,7 +139,7 @@ def unit_rows(blobs: list[bytes], kind: str) -> np.ndarray:
 
 
 def post(n: int, kind: str):
-    """(id, label, weight, embedding) to (id, weight, vector, filters): keys of the filters of the label."""
+    """(id, label, weight, embedding) to (id, label, weight, vector, filters): keys of the filters of the label."""
 
     def posted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -150,13 +150,13 @@ def post(n: int, kind: str):
             for dim in np.unique(sizes).tolist():
                 rows = np.flatnonzero(sizes == dim)
                 at, found = codes_for(dim, n).lists(unit_rows([vectors[k].tobytes() for k in rows], kind))
-                keys = T.mix(T.mix(labels[rows[at]] * np.uint64(1 << 20) + np.uint64(dim)) + found.astype(np.uint64)).view(np.int64)
+                keys = T.mix(T.mix(labels[rows[at]] ^ T.mix(np.array([dim], np.uint64))) + found.astype(np.uint64)).view(np.int64)
                 for k, part in zip(rows.tolist(), np.split(keys, np.flatnonzero(np.diff(at)) + 1), strict=True):
                     lists[k] = np.sort(part).tobytes()
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("weight"), pa.array([x.tobytes() for x in vectors], pa.binary()),
+                [batch.column("id"), batch.column("label"), batch.column("weight"), pa.array([x.tobytes() for x in vectors], pa.binary()),
                  pa.array([np.frombuffer(x, np.int64) for x in lists], pa.list_(pa.int64()))],
-                ["id", "weight", "vector", "filters"])
+                ["id", "label", "weight", "vector", "filters"])
 
     return posted
 
@@ -197,8 +197,8 @@ def verify(kind: str):
     """(id, root, links) of the classes that link in the cells of a task: weight of their links, and one of them."""
 
     def verify_cells(table: pa.Table) -> pa.Table:
-        cell, key, ids, weight, core, side, cross = (
-            table.column(x).to_numpy() for x in ("cell", "key", "id", "weight", "core", "side", "crossing"))
+        cell, key, ids, label, weight, core, side, cross = (
+            table.column(x).to_numpy() for x in ("cell", "key", "id", "label", "weight", "core", "side", "crossing"))
         blobs, lists = table.column("vector").to_pylist(), table.column("filters")
         lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
         starts, values = lists.offsets.to_numpy(), lists.values.to_numpy()
@@ -207,7 +207,7 @@ def verify(kind: str):
         for rows in np.split(order, np.flatnonzero(np.diff(cell[order])) + 1) if len(order) else ():
             unit = unit_rows([blobs[k] for k in rows.tolist()], kind)
             a, b = np.nonzero(np.triu(unit @ unit.T >= COSINE, 1))
-            use = (core[rows[a]] != core[rows[b]]) | (core[rows[a]] == NONE)
+            use = (label[rows[a]] == label[rows[b]]) & ((core[rows[a]] != core[rows[b]]) | (core[rows[a]] == NONE))
             if cross[rows[0]]:
                 use &= side[rows[a]] != side[rows[b]]
             a, b = a[use], b[use]
@@ -239,14 +239,14 @@ def near_duplicates(embeddings: DataFrame) -> DataFrame:
         F.min("vec_id").cast("long").alias("id"), F.count("*").alias("weight")), "vectors")
     most = classes.groupBy("label").agg(F.count("*").alias("n")).agg(F.max("n").alias("n")).first()["n"] or 0
     known = stored(classes.select("id", F.xxhash64("label").alias("label"), "weight", "embedding").mapInArrow(
-        post(most, kind), "id long, weight long, vector binary, filters array<long>"), "filters")
+        post(most, kind), "id long, label long, weight long, vector binary, filters array<long>"), "filters")
 
     posts = known.select("id", F.explode("filters").alias("key"))
     per_key = stored(posts.groupBy("key").agg(F.count("*").alias("m"), F.min("id").alias("pivot")).where("m > 1"), "keys")
     hot = per_key.where(F.col("m") > HOT)
     near = (posts.join(hot, "key").select("id", "pivot").distinct()
-            .join(known.select("id", "vector"), "id")
-            .join(known.select(F.col("id").alias("pivot"), F.col("vector").alias("other")), "pivot")
+            .join(known.select("id", "label", "vector"), "id")
+            .join(known.select(F.col("id").alias("pivot"), "label", F.col("vector").alias("other")), ["pivot", "label"])
             .mapInArrow(certify(kind), "id long, pivot long"))
     cores = stored(near.groupBy("id").agg(F.min("pivot").alias("core")), "cores")
     core_of = known.select("id", "weight").join(cores, "id")

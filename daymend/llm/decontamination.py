@@ -52,7 +52,7 @@ def word_hashes(text: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     texts = [folded(raw[a:b].decode("utf-8", "replace")) for a, b in zip(ends, ends[1:], strict=False)]
     codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
     starts, ends, rows = T.runs(_in_words()[codes], np.concatenate([[0], np.cumsum([len(x) for x in texts], dtype=np.int64)]))
-    return T.range_hashes(T.prefix_sums(codes), starts, ends), rows
+    return T.text_hashes(codes, starts, ends), rows
 
 
 def maximal_runs(doc_at: np.ndarray, item_at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

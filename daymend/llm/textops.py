@@ -1,7 +1,9 @@
 """Vectorised work on batches of UTF-8 texts: one byte buffer plus row offsets, as Arrow holds them.
 
-All hashes are 64-bit. A polynomial prefix sum over the buffer gives the hash of any byte range in constant
-time, so words, shingles and windows are hashed without a Python object for each of them.
+Polynomial prefix sums over the buffer give the hash of any range in constant time, so words, shingles and windows are
+hashed without a Python object for each of them. ``text_hashes`` is for ranges of any length: 62 bits, two polynomials
+modulo primes, so that two different texts of n signs meet in at most (n / 2**31)**2 of all pairs of bases.
+``range_hashes`` works modulo 2**64, where long regular texts collide; it is for ranges of at most some hundred bytes.
 """
 
 from __future__ import annotations
@@ -92,6 +94,61 @@ def range_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     return mix((sums[ends] - sums[starts]) * _power_table(_INVERSE, len(sums))[starts])
 
 
+#: Signs that are hashed at once; tables of powers are not longer than two of these.
+CHUNK = 1 << 20
+#: Prime modulus and base of the two polynomials.
+PRIMES = ((2147483647, 1103515245), (2147483629, 1974872341))
+_tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def _power_pair(prime: int, base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse modulo a prime, kept and grown by doubling."""
+    if prime not in _tables:
+        _tables[prime] = np.ones(1, np.uint64), np.ones(1, np.uint64)
+    up, down = _tables[prime]
+    while len(up) < n:
+        size = len(up)
+        up = np.concatenate([up, up * np.uint64(pow(base, size, prime)) % np.uint64(prime)])
+        down = np.concatenate([down, down * np.uint64(pow(base, -size, prime)) % np.uint64(prime)])
+    _tables[prime] = up, down
+    return up[:n], down[:n]
+
+
+def _sums(codes: np.ndarray, prime: int, base: int) -> np.ndarray:
+    terms = (codes.astype(np.uint64) + np.uint64(1)) * _power_pair(prime, base, len(codes))[0]
+    if codes.itemsize > 1:  # bytes stay below 2**64 in a whole chunk
+        terms %= np.uint64(prime)
+    return np.concatenate([np.zeros(1, np.uint64), np.cumsum(terms)])
+
+
+def text_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of the ranges [start, end) of bytes or code points; starts ascend. Equal ranges, equal hash.
+
+    Works on ``CHUNK`` signs at a time, so memory does not grow with the longest text; a longer range is hashed in pieces.
+    """
+    out = np.empty(len(starts), np.uint64)
+    short = np.flatnonzero(ends - starts <= CHUNK)
+    first, after, lo = starts[short], ends[short], 0
+    while lo < len(short):
+        hi = int(np.searchsorted(first, first[lo] + CHUNK, "right"))
+        base, top = int(first[lo]), int(after[lo:hi].max())
+        part, a, b = codes[base:top], first[lo:hi] - base, after[lo:hi] - base
+        found = []
+        for prime, root in PRIMES:
+            sums, down = _sums(part, prime, root), _power_pair(prime, root, len(part) + 1)[1]
+            found.append((sums[b] - sums[a]) % np.uint64(prime) * down[a] % np.uint64(prime))
+        out[short[lo:hi]] = found[0] << np.uint64(32) | found[1]
+        lo = hi
+    for k in np.flatnonzero(ends - starts > CHUNK).tolist():
+        found = []
+        for prime, root in PRIMES:
+            places = range(int(starts[k]), int(ends[k]), CHUNK)
+            found.append(sum(int(_sums(codes[x : min(x + CHUNK, int(ends[k]))], prime, root)[-1]) % prime
+                             * pow(root, x - int(starts[k]), prime) for x in places) % prime)
+        out[k] = found[0] << 32 | found[1]
+    return mix(out)
+
+
 def runs(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts, ends and rows of the maximal runs of ``inside`` bytes; no run crosses a row."""
     n = len(inside)
@@ -120,7 +177,7 @@ def words(text: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple[np
     if lower:
         text = LOWER[text]
     starts, ends, rows = runs(~WHITE[text], offsets)
-    return range_hashes(prefix_sums(text), starts, ends), rows, starts, ends
+    return text_hashes(text, starts, ends), rows, starts, ends
 
 
 def sequence_hashes(hashes: np.ndarray, size: int) -> np.ndarray:

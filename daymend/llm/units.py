@@ -28,7 +28,10 @@ _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
 class _Cache:
-    """Sorted hashes with what is known of each; starts anew beyond ``most`` entries, which only costs time."""
+    """Sorted hashes with the bytes and what is known of each; starts anew beyond ``most`` entries, which only costs time.
+
+    A hash is taken for its word only where the bytes are equal too.
+    """
 
     def __init__(self, most: int = 1_500_000):
         self.most, self.empty = most, True
@@ -40,17 +43,34 @@ class _Cache:
         self.count = np.zeros(0, np.int64)
         self.ids = np.zeros(1 << 16, np.uint16)
         self.used = 0
+        self.bytes = np.zeros(1 << 16, np.uint8)
+        self.written = 0
+        self.place, self.length = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def missing(self, keys: np.ndarray) -> np.ndarray:
-        if len(self.keys) + len(keys) > self.most:
+    def missing(self, keys: np.ndarray, text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray | None:
+        """Which of the words are not known; None where one has the hash of another word."""
+        if len(self.keys) + len(keys) > self.most or self.written > 16 * self.most:
             self.clear()
         at = np.searchsorted(self.keys, keys)
         known = np.zeros(len(keys), bool)
         inside = at < len(self.keys)
         known[inside] = self.keys[at[inside]] == keys[inside]
+        at, size = at[known], (ends - starts)[known]
+        if not _same(self.bytes, self.place[at], self.length[at], text, starts[known], size):
+            return None
         return ~known
 
-    def add(self, keys: np.ndarray, ids: list, counts: np.ndarray):
+    def _remember(self, at: np.ndarray, text: np.ndarray, starts: np.ndarray, ends: np.ndarray):
+        size = ends - starts
+        total = int(size.sum())
+        if self.written + total > len(self.bytes):
+            self.bytes = np.concatenate([self.bytes, np.zeros(max(len(self.bytes), total), np.uint8)])
+        place = self.written + np.concatenate([[0], np.cumsum(size)[:-1]]).astype(np.int64)
+        self.bytes[self.written : self.written + total] = text[T.ranges(starts, size)]
+        self.written += total
+        self.place, self.length = np.insert(self.place, at, place), np.insert(self.length, at, size)
+
+    def add(self, keys: np.ndarray, ids: list, counts: np.ndarray, text: np.ndarray, starts: np.ndarray, ends: np.ndarray):
         flat = np.fromiter((x for y in ids for x in y), np.int64, int(counts.sum())) if ids is not None else None
         first = self.used + np.concatenate([[0], np.cumsum(counts)[:-1]]) if len(counts) else np.zeros(0, np.int64)
         if flat is not None:
@@ -61,15 +81,35 @@ class _Cache:
             self.ids[self.used : self.used + len(flat)] = flat
             self.used += len(flat)
         at = np.searchsorted(self.keys, keys)
+        if len(keys):
+            self._remember(at, text, starts, ends)
         self.keys = np.insert(self.keys, at, keys)
         self.first = np.insert(self.first, at, first)
         self.count = np.insert(self.count, at, counts)
 
 
+#: Bytes that are compared at once.
+_COMPARE = 1 << 20
+
+
+def _same(left: np.ndarray, left_at, left_size, right: np.ndarray, right_at, right_size) -> bool:
+    """Are all ranges equal, byte by byte?"""
+    if not (left_size == right_size).all():
+        return False
+    upto = np.concatenate([[0], np.cumsum(left_size)])
+    for lo, hi in T.blocks(upto, _COMPARE):
+        if not (left[T.ranges(left_at[lo:hi], left_size[lo:hi])] == right[T.ranges(right_at[lo:hi], right_size[lo:hi])]).all():
+            return False
+    return True
+
+
 def _spread(text: np.ndarray, starts, ends):
-    """Distinct byte ranges: hashes, one place of each, and which of them each range is."""
-    hashes = T.range_hashes(T.prefix_sums(text), starts, ends)
-    keys, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+    """Distinct byte ranges: hashes, one place of each, and which of them each range is; None where hashes collide."""
+    keys, first, which = np.unique(T.text_hashes(text, starts, ends), return_index=True, return_inverse=True)
+    again = np.flatnonzero(first[which] != np.arange(len(starts)))
+    one = first[which[again]]
+    if not _same(text, starts[one], (ends - starts)[one], text, starts[again], (ends - starts)[again]):
+        return None
     return keys, starts[first], ends[first], which
 
 
@@ -140,22 +180,29 @@ class Words:
         end = np.sort(np.concatenate([ends, edge]))
         return begin, end, np.searchsorted(offsets, begin, "right") - 1
 
+    def whole(self, text: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of whole texts, without cuts."""
+        each = self.encode(_strings(text, offsets[:-1], offsets[1:]))
+        lengths = np.array([len(x) for x in each], np.int64)
+        flat = np.fromiter((x for y in each for x in y), np.int64, int(lengths.sum()))
+        return flat.astype(np.uint32), np.concatenate([[0], np.cumsum(lengths)])
+
     def ids(self, text: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the rows, one row after the other, and the bounds of the rows."""
         n_rows = len(offsets) - 1
         if not self.by_words:
-            each = self.encode(_strings(text, offsets[:-1], offsets[1:]))
-            lengths = np.array([len(x) for x in each], np.int64)
-            flat = np.fromiter((x for y in each for x in y), np.int64, int(lengths.sum()))
-            return flat.astype(np.uint32), np.concatenate([[0], np.cumsum(lengths)])
+            return self.whole(text, offsets)
         starts, ends, rows = self.cuts(text, offsets)
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(n_rows + 1, np.int64)
-        keys, a, b, which = _spread(text, starts, ends)
-        new = self.cache.missing(keys)
+        if (found := _spread(text, starts, ends)) is None:
+            return self.whole(text, offsets)
+        keys, a, b, which = found
+        if (new := self.cache.missing(keys, text, a, b)) is None:
+            return self.whole(text, offsets)
         if new.any():
             each = self.encode_words(_strings(text, a[new], b[new]))
-            self.cache.add(keys[new], each, np.array([len(x) for x in each], np.int64))
+            self.cache.add(keys[new], each, np.array([len(x) for x in each], np.int64), text, a[new], b[new])
         at = np.searchsorted(self.cache.keys, keys)[which]
         counts = self.cache.count[at]
         flat = self.cache.ids[T.ranges(self.cache.first[at], counts)].astype(np.uint32)
@@ -187,12 +234,16 @@ class Pieces:
         each = self.model.encode([x[1:] if x[0] == " " else x for x in found], num_threads=1)
         return [(1 if x == " " else len(ids)) - (x[0] == "\n") for x, ids in zip(found, each, strict=True)]
 
+    def whole(self, text: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """The counts of whole texts, without cuts."""
+        texts = _strings(text, offsets[:-1], offsets[1:])
+        return np.array([len(x) for x in self.model.encode(texts, num_threads=1)], np.int64)
+
     def counts(self, text: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Cut ahead of each run of spaces and each line end; what begins a text counts as if after a space."""
         n_rows = len(offsets) - 1
         if not self.by_words:
-            texts = _strings(text, offsets[:-1], offsets[1:])
-            return np.array([len(x) for x in self.model.encode(texts, num_threads=1)], np.int64)
+            return self.whole(text, offsets)
         if not len(text):
             return np.zeros(n_rows, np.int64)
         full = np.flatnonzero(np.diff(offsets))
@@ -207,10 +258,14 @@ class Pieces:
         starts = np.flatnonzero(cut)
         ends = np.append(starts[1:], len(moved))
         rows = np.searchsorted(bounds, starts, "right") - 1
-        keys, a, b, which = _spread(moved, starts, ends)
-        new = self.cache.missing(keys)
+        if (found := _spread(moved, starts, ends)) is None:
+            return self.whole(text, offsets)
+        keys, a, b, which = found
+        if (new := self.cache.missing(keys, moved, a, b)) is None:
+            return self.whole(text, offsets)
         if new.any():
-            self.cache.add(keys[new], None, np.array(self.count_words(_strings(moved, a[new], b[new])), np.int64))
+            counted = np.array(self.count_words(_strings(moved, a[new], b[new])), np.int64)
+            self.cache.add(keys[new], None, counted, moved, a[new], b[new])
         counts = self.cache.count[np.searchsorted(self.cache.keys, keys)[which]]
         return np.bincount(rows, counts, minlength=n_rows).astype(np.int64)
 

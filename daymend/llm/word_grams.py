@@ -61,7 +61,7 @@ def tokens(texts: list[str]) -> dict[str, np.ndarray]:
     row = np.searchsorted(ends, begins)
     own = np.flatnonzero(start | white | final)  # a word ends where the next of these stands
     after = np.append(own, len(codes))[np.searchsorted(own, begins, "right")]
-    words = T.range_hashes(T.prefix_sums(codes), begins, after)
+    words = T.text_hashes(codes, begins, after)
     words = np.where(final[begins], END, words)
     head = np.flatnonzero(np.diff(row, prepend=-1))
     back1 = np.concatenate([[BEGIN], words[:-1]]).astype(np.uint64) if len(words) else words

@@ -699,3 +699,65 @@ def test_without_the_subpackage(tmp_path):
     run = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True,
                          env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"})
     assert run.returncode == 0, run.stderr
+
+
+# --- texts made to collide
+
+
+def regular_pair(letters, size):
+    """A Thue-Morse word of two letters and its complement: one hash modulo 2**64 from 1,024 letters on."""
+    bits = [bin(k).count("1") % 2 for k in range(size)]
+    return "".join(letters[b] for b in bits), "".join(letters[1 - b] for b in bits)
+
+
+@pytest.mark.parametrize("size", [1024, 4096])
+def test_words_that_collide_modulo_a_power_of_two(spark, size):
+    """Token counts, ids and shingle sets of regular words are those of the library and of brute force."""
+    words = [w for letters in ("ab", "th", "xq", "ei", "zk", "st") for w in regular_pair(letters, size)]
+    frame = spark.createDataFrame([(i, w, "en", "s", len(w)) for i, w in enumerate(words)], DOC).coalesce(1)
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECE)
+    counts = {r.doc_id: r.n_tokens for r in token_counts.token_counts(frame, PIECE).collect()}
+    assert counts == {i: len(library.encode(w)) for i, w in enumerate(words)}
+    ids = [x.ids + [1] for x in Tokenizer.from_file(WORD).encode_batch(words, add_special_tokens=False)]
+    crc = {r.doc_id: r.ids_crc32 for r in packing.pack(frame, WORD).collect()}
+    assert crc == {i: zlib.crc32(np.array(x, "<u4").tobytes()) for i, x in enumerate(ids)}
+    assert all(r.component_id == r.doc_id for r in set_join.set_join(frame).collect())
+    text, offsets = textops.buffers(pa.array(words))
+    assert len(np.unique(textops.words(text, offsets)[0])) == len(words)
+    assert len(np.unique(decontamination.word_hashes(text, offsets)[0])) == len(words)
+    assert len(np.unique(word_grams.tokens(words)["one"])) == len(words) + 1
+
+
+def test_colliding_hashes_are_seen(monkeypatch):
+    """Where two words share a hash, texts are encoded whole."""
+    monkeypatch.setattr(textops, "text_hashes", lambda codes, starts, ends: (ends - starts).astype(np.uint64))
+    texts = ["one two six", "ten", "two ten six"]
+    text, offsets = textops.buffers(pa.array(texts))
+    for path in (WORD, PIECE):
+        units._open.pop(path, None)
+        one_by_one = [units.opened(path).counts(*textops.buffers(pa.array([x])))[0] for x in texts]
+        assert units.opened(path).counts(text, offsets).tolist() == one_by_one
+        units._open.pop(path, None)
+
+
+def test_text_hashes_in_pieces(monkeypatch):
+    rng = np.random.default_rng(0)
+    for codes in (rng.integers(0, 256, 5000).astype(np.uint8), rng.integers(0, 0x110000, 5000).astype(np.uint32)):
+        starts = np.sort(rng.integers(0, 5000, 300))
+        ends = np.minimum(starts + rng.integers(0, 3000, 300), 5000)
+        whole = textops.text_hashes(codes, starts, ends)
+        monkeypatch.setattr(textops, "CHUNK", 64)
+        assert (textops.text_hashes(codes, starts, ends) == whole).all()
+        monkeypatch.undo()
+        moved = np.concatenate([codes[100:], codes[:100]])
+        inside = starts >= 100
+        assert (textops.text_hashes(moved, starts[inside] - 100, ends[inside] - 100) == whole[inside]).all()
+
+
+def test_cap_filters_keep_labels_apart(spark):
+    """Labels that shared their low bits after a shift, with one equal vector each; nothing links across labels."""
+    vector = [0.3, -0.4, 0.5, 0.1]
+    rows = [(1, vector, 1310775), (2, vector, 6419874), (3, [x * 2 for x in vector], 6419874)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got = sorted(tuple(r)[:3] for r in cap_filters.near_duplicates(frame).collect())
+    assert got == [(1, 0, 1), (2, 1, 2), (3, 1, 2)]
