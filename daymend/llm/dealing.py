@@ -1,6 +1,6 @@
 """Documents dealt into parts of bounded size, for operators that come back to the same texts more than once.
 
-A part is a set of documents by hash of their id. Texts travel as compressed Arrow batches, a fraction of what
+A part is a set of documents by hash of their id; rows without an id are dealt by their text. Texts travel as compressed Arrow batches, a fraction of what
 shuffled rows would take, and each part is worked on in blocks by one task. What tasks tell one another (hashes,
 counts, answers) travels as compressed arrays, one row for each pair of sender and receiver.
 """
@@ -36,7 +36,8 @@ def n_parts(docs: DataFrame) -> int:
 
 def deal(docs: DataFrame, parts: int) -> DataFrame:
     """Rows (part, docs): all columns of ``docs``, null texts empty, as compressed batches."""
-    dealt = docs.withColumn("text", text_or_empty()).withColumn("__part", F.pmod(F.xxhash64("doc_id"), F.lit(parts)).cast("int"))
+    key = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("doc_id"))
+    dealt = docs.withColumn("text", text_or_empty()).withColumn("__part", F.pmod(key, F.lit(parts)).cast("int"))
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

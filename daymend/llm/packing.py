@@ -3,10 +3,11 @@
 Documents are tokenised once and cut into pieces of at most ``size`` tokens; only longer ones are cut. The driver
 sees the histogram (at most ``size`` rows) and plans on counts: longest lengths first, each into the open sequences
 with the least room that still fits, many equal sequences at a time. The plan says which ranks of a length go
-where; pieces take their slots by a join on their rank within their length.
+where; it has a few rows for each length, whatever the number of pieces, and goes to the tasks with the code. A piece takes its
+slot by looking up (length, rank within its length) there.
 
 Ranks are counted in two levels, by length and by hash chunk, so that a length which a third of all pieces share
-is not sorted in one task. The join is on (length, rank // SLOT), which spreads such a length as well.
+is not sorted in one task. Pieces of a chunk are put in order by all their columns, so a task that runs again numbers them alike.
 
 Cases: a null or empty text is the end id alone; repeated rows are packed one by one; an empty table gives an empty
 result; further columns of the input are not read. Of equal pieces it does not matter which takes which slot.
@@ -21,13 +22,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as S
 
 from daymend.llm import textops as T
 from daymend.llm import units
 from daymend.llm.frames import stored, text_or_empty
 
-#: Ranks of a length that share a join key.
-SLOT = 16
 #: Pieces of one length and chunk that are numbered in one sort, about.
 CHUNK_ROWS = 100_000
 
@@ -101,6 +101,24 @@ def plan_slots(histogram: dict[int, int], size: int) -> list[tuple[int, int, int
     return plan
 
 
+def placed(plan: list[tuple[int, int, int, int, int, int]]):
+    """A mapInArrow function from ranked pieces to their places in sequences."""
+    table = np.array(sorted(plan), np.int64).reshape(-1, 6).T
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        length, rank, _, per, sequence, first = table
+        known = (length << 40) | rank
+        for batch in batches:
+            own, at = (batch.column(x).to_numpy(zero_copy_only=False).astype(np.int64) for x in ("length", "rank"))
+            row = np.searchsorted(known, (own << 40) | at, "right") - 1
+            step = at - rank[row]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:5], pa.array(sequence[row] + step // per[row]), pa.array(first[row] + step % per[row] * own)],
+                [*batch.schema.names[:5], "sequence_id", "offset"])
+
+    return place
+
+
 def pack(docs: DataFrame, tokenizer: str, size: int = 4096, end_id: int = 1) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
     spark = docs.sparkSession
@@ -110,23 +128,16 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 4096, end_id: int = 1) ->
         "pieces")
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     plan = plan_slots(histogram, size)
-    kinds = ["length", "rank", "items", "per", "sequence", "first"]
-    table = pa.table({name: pa.array([row[k] for row in plan], pa.int64()) for k, name in enumerate(kinds)})
-    slots = spark.createDataFrame(table).withColumn("slot", F.explode(F.expr(
-        f"sequence(rank div {SLOT}, (rank + items - 1) div {SLOT})")))
 
     chunks = max(64, sum(histogram.values()) // CHUNK_ROWS)
-    dealt = pieces.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(chunks)))
+    dealt = pieces.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(chunks)))
     bases = (dealt.groupBy("length", "chunk").agg(F.count("*").alias("n"))
              .withColumn("base", F.sum("n").over(
                  Window.partitionBy("length").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)))
              .select("length", "chunk", F.coalesce("base", F.lit(0)).alias("base")))
-    within = F.row_number().over(Window.partitionBy("length", "chunk").orderBy("doc_id", "piece")) - 1
+    within = F.row_number().over(Window.partitionBy("length", "chunk").orderBy("doc_id", "piece", "start", "ids_crc32")) - 1
     ranked = (dealt.withColumn("own_rank", within).join(bases, ["length", "chunk"])
-              .withColumn("own_rank", F.col("own_rank") + F.col("base"))
-              .withColumn("slot", F.expr(f"own_rank div {SLOT}")))
-    placed = ranked.join(slots, ["length", "slot"]).where("own_rank >= rank and own_rank < rank + items")
-    return placed.select(
-        "doc_id", "piece", "start", "length", "ids_crc32",
-        F.expr("sequence + (own_rank - rank) div per").alias("sequence_id"),
-        F.expr("first + pmod(own_rank - rank, per) * length").alias("offset"))
+              .select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("own_rank") + F.col("base")).alias("rank")))
+    columns = [pieces.schema[x] for x in ("doc_id", "piece", "start", "length", "ids_crc32")]
+    return ranked.mapInArrow(placed(plan), S.StructType([*columns, S.StructField("sequence_id", S.LongType()),
+                                                         S.StructField("offset", S.LongType())]))

@@ -153,6 +153,31 @@ def test_plan_covers_every_rank():
             assert end <= 40
 
 
+def test_slots_of_a_hot_length_are_looked_up():
+    """Six billion full pieces and a few short ones: the plan stays small and any rank finds its place."""
+    plan = packing.plan_slots({4096: 6 * 10**9, 3: 5, 100: 10**9}, 4096)
+    assert len(plan) < 20
+    rank = np.array([0, 6 * 10**9 - 1, 10**9 - 1, 4], np.int64)
+    length = np.array([4096, 4096, 100, 3], np.int64)
+    batch = pa.RecordBatch.from_arrays([pa.array(x) for x in (rank, rank, rank, length, rank, rank)],
+                                       ["doc_id", "piece", "start", "length", "ids_crc32", "rank"])
+    got = next(packing.placed(plan)(iter([batch])))
+    assert got.column("sequence_id").to_pylist()[:2] == [0, 6 * 10**9 - 1]
+    assert got.column("offset").to_pylist()[:3] == [0, 0, (10**9 - 1) % 40 * 100]
+    assert got.column("offset").to_pylist()[3] + 3 <= 4096
+
+
+def test_rows_without_an_id_are_dealt_by_text(spark):
+    from daymend.llm import dealing
+
+    docs = spark.range(4000).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"), F.concat(F.lit("t"), "id").alias("text"))
+    rows = dealing.deal(docs, 8).collect()
+    sizes = Counter()
+    for r in rows:
+        sizes[r["part"]] += sum(x.num_rows for x in dealing.rows_of(pa.table({"docs": pa.array([bytes(r["docs"])], pa.binary())})))
+    assert sum(sizes.values()) == 4000 and max(sizes.values()) < 4000 / 8 * 1.3
+
+
 # --- passages
 
 
