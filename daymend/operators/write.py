@@ -1,8 +1,9 @@
 """Write modes: rebuild, append, bounded partition replace, keyed upsert.
 
-Plain Parquet has no transactions, so the protocol is built on two facts. Spark's dynamic partition
+Plain Parquet has no transactions, so the protocol is built on three facts. Spark's dynamic partition
 overwrite stages all new files first and swaps only the partitions present in the batch at job
-commit, so lost tasks and executors are retried without touching published data. And every write
+commit, so lost tasks and executors are retried without touching published data. A table without partitions is
+rebuilt as a version of its own, and one change in the catalog shows it. And every write
 here is a replace, so running the same one again after a crash gives the same table.
 """
 
@@ -14,9 +15,12 @@ from datetime import date
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from daymend.sources import files
 from daymend.sources.tables import Spec, TableStore
 
 _SWAP = "partition string"
+#: Files of a log table from which its rows are folded into one file.
+FOLD_AT = 32
 
 
 def lay_out_by_day(rows: DataFrame) -> DataFrame:
@@ -26,22 +30,34 @@ def lay_out_by_day(rows: DataFrame) -> DataFrame:
 
 
 def append_rows(store: TableStore, name: str, rows: DataFrame) -> None:
-    """Append to a small log table, creating it if missing."""
+    """Append to a small log table, creating it if missing.
+
+    Every ``FOLD_AT`` appends its files are folded into one, as a new version, so a log is one folded file and a short tail.
+    """
     store.create(name, rows.schema)
-    rows.select(*store.columns(name)).write.mode("append").parquet(store.path(name))
+    if not store.versions(name):
+        _write_version(store, name, store.read(name).coalesce(1))
+    rows.select(*store.columns(name)).write.mode("append").parquet(store.current_path(name))
     store.spark.catalog.refreshTable(store.ident(name))
+    if sum(1 for _ in files.entries(store.spark, store.current_path(name))) > FOLD_AT:
+        _write_version(store, name, store.read(name).coalesce(1))
 
 
 def overwrite_table(store: TableStore, name: str, rows: DataFrame,
                     partition_by: Sequence[str] = (), rebalance: bool = True) -> None:
-    """Full rebuild. A partitioned table goes through the partition replace, so that readers
-    never see it empty and a failed job leaves the old table in place."""
+    """Full rebuild. Readers never see the table empty, and a failed job leaves the old one in place: a partitioned
+    table goes through the partition replace, any other gets a new version."""
     store.create(name, rows.schema, partition_by)
     if partition_by:
         replace_partitions(store, name, rows, store.partitions(name), rebalance)
-        return
-    rows.select(*store.columns(name)).write.mode("overwrite").parquet(store.path(name))
-    store.spark.catalog.refreshTable(store.ident(name))
+    else:
+        _write_version(store, name, rows.select(*store.columns(name)))
+
+
+def _write_version(store: TableStore, name: str, rows: DataFrame) -> None:
+    version = 1 + max(store.versions(name, complete=False), default=0)
+    rows.write.parquet(store.version_path(name, version))
+    store.point_to(name, version)
 
 
 def replace_partitions(store: TableStore, name: str, batch: DataFrame,
@@ -63,7 +79,7 @@ def replace_partitions(store: TableStore, name: str, batch: DataFrame,
         .partitionBy(*columns).parquet(store.path(name)))
     written = [tuple(r[c] for c in columns) for r in seen.get["parts"]]
     store.add_partitions(name, written)
-    _empty_partitions(store, name, set(scope) - set(written))
+    empty_partitions(store, name, set(scope) - set(written))
     return written
 
 
@@ -144,14 +160,12 @@ def clear_table(store: TableStore, name: str) -> None:
     """Remove all rows, keep the table."""
     if not store.exists(name):
         return
+    if not store.partition_columns(name):
+        _write_version(store, name, store.empty(store.read(name).schema).coalesce(1))
+        return
     specs = store.partitions(name)
-    empty = store.empty(store.read(name).schema)
-    if store.partition_columns(name):
-        empty.write.mode("overwrite").option("partitionOverwriteMode", "static") \
-            .partitionBy(*store.partition_columns(name)).parquet(store.path(name))
-        _forget_partitions(store, name, specs)
-    else:
-        empty.coalesce(1).write.mode("overwrite").parquet(store.path(name))
+    files.delete(store.spark, [path for _, path, _ in files.entries(store.spark, store.path(name))])
+    _forget_partitions(store, name, specs)
     store.spark.catalog.refreshTable(store.ident(name))
 
 
@@ -163,17 +177,17 @@ def in_days(column, days: Iterable[date | None]):
     return (test | column.isNull()) if None in wanted else test
 
 
-def _empty_partitions(store: TableStore, name: str, specs: set[Spec]) -> None:
-    if not specs:
-        return
-    columns = store.partition_columns(name)
-    fields = [f for f in store.read(name).schema.fields if f.name not in columns]
-    nothing = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in fields)
-    for spec in sorted(specs, key=str):
-        # An overwrite without rows removes the files too; dropping an external partition would not.
-        store.spark.sql(f"INSERT OVERWRITE {store.ident(name)} {store.spec_sql(name, spec)} "
-                        f"SELECT {nothing} WHERE false")
-    _forget_partitions(store, name, specs)
+def empty_partitions(store: TableStore, name: str, specs: Iterable[Spec]) -> None:
+    """Take partitions out of a table: their folders go in one batch of deletions, then one statement drops all of them.
+
+    A run that dies between the two leaves partitions without files, which hold no rows, and the next one drops them.
+    """
+    folders = store.partition_folders(name)
+    gone = [s for s in specs if s in folders]
+    if gone:
+        files.delete(store.spark, [folders[s] for s in gone])
+        _forget_partitions(store, name, gone)
+        store.spark.catalog.refreshTable(store.ident(name))
 
 
 def _forget_partitions(store: TableStore, name: str, specs: Iterable[Spec]) -> None:

@@ -166,3 +166,64 @@ def test_upsert_cut_short_is_finished_by_the_next(spark, store, monkeypatch):
     write.clear_table(store, "f")
     upsert_by_key(store, "f", batch, ["sale_id"])
     assert [r[:2] for r in content(store)] == [("a", "2024-01-02"), ("b", "2024-01-01"), ("c", "2024-01-02")]
+
+
+def jobs_and_statements(spark, monkeypatch, work):
+    """Spark jobs and catalog statements of some work."""
+    group, statements, sql = f"jobs-{id(work)}", [], type(spark).sql
+    monkeypatch.setattr(type(spark), "sql", lambda self, text, *a, **b: (statements.append(text), sql(self, text, *a, **b))[1])
+    spark.sparkContext.setJobGroup(group, "counted")
+    try:
+        work()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        monkeypatch.undo()
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)), statements
+
+
+def test_a_thousand_days_are_emptied_at_once(spark, store, monkeypatch):
+    from daymend.operators.write import empty_partitions
+    rows = spark.range(1000).select(
+        F.col("id").cast("string").alias("sale_id"), F.date_add(F.lit(d("2020-01-01")), F.col("id").cast("int")).alias("sale_date"),
+        F.lit(1).cast("decimal(10,2)").alias("gross_amount"), F.lit(1).cast("decimal(11,2)").alias("net_amount"))
+    overwrite_table(store, "many", rows.withColumn("sale_date", F.when(F.col("sale_id") != "7", F.col("sale_date"))), ["sale_date"])
+    kept = (d("2020-01-04"),)
+    gone = [s for s in store.partitions("many") if s != kept]
+    jobs, statements = jobs_and_statements(spark, monkeypatch, lambda: empty_partitions(store, "many", gone))
+    assert jobs == 0 and len([s for s in statements if s.startswith("ALTER")]) == 1
+    assert store.partitions("many") == [kept] and store.read("many").count() == 1
+    assert all("2020-01-04" in p for p in files_of(store.path("many")))
+
+
+def test_failed_rebuild_leaves_the_old_table(spark, store):
+    """A rebuild that dies after some of its files were written; readers that had begun keep their version."""
+    overwrite_table(store, "dim", spark.range(5).selectExpr("id AS store_id"))
+    reader = store.read("dim")
+    broken = spark.range(0, 100, 1, 4).selectExpr("if(id = 90, raise_error('lost'), id) AS store_id")
+    with pytest.raises(Exception, match="lost"):
+        overwrite_table(store, "dim", broken)
+    assert store.read("dim").count() == 5
+    again = TableStore(spark, store.root, database=store.database + "_later")
+    assert again.read("dim").count() == 5  # also for a session that finds the folder with half a version in it
+    overwrite_table(store, "dim", spark.range(7).selectExpr("id AS store_id"))
+    assert (reader.count(), store.read("dim").count(), again.versions("dim")[-1]) == (5, 7, store.versions("dim")[-1])
+    assert TableStore(spark, store.root, database=store.database + "_last").read("dim").count() == 7
+
+
+def test_rebuild_that_was_not_shown_is_shown_by_the_next_store(spark, store, monkeypatch):
+    overwrite_table(store, "dim", spark.range(5))
+    monkeypatch.setattr(TableStore, "point_to", lambda *_: None)
+    overwrite_table(store, "dim", spark.range(6))
+    monkeypatch.undo()
+    assert store.read("dim").count() == 5
+    assert TableStore(spark, store.root, database=store.database).read("dim").count() == 6
+
+
+def test_log_is_folded(spark, store, monkeypatch):
+    from daymend.operators import write
+    monkeypatch.setattr(write, "FOLD_AT", 6)
+    for n in range(40):
+        append_rows(store, "log", spark.range(n, n + 1, 1, 1))
+        assert len(store.read("log").inputFiles()) <= 7
+    assert sorted(r.id for r in store.read("log").collect()) == list(range(40))
+    assert len(store.versions("log", complete=False)) <= 2
