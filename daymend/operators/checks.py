@@ -2,7 +2,8 @@
 
 ``evaluate`` runs a whole suite as one Spark job. All row checks over the same frame share one
 aggregation, all key checks over the same key share one group-by. A frame may stand for several models:
-the ``scope`` of each model says which rows belong to it.
+the ``scope`` of each model says which rows belong to it. Where the rows are written anyway, ``tallies`` counts the
+failing ones on the way (as observed metrics), and ``settled`` gives the results that these counts decide.
 """
 
 from __future__ import annotations
@@ -164,6 +165,32 @@ def evaluate(checks: Sequence[Check], models: dict[str, Model]) -> DataFrame:
         "*", "if(failures > 0, 'fail', 'pass') AS status")
 
 
+def tallies(checks: Sequence[Check], scopes: Mapping[str, Column | None]) -> dict[str, Column]:
+    """Aggregates by check name that count failing rows of the row and value checks of models that are one frame.
+
+    ``scopes`` says which rows of the frame belong to each of these models; None stands for all.
+    """
+    out = {}
+    for check in checks:
+        if check.model not in scopes or check.kind not in ("not_null", "accepted_values", "rule"):
+            continue
+        first = F.col(check.columns[0])
+        bad = {"not_null": lambda: first.isNull(), "rule": lambda: F.expr(check.predicate),
+               "accepted_values": lambda: ~first.isin(list(check.values))}[check.kind]()
+        scope = scopes[check.model]
+        out[check.name] = F.count_if(bad if scope is None else F.coalesce(scope, F.lit(False)) & bad)
+    return out
+
+
+def settled(checks: Sequence[Check], counts: Mapping[str, int]) -> list[tuple]:
+    """Result rows of the checks that counts of failing rows decide.
+
+    A value check counts distinct values, so rows decide it only when there are none.
+    """
+    return [(c.name, c.model, c.kind, counts[c.name], "fail" if counts[c.name] else "pass") for c in checks
+            if c.name in counts and (c.kind != "accepted_values" or not counts[c.name])]
+
+
 def failed(results: DataFrame) -> DataFrame:
     """Names of the checks that did not pass."""
     return results.where(F.col("status").isin("fail", "error")).select("check")

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daymend.functions.keys import surrogate_key
-from daymend.functions.measures import is_bugged
 from daymend.operators.write import lay_out_by_day
 from daymend.schema import TOTAL
 
@@ -66,12 +65,6 @@ def day_totals(transformed: DataFrame, *more: Column) -> DataFrame:
         *more)
 
 
-def partition_status(transformed: DataFrame, action: str) -> DataFrame:
-    """Status row per day as one build of the given rows makes it."""
-    return day_totals(transformed).select(
-        "*", is_bugged().alias("bugged"), F.lit(action).alias("built_by_action"))
-
-
 @dataclass(frozen=True)
 class Dimension:
     """A dimension ready to join, and what was measured about it."""

@@ -2,26 +2,25 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from datetime import datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daymend.operators.write import append_rows
+from daymend.plans import ledger
 from daymend.schema import AUDIT, AUDIT_LIMIT
 from daymend.sources.tables import TableStore
 
 TABLE = "tbl_metadata_audit"
 
 
-def audit_row(model_name: str, relation: DataFrame, invocation_id: str) -> DataFrame:
-    """The audit row of one build of a relation."""
-    return relation.agg(F.count("*").alias("row_count")).select(
-        F.lit(model_name).alias("model_name"), "row_count",
-        F.lit(invocation_id).alias("invocation_id"), F.current_timestamp().alias("loaded_at"))
-
-
-def record(store: TableStore, model_name: str, relation: DataFrame, invocation_id: str) -> None:
-    store.create(TABLE, AUDIT)
-    append_rows(store, TABLE, audit_row(model_name, relation, invocation_id))
+def record(store: TableStore, relations: Sequence[str], invocation_id: str, loaded_at: datetime) -> None:
+    """One audit row for each of the given relations of the store, counted in one job."""
+    known = [name for name in relations if store.exists(name)]
+    if known:
+        counts = store.row_counts(known).collect()
+        ledger.append(store, TABLE, AUDIT, [(r["name"], r["n"], invocation_id, loaded_at) for r in counts])
 
 
 def latest(store: TableStore, limit: int = AUDIT_LIMIT) -> DataFrame:

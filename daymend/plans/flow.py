@@ -8,26 +8,27 @@ last, so an action cut short is simply run again.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field
 from datetime import date, datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daymend.functions.measures import CORRECT, net_amount_by
 from daymend.operators import checks as dq
+from daymend.operators import day_index
 from daymend.operators.conform import (
     Dimension, conform_stores, day_totals, fact_rows, known_store, measured, with_keys,
 )
-from daymend.operators.marts import daily_sales
+from daymend.operators.marts import DAILY_SALES_SQL, KEPT_SALES_SQL, daily_sales
 from daymend.operators.stage import stage_stores
 from daymend.operators.transform import transform_sales
 from daymend.operators.write import (
     clear_table, in_days, lay_out_by_day, overwrite_table, replace_days, upsert_by_key,
 )
-from daymend.plans import ledger
+from daymend.plans import audit, ledger
 from daymend.schema import AUDIT, CHANNELS, CHECK_RESULTS, DAY_LEDGER, RUN_LEDGER, TOTAL
 from daymend.sources.landing import Landing
 from daymend.sources.local import local_frame
@@ -37,8 +38,8 @@ FACT = "fact_sale"
 DIM = "dim_store"
 STAGE = "batch_fact_sale"
 STAGED_DIM = "batch_dim_store"
-AUDIT_TABLE = "tbl_metadata_audit"
 
+_TOTALS = ("row_count", "gross_total", "net_total")
 _STATUS_KEYS = T.StructType([T.StructField("sale_date", T.DateType()),
                              T.StructField("built_by_action", T.StringType())])
 
@@ -52,12 +53,6 @@ FROM (SELECT sale_date, max_by(struct(row_count, gross_total, net_total, action,
 WHERE last.row_count > 0
 """
 
-_MART_VIEW = """
-SELECT sale_date, count(*) AS orders, sum(gross_amount) AS gross_total,
-       sum(tax_amount) AS tax_total, sum(net_amount) AS net_total
-FROM {fact_sale} GROUP BY sale_date
-"""
-
 
 @dataclass
 class RunReport:
@@ -90,8 +85,9 @@ class SalesFlow:
 
     ``gate``: run the check suite on the batch before it is published.
     ``publish_on_red``: publish a red batch all the same and only report it.
-    ``unique_across_days``: look for the batch's sale ids and keys in the other days too. That reads two columns
-    of the other partitions, the ids cut down by the batch's range; only hits go on to the counting.
+    ``unique_across_days``: look for the batch's sale ids and keys in the other days too. Each build keeps a bitmap of its
+    keys by day (``day_index``), and only days whose bitmap meets that of the batch are read. Equal ids have equal keys,
+    so this finds both.
     ``by_key``: write by sale id instead of by day. A sale that left its file then stays in the fact, and one
     that moved to another day leaves the old one.
     ``refresh_dimension``: rebuild the dimension from the master list in every action, not only when missing. With
@@ -110,12 +106,16 @@ class SalesFlow:
         self.unique_across_days = unique_across_days and not by_key
         self.by_key = by_key
         self.refresh_dimension = refresh_dimension
+        #: What is kept by day, unless days are written by key: a batch is then not all that its days hold.
+        self.indexes = {} if by_key else {day_index.STORES: day_index.store_counts} | (
+            {day_index.KEYS: day_index.key_words} if self.unique_across_days else {})
         self._measured: Dimension | None = None
         store.create("day_ledger", DAY_LEDGER)
         store.create("run_ledger", RUN_LEDGER)
-        store.create(AUDIT_TABLE, AUDIT)
+        store.create(audit.TABLE, AUDIT)
         store.create("check_results", CHECK_RESULTS)
         store.create_view("dim_partition_status", _STATUS_VIEW.format(day_ledger=store.ident("day_ledger")))
+        store.create_view("dm_daily_sales_kept", KEPT_SALES_SQL.format(day_ledger=store.ident("day_ledger")))
 
     # -- actions -----------------------------------------------------------------------------
 
@@ -184,7 +184,7 @@ class SalesFlow:
     def reset(self) -> RunReport:
         """Empty fact, landing and ledgers; the audit log stays."""
         report = self._report("reset")
-        for table in ("day_ledger", "run_ledger", "check_results", FACT):
+        for table in ("day_ledger", "run_ledger", "check_results", FACT, day_index.KEYS, day_index.STORES):
             clear_table(self.store, table)
         for check in self.suite:
             clear_table(self.store, dq.FAILURE_PREFIX + check.name)
@@ -193,7 +193,7 @@ class SalesFlow:
         self._measured = None
         report.formula, report.published = CORRECT, True
         report.message, report.outcome = "all files wait again", "the fact is empty"
-        return self._close(report, audit=True)
+        return self._close(report, counted=True)
 
     # -- state -------------------------------------------------------------------------------
 
@@ -244,24 +244,32 @@ class SalesFlow:
         else:
             keyed = with_keys(transformed, dim.frame, lay_out=not dim.small)
 
+        seen: dict = {}
         if self.gate:
-            keyed = self._stage(keyed)
+            keyed, seen = self._stage(keyed, known_store() & wanted, wanted)
         # The join adds no rows if store ids are unique; then the staged rows serve for totals too.
-        counted = keyed if self.gate and dim.unique else transformed
-        totals = day_totals(counted.where(wanted), F.min("sale_id").alias("lo"),
-                            F.max("sale_id").alias("hi")).collect()
+        if seen and len(days) == 1 and dim.unique:
+            totals = [Row(sale_date=days[0], **{k: seen[k] for k in _TOTALS})] if seen["row_count"] else []
+        else:
+            counted = keyed if self.gate and dim.unique else transformed
+            totals = day_totals(counted.where(wanted)).collect()
 
         if self.gate:
-            models = self._models(report.action, keyed, wanted, dim.frame, days, totals)
-            results = dq.evaluate(self.suite, models).collect()
-            report.failed_checks = sorted(r["check"] for r in results if r.status != "pass")
+            batch = keyed.where(known_store() & wanted)
+            kept = {name: day_index.keep(self.store, name, told(batch), report.seq) for name, told in self.indexes.items()}
+            models = self._models(report.action, keyed, wanted, dim.frame, days, totals, kept)
+            results = dq.settled(self.suite, seen)
+            decided = {name for name, *_ in results}
+            results += [tuple(r) for r in dq.evaluate([c for c in self.suite if c.name not in decided], models).collect()]
+            report.failed_checks = sorted(name for name, *_, status in results if status != "pass")
             report.failed = len(report.failed_checks)
             report.passed = len(results) - report.failed
-            ledger.append(self.store, "check_results", CHECK_RESULTS,
-                          [(report.seq, *r) for r in results])
+            ledger.append(self.store, "check_results", CHECK_RESULTS, [(report.seq, *r) for r in results])
             self._keep_failures(report, models)
         if report.failed and not self.publish_on_red:
             clear_table(self.store, STAGE)
+            for name in self.indexes:
+                day_index.forget(self.store, name, report.seq)
             if files:
                 self.landing.refuse(files)
             self._measured = None
@@ -282,9 +290,12 @@ class SalesFlow:
         report.formula, report.published = in_force or report.formula, True
         self._log_days(report, formula, days, totals, run_ts)
         self._log_moved(report.seq, set(written) - set(days))
+        if self.gate:
+            for name in self.indexes:
+                day_index.settle(self.store, name, days, report.seq)
         report.files = list(files)
         report.outcome = _rebuilt(report.touched)
-        return self._close(report, audit=True)
+        return self._close(report, counted=True)
 
     def _publish(self, fact: DataFrame, days: Sequence[date | None]) -> list[date | None]:
         if self.by_key and self.store.exists(FACT):
@@ -305,12 +316,22 @@ class SalesFlow:
             self._measured = measured(self.store.read(STAGED_DIM if aside else DIM), "store_id")
         return self._measured, aside
 
-    def _stage(self, keyed: DataFrame) -> DataFrame:
-        """Write the batch once, laid out by day; the checks read these files and the publishing does too."""
-        overwrite_table(self.store, STAGE, keyed, ["sale_date"], rebalance=False)
-        return self.store.read(STAGE)
+    def _stage(self, keyed: DataFrame, in_fact: Column, wanted: Column) -> tuple[DataFrame, dict]:
+        """Write the batch once, laid out by day; the checks read these files and the publishing does too.
 
-    def _models(self, action: str, keyed: DataFrame, wanted, dim: DataFrame, days, totals) -> dict[str, dq.Model]:
+        Failing rows of the row and value checks, and the totals of the wanted rows, are counted as the rows are written.
+        """
+        scopes = {"stg_sale": None, "trn_tbl_sale": None, "fact_sale": in_fact}
+        inside = {c: F.when(wanted, F.col(c)) for c in ("gross_amount", "net_amount")}
+        metrics = dq.tallies(self.suite, scopes) | {
+            "row_count": F.count_if(wanted), "gross_total": F.sum(inside["gross_amount"]).cast(TOTAL),
+            "net_total": F.sum(inside["net_amount"]).cast(TOTAL)}
+        seen = Observation()
+        rows = keyed.observe(seen, *[metric.alias(name) for name, metric in metrics.items()])
+        overwrite_table(self.store, STAGE, rows, ["sale_date"], rebalance=False)
+        return self.store.read(STAGE), seen.get
+
+    def _models(self, action: str, keyed: DataFrame, wanted, dim: DataFrame, days, totals, kept) -> dict[str, dq.Model]:
         """The models of the suite over the staged batch.
 
         Stage, transform and fact are the same rows seen after more steps, so one frame with both
@@ -324,7 +345,7 @@ class SalesFlow:
             "dim_store": dq.Model(dim),
             "stg_sale": dq.Model(keyed),
             "trn_tbl_sale": dq.Model(keyed),
-            "fact_sale": dq.Model(keyed, known_store() & wanted, self._others(keyed, dim, days, totals)),
+            "fact_sale": dq.Model(keyed, known_store() & wanted, self._others(keyed, dim, days, kept)),
             "dim_partition_status": dq.Model(status),
             "dm_daily_sales": dq.Model(status),
         }
@@ -343,27 +364,52 @@ class SalesFlow:
             "dm_daily_sales": dq.Model(daily_sales(self.store.read(FACT))),
         }
 
-    def _others(self, keyed: DataFrame, dim: DataFrame, days, totals) -> dict[tuple[str, ...], DataFrame]:
+    def _others(self, keyed: DataFrame, dim: DataFrame, days, kept: dict[str, DataFrame]) -> dict[tuple[str, ...], DataFrame]:
         """Values of the other days that bear on the batch's checks, by column.
 
-        Ids and keys that the batch has too, and store keys that the new dimension has lost.
+        Ids and keys that the batch has too, and store keys that the new dimension has lost; only days that the
+        indexes name, or of which they know nothing, are read for them.
         """
-        if not set(self.store.days(FACT)) - set(days):
+        builds = self._builds(set(self.store.days(FACT)) - set(days))
+        if not builds:
             return {}
-        elsewhere = ~F.coalesce(in_days(F.col("sale_date"), days), F.lit(False))
-        fact, others = self.store.read(FACT).where(elsewhere), {}
-        lows = [r.lo for r in totals if r.lo is not None]
-        if self.unique_across_days and lows:
-            lo, hi = min(lows), max(r.hi for r in totals if r.hi is not None)
-            near = fact.where(F.col("sale_id").between(F.lit(lo), F.lit(hi)))
-            for column, rows in (("sale_id", near), ("sale_key", fact)):
-                others[column,] = rows.select(column).join(keyed.select(column).distinct(), column, "left_semi")
+        others = {}
+        if day_index.KEYS in kept:
+            near = self._days_to_read(day_index.KEYS, builds, lambda index: day_index.days_sharing_keys(index, kept[day_index.KEYS]))
+            if near:
+                fact = self.store.read(FACT).where(in_days(F.col("sale_date"), near))
+                for column in ("sale_id", "sale_key"):
+                    others[column,] = fact.select(column).join(keyed.select(column).distinct(), column, "left_semi")
         if self.store.exists(DIM):
-            lost = self.store.read(DIM).select("store_key").join(dim.select("store_key"), "store_key", "left_anti")
+            lost = self.store.read(DIM).select("store_key").join(dim.select("store_key"), "store_key", "left_anti").distinct()
             if not lost.isEmpty():
-                others["store_key",] = fact.select("store_key").join(lost.distinct(), "store_key", "left_semi")
+                near = self._days_to_read(day_index.STORES, builds, lambda index: day_index.days_with_stores(index, lost))
+                if near:
+                    fact = self.store.read(FACT).where(in_days(F.col("sale_date"), near))
+                    others["store_key",] = fact.select("store_key").join(lost, "store_key", "left_semi")
         return others
 
+    def _builds(self, days: Iterable[date | None]) -> dict[date | None, int | None]:
+        """The newest build of each of the given days; None where the ledger has none."""
+        newest = {r.sale_date: r.seq for r in ledger.current_days(self.store).select("sale_date", "seq").collect()}
+        return {day: newest.get(day) for day in days}
+
+    def _days_to_read(self, name: str, builds: dict, hits: Callable[[DataFrame], list]) -> list[date | None]:
+        """The days that an index names, and those it does not know."""
+        known = day_index.known_days(self.store, name, builds) if self.store.exists(name) else []
+        return [*(set(builds) - set(known)), *(hits(day_index.read(self.store, name, known)) if known else [])]
+
+    def index_days(self) -> list[date | None]:
+        """Index the days that were built without the gate or by key, so that later loads need not read them."""
+        builds, filled = {d: n for d, n in self._builds(self.store.days(FACT)).items() if n is not None}, set()
+        for name, told in self.indexes.items():
+            known = day_index.known_days(self.store, name, builds) if self.store.exists(name) else []
+            if missing := set(builds) - set(known):
+                rows = told(self.store.read(FACT).where(in_days(F.col("sale_date"), missing)))
+                day_index.fill(self.store, name, rows, {day: builds[day] for day in missing})
+                filled |= missing
+        return sorted(filled, key=lambda d: (d is None, d))
+
     def _keep_failures(self, report: RunReport, models: dict[str, dq.Model]) -> None:
         red = [c for c in self.suite if c.name in report.failed_checks]
         dq.store_failures(self.store, red, models)
@@ -374,8 +420,8 @@ class SalesFlow:
 
     def _published(self, days: Iterable[date | None]) -> dict:
         """What the partitions of the given days really hold."""
-        rows = self.store.read(FACT).where(in_days(F.col("sale_date"), days)).groupBy("sale_date") \
-            .agg(F.count("*").alias("n"), F.sum("net_amount").cast(TOTAL).alias("net"))
+        rows = self.store.read(FACT).where(in_days(F.col("sale_date"), days)).groupBy("sale_date").agg(
+            F.count("*").alias("n"), *[F.sum(f"{c}_amount").cast(TOTAL).alias(c) for c in ("net", "gross", "tax")])
         return {r.sale_date: r for r in rows.collect()}
 
     def _log_days(self, report: RunReport, formula: str, days, totals, run_ts: datetime) -> None:
@@ -386,8 +432,7 @@ class SalesFlow:
         for day in days:
             total, fact = built.get(day), published.get(day)
             rows.append((report.seq, report.action, day, total.row_count if total else 0,
-                         fact.n if fact else 0, fact.net if fact else None,
-                         total.gross_total if total else None, total.net_total if total else None,
+                         *_sums(fact), total.gross_total if total else None, total.net_total if total else None,
                          formula, run_ts))
         ledger.append(self.store, "day_ledger", DAY_LEDGER, rows)
 
@@ -399,14 +444,13 @@ class SalesFlow:
         rows = []
         for last in ledger.current_days(self.store).where(in_days(F.col("sale_date"), days)).collect():
             fact = published.get(last.sale_date)
-            rows.append((seq, last.action, last.sale_date, last.row_count, fact.n if fact else 0,
-                         fact.net if fact else None, last.gross_total, last.net_total, last.formula,
-                         last.built_at))
+            rows.append((seq, last.action, last.sale_date, last.row_count, *_sums(fact), last.gross_total,
+                         last.net_total, last.formula, last.built_at))
         ledger.append(self.store, "day_ledger", DAY_LEDGER, rows)
 
     def _ensure_mart(self) -> None:
         if not self.store.spark.catalog.tableExists(self.store.ident("dm_daily_sales")):
-            self.store.create_view("dm_daily_sales", _MART_VIEW.format(fact_sale=self.store.ident(FACT)))
+            self.store.create_view("dm_daily_sales", DAILY_SALES_SQL.format(fact_sale=self.store.ident(FACT)))
 
     # -- bookkeeping -------------------------------------------------------------------------
 
@@ -414,14 +458,13 @@ class SalesFlow:
         seq, formula = ledger.position(self.store)
         return RunReport(seq + 1, action, formula)
 
-    def _close(self, report: RunReport, audit: bool = False) -> RunReport:
-        """Log the run; ``audit`` counts the relations as they are now."""
+    def _close(self, report: RunReport, counted: bool = False) -> RunReport:
+        """Log the run; ``counted`` audits the relations as they are now."""
         run_id = f"run-{report.seq}-{uuid.uuid4().hex[:8]}"
         finished = _now()
-        if audit:
+        if counted:
             wanted = [DIM, FACT, "dim_partition_status", *([] if report.failed else ["dm_daily_sales"])]
-            counts = self.store.row_counts([m for m in wanted if self.store.exists(m)]).collect()
-            ledger.append(self.store, AUDIT_TABLE, AUDIT, [(r["name"], r["n"], run_id, finished) for r in counts])
+            audit.record(self.store, wanted, run_id, finished)
         converged = report.formula == CORRECT and ledger.contaminated_days(self.store).isEmpty()
         dated = [d for d in report.days if d is not None]
         ledger.append(self.store, "run_ledger", RUN_LEDGER, [(
@@ -431,6 +474,11 @@ class SalesFlow:
         return report
 
 
+def _sums(fact: Row | None) -> tuple:
+    """Rows, net, gross and tax of a day of the fact, in the order of the ledger."""
+    return (fact.n, fact.net, fact.gross, fact.tax) if fact else (0, None, None, None)
+
+
 def _rebuilt(days: int) -> str:
     return f"rebuilt {days} days"
 

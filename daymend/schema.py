@@ -20,7 +20,7 @@ SURROGATE = "decimal(20,0)"
 
 MASTER_STORE = T.StructType([T.StructField(c, T.StringType()) for c in STORE_COLUMNS])
 
-PARTITION_TYPES = {"sale_date": T.DateType(), "source_file": T.StringType()}
+PARTITION_TYPES = {"sale_date": T.DateType(), "source_file": T.StringType(), "built": T.StringType()}
 
 DAY_LEDGER = T.StructType([
     T.StructField("seq", T.LongType()),
@@ -29,6 +29,8 @@ DAY_LEDGER = T.StructType([
     T.StructField("row_count", T.LongType()),
     T.StructField("fact_rows", T.LongType()),
     T.StructField("fact_net_total", T.DecimalType(38, 2)),
+    T.StructField("fact_gross_total", T.DecimalType(38, 2)),
+    T.StructField("fact_tax_total", T.DecimalType(38, 2)),
     T.StructField("gross_total", T.DecimalType(38, 2)),
     T.StructField("net_total", T.DecimalType(38, 2)),
     T.StructField("formula", T.StringType()),

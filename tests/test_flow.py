@@ -1,4 +1,4 @@
-from datetime import date
+from datetime import date, datetime, timezone
 from decimal import Decimal
 
 import pytest
@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from daymend import ChecksFailed, CsvLanding, FrameLanding, SalesFlow, TableStore
 from daymend.functions.measures import CORRECT, NET_PLUS_TAX
+from daymend.operators import day_index
+from daymend.operators.write import overwrite_table
 from daymend.plans import audit, ledger, reports
 from daymend.session import fresh_root
 from daymend.streaming.arrivals import run_drops
@@ -309,10 +311,15 @@ def test_replay_with_another_formula_changes_only_its_days(spark, store, folder)
 
 
 def test_audit_of_any_relation(spark, store):
-    audit.record(store, "numbers", spark.range(7), "run-a")
-    audit.record(store, "numbers", spark.range(9), "run-b")
-    assert [(r.model_name, r.row_count, r.invocation_id) for r in audit.latest(store, 1).collect()] == [
-        ("numbers", 9, "run-b")]
+    first, second = (datetime(2026, 7, n, tzinfo=timezone.utc) for n in (1, 2))
+    overwrite_table(store, "numbers", spark.range(7))
+    audit.record(store, ["numbers", "nothing"], "run-a", first)
+    overwrite_table(store, "numbers", spark.range(9))
+    audit.record(store, ["numbers"], "run-b", second)
+    assert [(r.model_name, r.row_count, r.invocation_id) for r in audit.latest(store).collect()] == [
+        ("numbers", 9, "run-b"), ("numbers", 7, "run-a")]
+    audit.record(store, ["nothing"], "run-c", second)
+    assert audit.latest(store).count() == 2
 
 
 def test_refused_file_is_not_published_later(spark, store, folder):
