@@ -95,7 +95,7 @@ def range_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
 
 
 #: Signs that are hashed at once; tables of powers are not longer than two of these.
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 #: Prime modulus and base of the two polynomials.
 PRIMES = ((2147483647, 1103515245), (2147483629, 1974872341))
 _tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
