@@ -31,6 +31,12 @@ def net_amount_by(formula: Column) -> Column:
     return picked.otherwise(unknown)
 
 
+def formula_sql(formula: str) -> str:
+    """``net_amount_by`` as SQL text, for views; an unknown name gives NULL."""
+    signs = {NET_MINUS_TAX: "-", NET_PLUS_TAX: "+"}
+    return f"CASE {formula} " + " ".join(f"WHEN '{name}' THEN gross_amount {sign} tax_amount" for name, sign in signs.items()) + " END"
+
+
 def is_bugged() -> Column:
     """Day-level flag: a net total above the gross total proves a flipped sign."""
     return F.col("net_total") > F.col("gross_total")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -13,6 +14,7 @@ from daymend.operators.write import lay_out_by_day
 from daymend.schema import TOTAL
 
 BROADCAST_LIMIT = 64 * 1024 * 1024
+HEAVY = 200  # stores that are told apart as heavy
 _ROW_OVERHEAD = 64  # bytes: decimal key, row header, hash slot
 
 
@@ -34,6 +36,34 @@ def with_keys(transformed: DataFrame, dim_store: DataFrame, lay_out: bool = Fals
     return joined.select("*", surrogate_key("sale_id").alias("sale_key"))
 
 
+def heavy_stores(rows: DataFrame, parts: int, most: int = HEAVY) -> list:
+    """Store ids that hold more rows than an even share of ``parts`` shuffle partitions; ``most`` of them at most.
+
+    A sketch of the most frequent ids, so one pass over one column whatever the number of stores. An id that it misses
+    or overrates only changes which of two equal joins its rows take.
+    """
+    found = rows.agg(F.expr(f"approx_top_k(store_id, {most}, {8 * most})").alias("top"), F.count("*").alias("n")).first()
+    return [x["item"] for x in found.top if x["item"] is not None and x["count"] * parts > found.n]
+
+
+def with_keys_split(transformed: DataFrame, dim_store: DataFrame, heavy: Sequence, lay_out: bool = False) -> DataFrame:
+    """``with_keys`` for a dimension that is too large for a broadcast while a few stores hold much of the sales.
+
+    Rows of heavy stores, and rows without a store, meet a broadcast slice of the dimension, one row for each of them; all
+    others are shuffled. No shuffle partition then holds more of one store than its even share.
+    """
+    if not heavy:
+        return with_keys(transformed, dim_store, lay_out)
+    hot = F.coalesce(F.col("store_id").isin(list(heavy)), F.lit(True))
+    stores = dim_store.select("store_id", "store_key")
+    sides = [transformed.where(hot).join(F.broadcast(stores.where(F.col("store_id").isin(list(heavy)))), "store_id", "left"),
+             transformed.where(~hot).join(stores, "store_id", "left")]
+    joined = sides[0].unionByName(sides[1]).select(*transformed.columns, "store_key")
+    if lay_out:
+        joined = lay_out_by_day(joined)
+    return joined.select("*", surrogate_key("sale_id").alias("sale_key"))
+
+
 def known_store() -> Column:
     return F.col("store_key").isNotNull()
 

@@ -16,11 +16,11 @@ from pyspark.sql import Column, DataFrame, Observation, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daymend.functions.measures import CORRECT, net_amount_by
+from daymend.functions.measures import CORRECT, formula_sql, net_amount_by
 from daymend.operators import checks as dq
 from daymend.operators import day_index
 from daymend.operators.conform import (
-    Dimension, conform_stores, day_totals, fact_rows, known_store, measured, with_keys,
+    Dimension, conform_stores, day_totals, fact_rows, heavy_stores, known_store, measured, with_keys, with_keys_split,
 )
 from daymend.operators.marts import DAILY_SALES_SQL, KEPT_SALES_SQL, daily_sales
 from daymend.operators.stage import stage_stores
@@ -54,6 +54,20 @@ WHERE last.row_count > 0
 """
 
 
+_STAGE_STORES = "SELECT store_id, store_name, region FROM {dim_store}"
+
+_STAGE_SALES = """
+SELECT sale_id, store_id, sale_date, gross_amount, tax_amount, channel, source_file
+FROM {landed} LEFT SEMI JOIN (SELECT explode(files) AS source_file FROM {run_ledger} WHERE published) USING (source_file)
+"""
+
+_TRANSFORMED = f"""
+SELECT sale_id, store_id, sale_date, channel, gross_amount, tax_amount, {formula_sql('formula')} AS net_amount
+FROM {{stg_sale}} JOIN (SELECT sale_date, max_by(formula, struct(seq, built_at)) AS formula FROM {{day_ledger}} GROUP BY sale_date)
+USING (sale_date)
+"""
+
+
 @dataclass
 class RunReport:
     """What one action did."""
@@ -129,10 +143,10 @@ class SalesFlow:
         return self.load_files([following.source_file])
 
     def load_files(self, names: Sequence[str]) -> RunReport:
-        """Take in the given files, new or re-delivered, and rebuild every day they touch."""
+        """Take in the given files, new or re-delivered, and rebuild every day whose rows they change."""
         report = self._report("load_next")
         report.message = f"took in {names[0]}" if len(names) == 1 else f"took in {len(names)} files"
-        return self._build(report, self.landing.take(names), report.formula, files=names)
+        return self._build(report, self.landing.take(names, self.loaded()), report.formula, files=names)
 
     def switch_formula(self, formula: str, rebuild: bool = True) -> RunReport:
         """Put another formula in force; rebuild all loaded days with it, or leave them for later."""
@@ -207,14 +221,15 @@ class SalesFlow:
 
     def landed_rows(self) -> DataFrame:
         """All typed rows of the loaded files."""
-        names = self._loaded()
+        names = self.loaded()
         return self.landing.rows(self.landing.days(names), names)
 
-    def _loaded(self) -> list[str]:
+    def loaded(self) -> list[str]:
+        """Names of the files that count as loaded."""
         return [r.source_file for r in ledger.loaded_files(self.store).collect()]
 
     def _landed_days(self) -> list[date | None]:
-        return self.landing.days(self._loaded())
+        return self.landing.days(self.loaded())
 
     def _all_days(self) -> list[date | None]:
         return sorted({*self._landed_days(), *self.store.days(FACT)}, key=lambda d: (d is None, d))
@@ -233,7 +248,7 @@ class SalesFlow:
         dim, staged_dim = self._dimension(run_ts)
         report.days = list(days)
         aligned = dim.small and self.landing.laid_out_by_day
-        loaded = sorted({*self._loaded(), *files})
+        loaded = sorted({*self.loaded(), *files})
         landed = self.landing.rows([*days, None] if self.gate and None not in days else days, loaded, files) \
             .drop("source_file")
         transformed = transform_sales(landed, formula)
@@ -241,8 +256,11 @@ class SalesFlow:
         # One shuffle at most: ahead of a broadcast join where rows are narrow, after a shuffled one.
         if dim.small and not aligned:
             keyed = with_keys(transform_sales(lay_out_by_day(landed), formula), dim.frame)
+        elif dim.small:
+            keyed = with_keys(transformed, dim.frame)
         else:
-            keyed = with_keys(transformed, dim.frame, lay_out=not dim.small)
+            heavy = heavy_stores(landed, int(self.store.spark.conf.get("spark.sql.shuffle.partitions")))
+            keyed = with_keys_split(transformed, dim.frame, heavy, lay_out=True)
 
         seen: dict = {}
         if self.gate:
@@ -286,7 +304,7 @@ class SalesFlow:
         clear_table(self.store, STAGE)
         if files:
             self.landing.accept(files)
-        self._ensure_mart()
+        self._ensure_views()
         report.formula, report.published = in_force or report.formula, True
         self._log_days(report, formula, days, totals, run_ts)
         self._log_moved(report.seq, set(written) - set(days))
@@ -448,9 +466,15 @@ class SalesFlow:
                          last.net_total, last.formula, last.built_at))
         ledger.append(self.store, "day_ledger", DAY_LEDGER, rows)
 
-    def _ensure_mart(self) -> None:
-        if not self.store.spark.catalog.tableExists(self.store.ident("dm_daily_sales")):
-            self.store.create_view("dm_daily_sales", DAILY_SALES_SQL.format(fact_sale=self.store.ident(FACT)))
+    def _ensure_views(self) -> None:
+        """The mart, and stage and transform as views over what was landed."""
+        views = {"dm_daily_sales": DAILY_SALES_SQL, "stg_store": _STAGE_STORES}
+        if table := getattr(self.landing, "table", None):
+            views |= {"stg_sale": _STAGE_SALES.replace("{landed}", self.store.ident(table)), "trn_tbl_sale": _TRANSFORMED}
+        names = {name: self.store.ident(name) for name in (FACT, DIM, "run_ledger", "day_ledger", "stg_sale")}
+        for name, query in views.items():
+            if not self.store.spark.catalog.tableExists(self.store.ident(name)):
+                self.store.create_view(name, query.format(**names))
 
     # -- bookkeeping -------------------------------------------------------------------------
 

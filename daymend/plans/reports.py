@@ -7,8 +7,10 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from daymend.functions.digests import landed_hash, order_free, sale_hash
 from daymend.functions.measures import CORRECT, net_amount
 from daymend.operators.checks import failed
+from daymend.operators.write import in_days
 from daymend.plans import audit, ledger
 from daymend.plans.flow import FACT, SalesFlow
 from daymend.schema import CHECK_RESULTS, EXPORT_TABLES, HISTORY_LIMIT, SAMPLE_LIMIT, TOTAL
@@ -35,6 +37,48 @@ def daily_reconciliation(flow: SalesFlow) -> DataFrame:
         (now == F.col("correct")).alias("converged")).orderBy("sale_date")
 
 
+def reconciliation_by_digest(flow: SalesFlow) -> DataFrame:
+    """Per landed or published day: rows landed and published, whether they are the same sales, and how many are not.
+
+    ``missing`` sales were landed and are not published as they are, ``extra`` ones the other way round; repeated rows count.
+    ``wrong_rows`` counts published rows whose net is not gross minus tax. The digest of landed days was kept
+    as they landed, so days are compared without reading the landed rows; only days that differ are read again and
+    compared row by row. A swap of amounts between sales, which leaves all totals as they are, shows in the digest.
+    """
+    differ = days_that_differ(flow)
+    days = [r.sale_date for r in differ.where("not same").select("sale_date").collect()]
+    rows = differing_rows(flow, days).groupBy("sale_date").agg(
+        F.sum(F.greatest("surplus", F.lit(0))).alias("missing"), F.sum(F.greatest(-F.col("surplus"), F.lit(0))).alias("extra"))
+    rows = rows.withColumnRenamed("sale_date", "day")
+    none = F.lit(0).cast("long")
+    return differ.join(rows, F.col("sale_date").eqNullSafe(F.col("day")), "left").select(
+        "sale_date", "landed", "published", "same", F.coalesce("missing", none).alias("missing"),
+        F.coalesce("extra", none).alias("extra"), "wrong_rows")
+
+
+def days_that_differ(flow: SalesFlow) -> DataFrame:
+    """Numbers of landed and published rows per day, and whether their digests are the same."""
+    landed = flow.landing.digests(flow.loaded()).select("sale_date", F.col("n").alias("landed"), F.col("digest").alias("expected"))
+    n, digest = order_free(sale_hash(F.col("store_key")))
+    wrong = F.count_if(~F.col("net_amount").eqNullSafe(net_amount(CORRECT))).alias("wrong_rows")
+    published = flow.store.read(FACT).groupBy(F.col("sale_date").alias("day")).agg(n, digest.cast("string").alias("digest"), wrong)
+    both = landed.join(published, F.col("sale_date").eqNullSafe(F.col("day")), "full")
+    none = F.lit(0).cast("long")
+    return both.select(
+        F.coalesce("sale_date", "day").alias("sale_date"), F.coalesce("landed", none).alias("landed"),
+        F.coalesce("n", none).alias("published"), F.coalesce(F.col("expected") == F.col("digest"), F.lit(False)).alias("same"),
+        F.coalesce("wrong_rows", none).alias("wrong_rows"))
+
+
+def differing_rows(flow: SalesFlow, days: list) -> DataFrame:
+    """Sales of the given days that are not landed and published equally often: sale_date, sale_id, surplus of landed ones."""
+    side = lambda rows, hashed, sign: rows.select("sale_date", "sale_id", hashed.alias("hash"), F.lit(sign).alias("sign"))
+    landed = side(flow.landing.rows(days, flow.loaded()), landed_hash(), 1)
+    published = side(flow.store.read(FACT).where(in_days(F.col("sale_date"), days)), sale_hash(F.col("store_key")), -1)
+    return landed.unionByName(published).groupBy("sale_date", "sale_id", "hash").agg(F.sum("sign").alias("surplus")) \
+        .where("surplus <> 0").drop("hash")
+
+
 def affected_days(reconciliation: DataFrame) -> DataFrame:
     """Days that were ever shown wrong or are off now."""
     return reconciliation.where("bugged IS NOT NULL OR current IS DISTINCT FROM correct")
@@ -45,7 +89,7 @@ def bugged_partitions(store: TableStore) -> DataFrame:
 
 
 def summary(flow: SalesFlow) -> DataFrame:
-    """One row: net total, partitions built and bugged, formula flag, queue state, fact rows."""
+    """One row: net total, partitions built and bugged, formula flag, fact rows, and the queue with the names of its files."""
     store = flow.store
     fact = store.read(FACT).agg(
         F.coalesce(F.sum("net_amount"), F.lit(0)).cast(TOTAL).alias("net_total"),
@@ -54,9 +98,10 @@ def summary(flow: SalesFlow) -> DataFrame:
         F.count("*").alias("partitions_built"), F.count_if("bugged").alias("partitions_bugged"))
     flag = ledger.run_ledger(store).agg(
         F.coalesce(F.max_by("formula", "seq") != CORRECT, F.lit(False)).alias("tax_bug_active"))
-    loaded = ledger.loaded_files(store).agg(F.count("*").alias("files_loaded"))
+    names = F.array_join(F.sort_array(F.collect_set("source_file")), ",")
+    loaded = ledger.loaded_files(store).agg(F.count("*").alias("files_loaded"), names.alias("loaded_files"))
     pending = ledger.pending_files(flow.landing.arrived(), store).agg(
-        F.count("*").alias("files_pending"), F.min("source_file").alias("next_file"))
+        F.count("*").alias("files_pending"), F.min("source_file").alias("next_file"), names.alias("pending_files"))
     return _side_by_side(fact, status, flag, loaded, pending)
 
 

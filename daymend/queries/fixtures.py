@@ -17,7 +17,7 @@ from daymend.functions.measures import NET_PLUS_TAX
 from daymend.plans import ledger
 from daymend.plans.flow import FACT, SalesFlow
 from daymend.session import fresh_root, shared_dir
-from daymend.sources.landing import FrameLanding
+from daymend.sources.landing import CsvLanding, FrameLanding
 from daymend.sources.tables import TableStore
 
 FIRST_DAY = date(2024, 1, 1)
@@ -144,10 +144,31 @@ def _complete(flow: SalesFlow) -> bool:
         return False
 
 
-def write_drops(spark: SparkSession, sf_dir: str, folder: str, without_channel_after: int | None = None) -> None:
+def drops_flow(spark: SparkSession, sf_dir: str, label: str, change: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+               **options) -> tuple[SalesFlow, str]:
+    """A flow over written CSV drops, and their folder; ids are text there. ``change`` alters the rows of the drops."""
+    folder = fresh_root(spark, "drops")
+    write_drops(spark, sf_dir, folder, change=change)
+    flow = events_flow(spark, sf_dir, label, **options)
+    flow.landing = CsvLanding(flow.store, folder)
+    flow.stores = store_master(spark, sf_dir).withColumn("store_id", F.col("store_id").cast("string"))
+    return flow, folder
+
+
+def mid_bug_drops(spark: SparkSession, sf_dir: str, label: str) -> SalesFlow:
+    """``mid_bug`` over written drops: all of them lie in the folder, those after the 25th day are pending."""
+    flow, _ = drops_flow(spark, sf_dir, label)
+    flow.load_files([n for n in waiting(flow) if n <= day(20).isoformat()])
+    flow.switch_formula(NET_PLUS_TAX, rebuild=False)
+    flow.load_files([n for n in waiting(flow) if day(20).isoformat() < n <= day(25).isoformat()])
+    return flow
+
+
+def write_drops(spark: SparkSession, sf_dir: str, folder: str, without_channel_after: int | None = None,
+                change: Callable[[DataFrame], DataFrame] = lambda rows: rows, parts: int | None = None) -> None:
     """The stream as daily CSV drops. Odd and even days differ in column order and carry an extra
-    column; on request late days lack the channel."""
-    sales = raw_sales(spark, sf_dir).drop("ts")
+    column; on request late days lack the channel. ``parts`` deals each day into so many part files at least."""
+    sales = change(raw_sales(spark, sf_dir).drop("ts"))
     plain = ["sale_id", "store_id", "sale_date", "gross_amount", "tax_amount", "channel"]
     swapped = ["tax_amount", "channel", "note", "gross_amount", "sale_date", "sale_id", "store_id"]
     odd = F.day("sale_date") % 2 == 1
@@ -158,8 +179,9 @@ def write_drops(spark: SparkSession, sf_dir: str, folder: str, without_channel_a
         kinds = [(odd & ~late, plain), (~odd & ~late, swapped),
                  (late, [c for c in plain if c != "channel"])]
     for condition, columns in kinds:
-        tagged.where(condition).select("drop", *columns).hint("rebalance", "drop") \
-            .write.mode("append").partitionBy("drop").option("header", True).csv(folder)
+        rows = tagged.where(condition).select("drop", *columns)
+        rows = rows.repartition(parts) if parts else rows.hint("rebalance", "drop")
+        rows.write.mode("append").partitionBy("drop").option("header", True).csv(folder)
 
 
 def _midnight(when: date):

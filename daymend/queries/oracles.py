@@ -223,7 +223,40 @@ ORACLES = {
         count(DISTINCT sale_date) FILTER (WHERE sale_date >= DATE '2024-01-21') AS partitions_bugged,
         true AS tax_bug_active, count(DISTINCT sale_date) AS files_loaded,
         (SELECT count(DISTINCT sale_date) FROM t WHERE sale_date > DATE '2024-01-25') AS files_pending,
-        (SELECT min(source_file) FROM t WHERE sale_date > DATE '2024-01-25') AS next_file FROM m""",
+        (SELECT min(source_file) FROM t WHERE sale_date > DATE '2024-01-25') AS next_file,
+        string_agg(DISTINCT source_file, ',' ORDER BY source_file) AS loaded_files,
+        (SELECT string_agg(DISTINCT source_file, ',' ORDER BY source_file) FROM t
+         WHERE sale_date > DATE '2024-01-25') AS pending_files FROM m""",
+    "stage_relations": f"""WITH {_T}, {_DIM}, {_M}
+        SELECT 'stg_sale' AS name, count(*) AS n, {_total('gross_amount', 'gross_amount')}, {_total('tax_amount', 'tax_amount')},
+               CAST(NULL AS DECIMAL(38,2)) AS net_amount FROM m
+        UNION ALL SELECT 'trn_tbl_sale', count(*), {_total('gross_amount', 'g')}, {_total('tax_amount', 't')},
+               {_total('net_amount', 'n')} FROM m
+        UNION ALL SELECT 'stg_store', count(*), NULL, NULL, NULL FROM dim""",
+    "mart_from_ledger": f"""WITH {_T}, {_M} SELECT sale_date, count(*) AS orders, {_total('gross_amount', 'gross_total')},
+        {_total('tax_amount', 'tax_total')}, {_total('net_amount', 'net_total')} FROM m GROUP BY sale_date""",
+    "stream_parts_once": f"""WITH {_T} SELECT sale_date, CAST(1 AS BIGINT) AS builds, count(*) AS orders,
+        {_total(_CLEAN, 'net_total')} FROM t WHERE sale_date <= DATE '2024-01-03' GROUP BY sale_date""",
+    "redelivery_unchanged": f"""WITH {_T} SELECT sale_date, CAST(1 AS BIGINT) AS seq, count(*) AS orders,
+        {_total(_CLEAN, 'net_total')} FROM t GROUP BY sale_date""",
+    "redelivery_changed": f"""WITH {_T} SELECT sale_date,
+        CAST(CASE WHEN sale_date = DATE '2024-01-09' THEN 2 ELSE 1 END AS BIGINT) AS seq, count(*) AS orders,
+        CAST(sum({_CLEAN}) + count(*) FILTER (WHERE sale_date = DATE '2024-01-09' AND channel = 'error') * 0.01
+             AS DECIMAL(38,2)) AS net_total FROM t GROUP BY sale_date""",
+    "reconciliation_by_digest": f"""WITH {_T}, e AS (SELECT sale_date, min(sale_id) AS lo, max(sale_id) AS hi FROM t GROUP BY sale_date),
+        ends AS (SELECT e.sale_date, (a.gross_amount, a.tax_amount) IS DISTINCT FROM (b.gross_amount, b.tax_amount) AS differ
+                 FROM e JOIN t a ON a.sale_id = lo JOIN t b ON b.sale_id = hi)
+        SELECT sale_date, count(*) AS landed, count(*) - CASE WHEN sale_date = DATE '2024-01-12' THEN 1 ELSE 0 END AS published,
+               sale_date <> DATE '2024-01-12' AND NOT (sale_date = DATE '2024-01-09' AND any_value(differ)) AS same,
+               CAST(CASE WHEN sale_date = DATE '2024-01-12' THEN 1
+                         WHEN sale_date = DATE '2024-01-09' AND any_value(differ) THEN 2 ELSE 0 END AS BIGINT) AS missing,
+               CAST(CASE WHEN sale_date = DATE '2024-01-09' AND any_value(differ) THEN 2 ELSE 0 END AS BIGINT) AS extra,
+               CAST(0 AS BIGINT) AS wrong_rows
+        FROM t JOIN ends USING (sale_date) GROUP BY sale_date""",
+    "cross_day_duplicates": f"""WITH {_T} SELECT (SELECT min(sale_id) FROM t WHERE sale_date = DATE '2024-01-05') AS sale_id,
+        1 + count(*) AS n FROM t WHERE sale_date = DATE '2024-01-30' AND channel = 'signup' HAVING count(*) > 0""",
+    "hot_store_join": _fact(_CLEAN, f"""(SELECT * REPLACE (CASE WHEN channel = 'view' THEN 1 WHEN channel <> 'error' THEN store_id END
+        AS store_id) FROM t)"""),
     "daily_reconciliation": f"WITH {_T}, {_M} {_SERIES}",
     "affected_days": f"""WITH {_T}, {_M} SELECT sale_date, correct, bugged, current FROM ({_SERIES})
         WHERE bugged IS NOT NULL OR current IS DISTINCT FROM correct""",

@@ -7,15 +7,15 @@ from pyspark.sql import functions as F
 from daymend.operators import checks as dq
 from daymend.operators.conform import conform_sales, conform_stores
 from daymend.operators.marts import daily_sales_flagged
-from daymend.operators.stage import stage_stores
+from daymend.operators.stage import stage_sales, stage_stores
 from daymend.operators.transform import transform_sales
 from daymend.plans import audit, ledger, reports
 from daymend.plans.flow import FACT
 from daymend.queries.fixtures import (
-    EVENT_TYPES, five_loads, mid_bug, open_stores, shared, store_master,
+    EVENT_TYPES, five_loads, mid_bug, mid_bug_drops, open_stores, shared, store_master,
 )
 from daymend.queries.models import sales, stores
-from daymend.schema import EXPORT_TABLES
+from daymend.schema import EXPORT_TABLES, TOTAL
 
 KNOWN_CHANNELS = [t for t in EVENT_TYPES if t != "error"]
 
@@ -120,7 +120,7 @@ def bugged_partitions(spark, sf_dir):
 
 
 def summary(spark, sf_dir):
-    return reports.summary(shared(mid_bug, spark, sf_dir))
+    return reports.summary(shared(mid_bug_drops, spark, sf_dir))
 
 
 def daily_reconciliation(spark, sf_dir):
@@ -138,16 +138,37 @@ def net_delta(spark, sf_dir):
 
 
 def pending_partitions(spark, sf_dir):
-    return shared(mid_bug, spark, sf_dir).pending()
+    return shared(mid_bug_drops, spark, sf_dir).pending()
 
 
 def next_pending(spark, sf_dir):
-    flow = shared(mid_bug, spark, sf_dir)
+    flow = shared(mid_bug_drops, spark, sf_dir)
     return ledger.next_file(flow.landing.arrived(), flow.store)
 
 
 def next_preview(spark, sf_dir):
-    return shared(mid_bug, spark, sf_dir).next_preview()
+    """The raw text of the next drop, typed."""
+    rows = shared(mid_bug_drops, spark, sf_dir).next_preview()
+    return stage_sales(rows).withColumns({c: F.col(c).cast("bigint") for c in ("sale_id", "store_id")})
+
+
+def stage_relations(spark, sf_dir):
+    """Totals of the stage and transform relations of a store, read by name."""
+    store = shared(mid_bug_drops, spark, sf_dir).store
+    sums = [F.sum(c).cast(TOTAL).alias(c) for c in ("gross_amount", "tax_amount")]
+    none = F.lit(None).cast(TOTAL)
+    staged = store.read("stg_sale").agg(F.lit("stg_sale").alias("name"), F.count("*").alias("n"), *sums, none.alias("net_amount"))
+    transformed = store.read("trn_tbl_sale").agg(
+        F.lit("trn_tbl_sale").alias("name"), F.count("*").alias("n"), *sums, F.sum("net_amount").cast(TOTAL).alias("net_amount"))
+    stores_of = store.read("stg_store").agg(F.lit("stg_store").alias("name"), F.count("*").alias("n"),
+                                            *[none.alias(c) for c in ("gross_amount", "tax_amount", "net_amount")])
+    return staged.unionByName(transformed).unionByName(stores_of)
+
+
+def mart_from_ledger(spark, sf_dir):
+    """The daily mart from logged sums, without the fact."""
+    totals = [F.col(c).cast(TOTAL).alias(c) for c in ("gross_total", "tax_total", "net_total")]
+    return shared(mid_bug, spark, sf_dir).store.read("dm_daily_sales_kept").select("sale_date", "orders", *totals)
 
 
 def backfill_range(spark, sf_dir):
@@ -171,4 +192,4 @@ QUERIES = {f.__name__: f for f in (
     check_net_exceeds_gross, check_results, check_tally, failed_checks, check_failures_union, row_count_audit,
     audit_latest, run_history, partition_status, dm_daily_sales_flagged, net_ratio, bugged_partitions,
     summary, daily_reconciliation, affected_days, net_delta, pending_partitions, next_pending,
-    next_preview, backfill_range, touched_partitions, bug_snapshot, table_row_counts)}
+    next_preview, stage_relations, mart_from_ledger, backfill_range, touched_partitions, bug_snapshot, table_row_counts)}

@@ -65,6 +65,14 @@ CHECK_RESULTS = T.StructType([
     T.StructField("status", T.StringType()),
 ])
 
+LANDED_DIGEST = T.StructType([
+    T.StructField("source_file", T.StringType()),
+    T.StructField("sale_date", T.DateType()),
+    T.StructField("n", T.LongType()),
+    T.StructField("digest", T.StringType()),
+    T.StructField("landed_at", T.TimestampType()),
+])
+
 AUDIT = T.StructType([
     T.StructField("model_name", T.StringType()),
     T.StructField("row_count", T.LongType()),

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections import defaultdict
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -12,45 +11,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daymend.functions.measures import drop_root, file_stem
+from daymend.functions.measures import file_stem
 from daymend.schema import LANDING_COLUMNS, MASTER_STORE
 
 _CSV = {"header": True, "quote": '"', "escape": '"', "recursiveFileLookup": True,
         "pathGlobFilter": "*.csv", "mode": "PERMISSIVE"}
 _HEADER_JOBS = 8  # first lines read at a time
-_PART = re.compile(r"^(.*?/[^/]+\.csv)/[^/]+$")  # a part file of a drop that is a folder
-
-
-def list_drops(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per file in the drop folder: source_file, root, path. File contents are not read.
-
-    A day may be one file ``2024-01-05.csv`` or a folder of that name holding part files, which is
-    what a distributed producer writes.
-    """
-    files = spark.read.format("binaryFile").options(recursiveFileLookup=True, pathGlobFilter="*.csv") \
-        .load(folder).select("path")
-    return files.select(file_stem(F.col("path")).alias("source_file"),
-                        drop_root(F.col("path")).alias("root"), "path")
 
 
 def read_drops(spark: SparkSession, paths: Sequence[str], columns: Sequence[str] = LANDING_COLUMNS,
                multi_line: bool = False) -> DataFrame:
-    """Rows of the given files as text, with ``source_file`` first.
+    """Rows of the given drops as text, with ``source_file`` first; a path is a file or the folder of a drop.
 
     Columns are matched by name: drops with the same header are read together, a missing column
     is NULL, an extra one is dropped, an empty field is NULL. One header is read for each drop; a part file whose
     header differs from that of its drop fails the read. Typing is left to the stage casts, which
-    fail on bad text where a typed CSV read would turn it into NULL. ``multi_line`` allows line breaks inside
+    fail on bad text where a typed CSV read would turn it into NULL. A day may be one file ``2024-01-05.csv`` or a folder
+    of that name holding part files, which is what a distributed producer writes. ``multi_line`` allows line breaks inside
     quotes; such a file is read by one task, so ask for it only where producers write them.
     """
-    by_drop, by_header = defaultdict(list), defaultdict(list)
-    for path in paths:
-        part = _PART.match(path)
-        by_drop[part[1] if part else path].append(path)
+    by_header = defaultdict(list)
     with ThreadPoolExecutor(_HEADER_JOBS) as pool:
-        headers = list(pool.map(lambda files: _header(spark, files[0]), by_drop.values()))
-    for files, header in zip(by_drop.values(), headers):
-        by_header[tuple(header)] += files
+        headers = list(pool.map(lambda path: _header(spark, path), paths))
+    for path, header in zip(paths, headers):
+        by_header[tuple(header)].append(path)
     groups = [_read_group(spark, header, files, columns, multi_line)
               for header, files in sorted(by_header.items())]
     if not groups:

@@ -7,7 +7,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
-from urllib.parse import unquote
 
 from pyspark.sql import SparkSession
 
@@ -35,6 +34,14 @@ def entries(spark: SparkSession, path: str) -> Iterator[tuple[str, str, bool]]:
             yield name, entry.getPath().toString(), bool(entry.isDirectory())
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file with a given name, as markers are."""
+    system, where = _opened(spark, path)
+    out = system.create(where, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
 def delete(spark: SparkSession, paths: Iterable[str]) -> None:
     """Delete folders with all they hold; what is missing already is no error."""
     def gone(path: str) -> None:
@@ -52,6 +59,6 @@ def drops(spark: SparkSession, folder: str) -> Iterator[tuple[str, str]]:
     """
     for name, path, is_folder in entries(spark, folder):
         if name.endswith(".csv"):
-            yield unquote(name[:-4].rsplit("=", 1)[-1]) if "=" in name else name[:-4], path
+            yield name[:-4].rsplit("=", 1)[-1], path
         elif is_folder:
             yield from drops(spark, path)

@@ -1,7 +1,8 @@
 import pytest
 
 from daymend.operators.stage import stage_sales
-from daymend.sources.csv_files import list_drops, read_drops, read_master
+from daymend.sources.csv_files import read_drops, read_master
+from daymend.sources.files import drops
 from daymend.sources.landing import CsvLanding
 from sample import HEADER, STORES, d, write_csv
 
@@ -47,9 +48,9 @@ def test_listing_and_names(spark, folder):
     write_csv(folder, "2024-01-02", [])
     write_csv(folder + "/2024-01-01.csv", "part-0", [["s1", "ST-01", "2024-01-01", "1.00", "0.10", "online"]])
     write_csv(folder, "a+b c", [["s2", "ST-01", "2024-01-01", "1.00", "0.10", "online"]])
-    drops = {r.source_file: r.path for r in list_drops(spark, folder).collect()}
-    assert set(drops) == {"2024-01-01", "2024-01-02", "a+b c"}
-    rows = staged(spark, *drops.values())
+    found = dict(drops(spark, folder))
+    assert set(found) == {"2024-01-01", "2024-01-02", "a+b c"}
+    rows = staged(spark, *found.values())
     assert rows["s1"].source_file == "2024-01-01" and rows["s2"].source_file == "a+b c"
 
 
@@ -65,6 +66,53 @@ def test_relanding_a_file_replaces_its_rows(spark, store, folder):
     assert rows == [("s1", "5.00", "2024-01-01"), ("s2", "2.00", "2024-01-02")]
 
 
+def test_days_that_come_again_as_they_were_are_left_out(spark, store, folder):
+    one, two = (["s1", "ST-01", "2024-01-01", "1.00", "0.10", "online"], ["s2", "ST-02", "2024-01-02", "2.00", "0.20", "phone"])
+    more = ["s3", "ST-02", "2024-01-02", "3.00", "0.20", ""]
+    landing = CsvLanding(store, folder)
+
+    def landed():
+        return sorted((r.sale_id, str(r.gross_amount)) for r in landing.rows(landing.days(["f", "g"])).collect())
+
+    write_csv(folder, "f", [one, two, more])
+    write_csv(folder, "g", [["s9", "ST-01", "2024-01-02", "9.00", "0.10", "online"]])
+    assert landing.take(["f", "g"]) == [d("2024-01-01"), d("2024-01-02")]
+    landing.accept(["f", "g"])
+    write_csv(folder, "f", [more, two, one])  # another order
+    assert landing.take(["f"]) == [d("2024-01-01"), d("2024-01-02")]  # not known to be loaded
+    landing.refuse(["f"])
+    assert landing.take(["f", "g"], ["f", "g"]) == []
+    landing.accept(["f", "g"])
+    assert landed() == [("s1", "1.00"), ("s2", "2.00"), ("s3", "3.00"), ("s9", "9.00")]
+    write_csv(folder, "f", [one, two, two])  # a row for another, the same number of rows
+    assert landing.take(["f"], ["f"]) == [d("2024-01-02")]
+    rows = landing.rows([d("2024-01-01"), d("2024-01-02")], ["f", "g"], ["f"])
+    assert sorted(r.sale_id for r in rows.collect()) == ["s1", "s2", "s2", "s9"]
+    landing.accept(["f"])
+    assert landed() == [("s1", "1.00"), ("s2", "2.00"), ("s2", "2.00"), ("s9", "9.00")]
+    write_csv(folder, "f", [two, two])
+    assert landing.take(["f"], ["f"]) == [d("2024-01-01")]
+    landing.accept(["f"])
+    write_csv(folder, "f", [])
+    assert landing.take(["f", "g"], ["f", "g"]) == [d("2024-01-02")]
+    landing.accept(["f", "g"])
+    assert landed() == [("s9", "9.00")]
+    assert [(r.sale_date, r.n) for r in landing.digests(["f", "g"]).collect()] == [(d("2024-01-02"), 1)]
+
+
+def test_two_loaders_hold_apart(spark, store, folder):
+    """Files are held by name: what one loader refuses or takes does not touch what another holds."""
+    for n in (1, 2, 3):
+        write_csv(folder, f"2024-01-0{n}", [[f"s{n}", "ST-01", f"2024-01-0{n}", "1.00", "0.10", "online"]])
+    one, two = CsvLanding(store, folder), CsvLanding(store, folder)
+    one.take(["2024-01-01"])
+    two.take(["2024-01-02", "2024-01-03"])
+    two.refuse(["2024-01-03"])
+    one.accept(["2024-01-01"])
+    two.accept(["2024-01-02"])
+    assert sorted(r.sale_id for r in one.rows(one.days([f"2024-01-0{n}" for n in (1, 2, 3)])).collect()) == ["s1", "s2"]
+
+
 def test_master(spark, folder):
     path = write_csv(folder, "stores", [list(s[:3]) for s in STORES], ["store_id", "store_name", "region"])
     assert sorted(tuple(r) for r in read_master(spark, path).collect()) == [s[:3] for s in STORES]
