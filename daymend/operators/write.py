@@ -16,9 +16,10 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from daymend.sources import files
+from daymend.sources.local import local_frame
 from daymend.sources.tables import Spec, TableStore
 
-_SWAP = "partition string"
+_SWAP = "partition string, filled boolean"
 #: Files of a log table from which its rows are folded into one file.
 FOLD_AT = 32
 
@@ -83,6 +84,21 @@ def replace_partitions(store: TableStore, name: str, batch: DataFrame,
     return written
 
 
+def move_partitions(store: TableStore, source: str, target: str, specs: Iterable[Spec]) -> None:
+    """Put partitions of one table in the place of those of another with the same columns: folders are moved, no row is written.
+
+    A run that dies on the way has moved some of them; running it again with the same partitions moves the rest.
+    """
+    folders = store.partition_folders(source)
+    wanted = list(specs)
+    if not wanted:
+        return
+    files.replace(store.spark, [(folders[s], folders[s].replace(store.path(source), store.path(target), 1)) for s in wanted if s in folders])
+    store.add_partitions(target, wanted)
+    _forget_partitions(store, source, [s for s in wanted if s in folders])
+    store.spark.catalog.refreshTable(store.ident(source))
+
+
 def replace_days(store: TableStore, name: str, batch: DataFrame, days: Iterable[date | None],
                  rebalance: bool = True) -> list[date | None]:
     """Bounded range replace: after it, the given days of the table hold exactly the batch.
@@ -135,7 +151,9 @@ def upsert_by_key(store: TableStore, name: str, batch: DataFrame, keys: Sequence
         merged = kept.select(*target.columns).unionByName(batch.select(*target.columns))
         overwrite_table(store, f"merged_{name}", merged, columns)
         # The note is written last: with it the merged partitions are complete and may replace their originals.
-        note = store.spark.createDataFrame([(store.spec_sql(name, s),) for s in sorted(existing | touched, key=str)], _SWAP)
+        filled = set(store.partitions(f"merged_{name}"))
+        rows = [(store.spec_sql(name, s), s in filled) for s in sorted(existing | touched, key=str)]
+        note = local_frame(store.spark, store.spark.createDataFrame([], _SWAP).schema, rows)
         overwrite_table(store, f"swap_{name}", note)
         _finish_swap(store, name)
     if stage:
@@ -148,10 +166,11 @@ def _finish_swap(store: TableStore, name: str) -> None:
     note, merged = f"swap_{name}", f"merged_{name}"
     if not store.exists(note):
         return
-    wanted = {r.partition for r in store.read(note).collect()}
+    wanted = {r.partition: r.filled for r in store.read(note).collect()}
     if wanted:
-        scope = [s for s in store.partitions(name) if store.spec_sql(name, s) in wanted]
-        replace_partitions(store, name, store.read(merged), scope, rebalance=False)
+        known = {store.spec_sql(name, s): s for s in [*store.partitions(name), *store.partitions(merged)]}
+        move_partitions(store, merged, name, [known[p] for p, filled in wanted.items() if filled and p in known])
+        empty_partitions(store, name, [known[p] for p, filled in wanted.items() if not filled and p in known])
         clear_table(store, note)
         clear_table(store, merged)
 

@@ -13,7 +13,7 @@ from daymend.operators.checks import failed
 from daymend.operators.write import in_days
 from daymend.plans import audit, ledger
 from daymend.plans.flow import FACT, SalesFlow
-from daymend.schema import CHECK_RESULTS, EXPORT_TABLES, HISTORY_LIMIT, SAMPLE_LIMIT, TOTAL
+from daymend.schema import CHECK_RESULTS, EXPORT_TABLES, HISTORY_LIMIT, SAMPLE_LIMIT, STAGE_RELATIONS, TOTAL
 from daymend.sources.tables import TableStore
 
 
@@ -137,9 +137,13 @@ def model_sample(relation: DataFrame, limit: int = SAMPLE_LIMIT) -> DataFrame:
     return relation.orderBy(*[F.asc_nulls_last(c) for c in relation.columns]).limit(limit)
 
 
-def export_json(flow: SalesFlow, folder: str) -> None:
-    """Write every report as JSON lines; decimals stay numbers."""
+def export_json(flow: SalesFlow, folder: str, whole_tables: bool = False) -> None:
+    """Write every report as JSON lines, with a sample of each relation; decimals stay numbers.
+
+    ``whole_tables`` adds the exported tables with all their rows, the fact included.
+    """
     store = flow.store
+    relations = [name for name in (*EXPORT_TABLES, *STAGE_RELATIONS) if store.exists(name)]
     reports = {
         "summary": summary(flow),
         "daily_series": daily_reconciliation(flow),
@@ -148,8 +152,8 @@ def export_json(flow: SalesFlow, folder: str) -> None:
         "audit": audit.latest(store),
         "next_file": flow.next_preview(),
         "check_results": check_results(store),
-        **{f"table_{t}": store.read(t) for t in EXPORT_TABLES},
-        **{f"sample_{t}": model_sample(store.read(t)) for t in EXPORT_TABLES},
+        **{f"table_{t}": store.read(t) for t in EXPORT_TABLES if whole_tables},
+        **{f"sample_{t}": model_sample(store.read(t)) for t in relations},
     }
     for name, frame in reports.items():
         frame.write.mode("overwrite").json(f"{folder}/{name}")

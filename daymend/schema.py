@@ -10,6 +10,7 @@ STORE_COLUMNS = ["store_id", "store_name", "region"]
 CHANNELS = ["online", "in_store", "phone"]
 ACTIONS = ["load_next", "inject_bug", "fix_and_backfill", "reset"]
 EXPORT_TABLES = ["fact_sale", "dim_store", "dim_partition_status", "dm_daily_sales"]
+STAGE_RELATIONS = ["stg_store", "stg_sale", "trn_tbl_sale"]
 SAMPLE_LIMIT = 120
 AUDIT_LIMIT = 200
 HISTORY_LIMIT = 12

@@ -52,6 +52,21 @@ def delete(spark: SparkSession, paths: Iterable[str]) -> None:
         list(pool.map(gone, paths))
 
 
+def replace(spark: SparkSession, moves: Iterable[tuple[str, str]]) -> None:
+    """Put folders in the place of others: (from, to). What is not there any more was moved by a run that died, and stays."""
+    def moved(pair: tuple[str, str]) -> None:
+        system, source = _opened(spark, pair[0])
+        _, target = _opened(spark, pair[1])
+        if system.exists(source):
+            system.mkdirs(target.getParent())
+            system.delete(target, True)
+            if not system.rename(source, target):
+                raise OSError(f"{pair[0]} could not be moved to {pair[1]}")
+
+    with ThreadPoolExecutor(_CALLS) as pool:
+        list(pool.map(moved, moves))
+
+
 def drops(spark: SparkSession, folder: str) -> Iterator[tuple[str, str]]:
     """Name and path of each daily drop: a file or folder ``<name>.csv`` (also ``key=<name>.csv``), at any depth.
 

@@ -12,7 +12,9 @@ from pyspark.sql import types as T
 
 from daymend.functions.digests import landed_hash, order_free
 from daymend.operators.stage import stage_sales
-from daymend.operators.write import append_rows, clear_table, empty_partitions, in_days, replace_partitions
+from daymend.operators.write import (
+    append_rows, clear_table, empty_partitions, in_days, move_partitions, replace_partitions,
+)
 from daymend.schema import LANDED_DIGEST
 from daymend.sources import files
 from daymend.sources.csv_files import read_drops
@@ -122,7 +124,9 @@ class CsvLanding:
         scope = [s for s in self._of(names) if s not in self._same]
         told = [t for t in self._told if t[0] in set(names)]
         if scope or any((day, name) not in self._same for name, day, *_ in told):
-            replace_partitions(self.store, self.table, self._held(names), scope, rebalance=False)
+            held = self._of(names, self.held_table)
+            move_partitions(self.store, self.held_table, self.table, held)
+            empty_partitions(self.store, self.table, set(scope) - set(held))
             landed_at = datetime.now(timezone.utc)
             empty = [(name, None, 0, None) for name in sorted(set(names) - {t[0] for t in told})]
             rows = [(*t, landed_at) for t in [*told, *empty]]

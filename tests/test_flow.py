@@ -1,3 +1,4 @@
+import os
 from datetime import date, datetime, timezone
 from decimal import Decimal
 
@@ -212,6 +213,10 @@ def test_reports_as_json(spark, store, folder):
     row = spark.read.json(f"{out}/summary").first()
     assert (row.files_loaded, row.files_pending, row.next_file, row.net_total) == (1, 1, "2026-07-02", 4727.88)
     assert spark.read.json(f"{out}/next_file").count() == 28
+    assert spark.read.json(f"{out}/sample_trn_tbl_sale").count() == spark.read.json(f"{out}/sample_fact_sale").count() == 22
+    assert not os.path.exists(f"{out}/table_fact_sale")
+    reports.export_json(flow, out, whole_tables=True)
+    assert spark.read.json(f"{out}/table_fact_sale").count() == 22
 
 
 def test_flow_goes_on_in_another_session(spark, store, folder):

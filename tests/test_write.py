@@ -150,22 +150,34 @@ def test_upsert_cut_short_is_finished_by_the_next(spark, store, monkeypatch):
     from daymend.operators import write
     overwrite_table(store, "f", fact(spark, [("a", "2024-01-01", "1"), ("b", "2024-01-01", "2"), ("c", "2024-01-02", "3")]),
                     ["sale_date"])
-    swap = write.replace_partitions
+    move = write.files.replace
+    calls = []
 
-    def dies(store, name, batch, *rest, **options):
-        if name == "f":
-            raise RuntimeError("lost in the swap")
-        return swap(store, name, batch, *rest, **options)
+    def dies(spark, moves):
+        """The first folder is moved, then the driver is lost."""
+        moves = sorted(moves)
+        calls.append(len(moves))
+        move(spark, moves[:1])
+        raise RuntimeError("lost in the swap")
 
     batch = fact(spark, [("a", "2024-01-02", "9")])
-    monkeypatch.setattr(write, "replace_partitions", dies)
+    monkeypatch.setattr(write.files, "replace", dies)
     with pytest.raises(RuntimeError):
         upsert_by_key(store, "f", batch, ["sale_id"])
-    monkeypatch.setattr(write, "replace_partitions", swap)
-    # as if the swap had removed the old files: only the merged partitions hold the kept rows now
-    write.clear_table(store, "f")
+    assert calls == [2]
+    monkeypatch.setattr(write.files, "replace", move)
     upsert_by_key(store, "f", batch, ["sale_id"])
     assert [r[:2] for r in content(store)] == [("a", "2024-01-02"), ("b", "2024-01-01"), ("c", "2024-01-02")]
+    assert [r[2] for r in content(store)] == ["9.00", "2.00", "3.00"]
+    # the same where the swap has to take away a day
+    monkeypatch.setattr(write.files, "replace", dies)
+    with pytest.raises(RuntimeError):
+        upsert_by_key(store, "f", fact(spark, [("b", "2024-01-03", "5"), ("d", "2024-01-04", "6")]), ["sale_id"])
+    monkeypatch.setattr(write.files, "replace", move)
+    upsert_by_key(store, "f", fact(spark, [("e", "2024-01-04", "7")]), ["sale_id"])
+    assert [r[:2] for r in content(store)] == [("a", "2024-01-02"), ("b", "2024-01-03"), ("c", "2024-01-02"), ("d", "2024-01-04"),
+                                               ("e", "2024-01-04")]
+    assert store.days("f") == [d("2024-01-02"), d("2024-01-03"), d("2024-01-04")]
 
 
 def jobs_and_statements(spark, monkeypatch, work):
