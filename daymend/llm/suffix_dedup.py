@@ -49,9 +49,8 @@ def anchors(text: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     if len(text) < WINDOW:
         return {"start": empty, "count": empty, "row": empty, "key": empty.view(np.uint64), "sums": None}
     sums = T.prefix_sums(text)
-    at = np.arange(n_grams, dtype=np.int64)
-    hashes = T.range_hashes(sums, at, at + GRAM)
-    least = (hashes & np.uint64(0xFFFFFFFF00000000)) | at.astype(np.uint64)
+    hashes = T.window_hashes(sums, GRAM)
+    least = (hashes & np.uint64(0xFFFFFFFF00000000)) | np.arange(n_grams, dtype=np.uint64)
     step = 1
     while step * 2 <= width:
         least = np.minimum(least[:-step], least[step:])
@@ -221,6 +220,26 @@ def tell_strings(buckets: int):
     return told
 
 
+def _words(text: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as a number that compares as they do."""
+    return np.ndarray(len(text) - 7, ">u8", np.ascontiguousarray(text), strides=1)
+
+
+def _by_words(view: np.ndarray, places: np.ndarray, count: int) -> np.ndarray:
+    """The order of the texts of ``count`` words at the places: by the first word, those that tie by all others."""
+    first = view[places].astype(np.uint64)
+    order = np.argsort(first, kind="stable")
+    same = first[order[1:]] == first[order[:-1]]
+    tied = np.append(same, False) | np.insert(same, 0, False) if len(order) else same
+    rows = np.flatnonzero(tied)
+    if len(rows):
+        own = order[rows]
+        group = np.cumsum(~np.insert(same, 0, False)[rows])
+        rest = [view[places[own] + 8 * k].astype(np.uint64) for k in range(count - 1, 0, -1)]
+        order[rows] = own[np.lexsort((*rest, group))]
+    return order
+
+
 def two_stage_order(text: np.ndarray, smaller: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     """The wanted suffixes in order of their first bytes.
 
@@ -229,8 +248,7 @@ def two_stage_order(text: np.ndarray, smaller: np.ndarray, wanted: np.ndarray) -
     its first letter. A suffix that is wanted and not smaller must have a wanted successor.
     """
     direct = np.flatnonzero(wanted & smaller)
-    words = text[direct[:, None] + np.arange(56)].view(">u8").astype(np.uint64)
-    direct = direct[np.lexsort(words.T[::-1])]
+    direct = direct[_by_words(_words(text), direct, 7)]
     letter = text[direct]
     cuts = np.searchsorted(letter, np.arange(257))
     larger = wanted & ~smaller
@@ -261,12 +279,17 @@ def two_stage_order(text: np.ndarray, smaller: np.ndarray, wanted: np.ndarray) -
 
 def common_prefixes(text: np.ndarray, order: np.ndarray, depth: int) -> np.ndarray:
     """Length of what each suffix shares with the one before it in the order, ``depth`` at most."""
-    out = np.zeros(len(order), np.int64)
-    for a in range(1, len(order), 200_000):
-        b = min(a + 200_000, len(order))
-        places = np.arange(depth)
-        same = text[order[a:b, None] + places] == text[order[a - 1 : b - 1, None] + places]
-        out[a:b] = np.where(same.all(axis=1), depth, same.argmin(axis=1))
+    view, out = _words(text), np.full(len(order), depth)
+    out[:1] = 0
+    rows = np.arange(1, len(order))  # those that share all words so far
+    for k in range(0, depth, 8):
+        differ = view[order[rows] + k].astype(np.uint64) ^ view[order[rows - 1] + k].astype(np.uint64)
+        here = differ != 0
+        equal = np.full(int(here.sum()), k)
+        for bits in range(8, 64, 8):
+            equal += differ[here] < np.uint64(1 << bits)
+        out[rows[here]] = np.minimum(equal, depth)
+        rows = rows[~here]
     return out
 
 

@@ -49,11 +49,12 @@ def _power_table(base: int, n: int) -> np.ndarray:
 def mix(h: np.ndarray) -> np.ndarray:
     """Finalise 64-bit values so that every bit depends on every other one."""
     h = h.astype(np.uint64, copy=True)
-    h ^= h >> np.uint64(30)
+    shifted = h >> np.uint64(30)
+    h ^= shifted
     h *= np.uint64(0xBF58476D1CE4E5B9)
-    h ^= h >> np.uint64(27)
+    h ^= np.right_shift(h, np.uint64(27), out=shifted)
     h *= np.uint64(0x94D049BB133111EB)
-    h ^= h >> np.uint64(31)
+    h ^= np.right_shift(h, np.uint64(31), out=shifted)
     return h
 
 
@@ -94,6 +95,11 @@ def range_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     return mix((sums[ends] - sums[starts]) * _power_table(_INVERSE, len(sums))[starts])
 
 
+def window_hashes(sums: np.ndarray, size: int) -> np.ndarray:
+    """``range_hashes`` of every range of ``size`` bytes."""
+    return mix((sums[size:] - sums[:-size]) * _power_table(_INVERSE, len(sums))[: len(sums) - size])
+
+
 #: Signs that are hashed at once; tables of powers are not longer than two of these.
 CHUNK = 1 << 18
 #: Prime modulus and base of the two polynomials.

@@ -786,3 +786,19 @@ def test_cap_filters_keep_labels_apart(spark):
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
     got = sorted(tuple(r)[:3] for r in cap_filters.near_duplicates(frame).collect())
     assert got == [(1, 0, 1), (2, 1, 2), (3, 1, 2)]
+
+
+def test_order_and_common_prefixes_by_words():
+    """Sorting by words of eight bytes and comparing neighbours by them, against byte by byte."""
+    rng = np.random.default_rng(1)
+    for _ in range(60):
+        text = np.concatenate([rng.integers(97, 99, rng.integers(1, 300)).astype(np.uint8), np.zeros(80, np.uint8)])
+        places = rng.permutation(len(text) - 72)
+        order = places[suffix_dedup._by_words(suffix_dedup._words(text), places, 7)]
+        keys = [(text[p : p + 56].tobytes(), k) for k, p in enumerate(places.tolist())]
+        assert order.tolist() == [places[k] for _, k in sorted(keys)]
+        for depth in (7, 8, 49, 50):
+            shared = suffix_dedup.common_prefixes(text, order, depth)
+            for k in range(1, len(order)):
+                a, b = text[order[k - 1] :][:depth], text[order[k] :][:depth]
+                assert shared[k] == next((i for i in range(depth) if a[i] != b[i]), depth)
