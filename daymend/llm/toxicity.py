@@ -1,7 +1,8 @@
 """Toxicity by a counterfactually regularised linear classifier.
 
-Features are the distinct words of a text and the first 4, 5 and 6 bytes of longer ones, as 64-bit hashes. The
-features that tell the labels apart best are kept, and a logistic regression is fitted on them. In every labelled
+Features are the distinct words of a text and the first 4 to 8 bytes of longer ones, as 64-bit hashes. All
+features are kept that tell the labels apart by at least ``min_z`` standard deviations of chance, and a logistic regression
+is fitted on them. (A fixed number of the best ones instead lets chance features in, which the fit then learns by heart.) In every labelled
 sentence that names a group of people, the term is swapped for the others of its kind; the fit pays for each
 difference between the scores of a sentence and of its swaps, so a mere mention cannot carry the score.
 
@@ -41,7 +42,7 @@ IDENTITY_TERMS = (
     ("femmes", "hommes"), ("musulmans", "chrétiens", "juifs"), ("noirs", "blancs"), ("étrangers", "réfugiés"),
     ("mujeres", "hombres"), ("musulmanes", "cristianos", "judíos"), ("negros", "blancos"), ("extranjeros", "refugiados"),
 )
-PREFIXES = (4, 5, 6)
+PREFIXES = (4, 5, 6, 7, 8)
 _WORD = np.zeros(256, bool)
 _WORD[48:58] = _WORD[65:91] = _WORD[97:123] = True
 _WORD[128:] = True
@@ -147,7 +148,7 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(total, -60, 60)))
 
 
-def learn(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, n_features: int = 4096, min_rows: int = 8,
+def learn(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, min_z: float = 4.0, min_rows: int = 4,
           groups: tuple = IDENTITY_TERMS, swap_weight: float = 1.0) -> Model | None:
     """Fit on the labelled rows of ``docs(doc_id, text)``; None without labels of both kinds."""
     known = (labels.where("doc_id is not null and toxic is not null").groupBy("doc_id")
@@ -183,8 +184,8 @@ def learn(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, n_features
     prior = size["pos"] / size["n"]
     z = (F.col("pos") - F.col("n") * prior) / F.sqrt(F.col("n") * prior * (1 - prior))  # deviations from chance
     best = (rows.mapInArrow(counted, "feature long, pos long, n long").groupBy("feature")
-            .agg(F.sum("pos").alias("pos"), F.sum("n").alias("n")).where(F.col("n") >= min_rows)
-            .orderBy(F.abs(z).desc(), "feature").limit(n_features).select("feature").collect())
+            .agg(F.sum("pos").alias("pos"), F.sum("n").alias("n")).where((F.col("n") >= min_rows) & (F.abs(z) >= min_z))
+            .select("feature").collect())
     vocabulary = Vocabulary(np.array([r["feature"] for r in best], np.int64).view(np.uint64))
     terms = tuple(x for group in groups for x in group)
     named = re.compile(r"\b(" + "|".join(map(re.escape, terms)) + r")\b", re.I) if terms else re.compile(r"(?!)")

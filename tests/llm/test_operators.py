@@ -515,6 +515,34 @@ def test_toxicity(spark, odd):
     assert len(nothing) == 5 and all(r["score"] == 0 and r["predicted"] == 0 for r in nothing)
 
 
+def test_fit_is_at_the_least_loss():
+    """The gradient of the stated loss, taken numerically, is nearly zero in every direction where the fit ends."""
+    rng = np.random.default_rng(3)
+    size, penalty, swap_weight = 6, 1e-2, 0.7
+    rows = [np.flatnonzero(rng.random(size) < 0.4) for _ in range(80)]
+    labels = np.array([float(0 in r or rng.random() < 0.2) for r in rows])
+    pairs = [(np.flatnonzero(rng.random(size) < 0.5), np.flatnonzero(rng.random(size) < 0.5)) for _ in range(15)]
+
+    def loss(x):
+        weights, bias = x[:size], x[size]
+        score = np.array([weights[r].sum() + bias for r in rows])
+        apart = np.array([weights[a].sum() - weights[b].sum() for a, b in pairs])
+        return (np.log1p(np.exp(score)) - labels * score).mean() + swap_weight * (apart ** 2).mean() + penalty * (weights ** 2).sum()
+
+    weights, bias = toxicity.fit(rows, labels, pairs, size, penalty, swap_weight, steps=3000)
+    end = np.append(weights, bias)
+    slope = np.array([(loss(end + step) - loss(end - step)) / 2e-5 for step in np.eye(size + 1) * 1e-5])
+    assert np.abs(slope).max() < 1e-3 and loss(end) < loss(np.zeros(size + 1)) - 0.01
+
+
+def test_toxicity_of_rows_it_did_not_see(spark):
+    """Held-out recall and false positives on the larger given tables."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    got = toxicity.toxicity(docs, labels).where("held_out").join(labels, "doc_id").groupBy("toxic").agg(F.avg("predicted").alias("share"))
+    share = {r.toxic: r.share for r in got.collect()}
+    assert share[1] >= 0.85 and share[0] <= 0.01
+
+
 def test_swaps_lower_the_weight_of_a_mention(spark):
     rng = random.Random(12)
     rows = []
