@@ -6,6 +6,9 @@ seeds; for each such pair all maximal common runs are found by a rolling (Karp-R
 overlaps no tile is marked again and again until none of ``min_match`` words is left. A document is contaminated
 when the tiles cover at least ``coverage`` of an item's words, in whatever order its parts stand in the document.
 
+A text's seeds are counted by item first, each distinct seed once, and only pairs whose seeds could cover enough
+are tiled, one pair at a time. So a phrase that a text repeats and that very many items hold costs its items once.
+
 The benchmark goes to the tasks in blocks of at most ``BLOCK_WORDS`` words (16 MB), a pass over the documents for
 each block, so its size is bounded at any size of the benchmark. Documents are never shuffled, whatever they share.
 
@@ -29,6 +32,8 @@ from daymend.llm import textops as T
 from daymend.llm.frames import text_or_empty
 
 BLOCK_WORDS = 1 << 20
+#: Pairs of a seed of a text and a place in an item that are looked at together.
+MET = 1 << 20
 _word: list[np.ndarray] = []
 
 
@@ -100,7 +105,9 @@ class Items:
         first = np.concatenate([[0], np.cumsum(self.words)])
         order = whole[np.argsort(seeds[whole], kind="stable")]
         self.seeds, self.rows = seeds[order], rows[order]
-        self.at = order - first[self.rows]
+        order = whole[np.lexsort((seeds[whole], rows[whole]))]  # the same by item
+        self.own_seeds, self.own_at = seeds[order], order - first[rows[order]]
+        self.own_first = np.searchsorted(rows[order], np.arange(len(ids) + 1))
         self.short = {}  # items below the size of a seed, by their number of words
         for n in range(1, size):
             few = np.flatnonzero(self.words == n)
@@ -116,29 +123,55 @@ class Items:
         hashes, rows = word_hashes(text, offsets)
         for words, (known, items) in self.short.items():
             found = T.sequence_hashes(hashes, words)
-            lo = np.searchsorted(known, found, "left")
-            n = np.where(rows[: len(found)] == rows[words - 1 :][: len(found)], np.searchsorted(known, found, "right") - lo, 0)
-            pairs = np.stack([np.repeat(rows[: len(found)], n), items[T.ranges(lo, n)]], axis=1)
-            for row, k in np.unique(pairs, axis=0).tolist():
+            inside = np.flatnonzero(rows[: len(found)] == rows[words - 1 :][: len(found)])
+            for row, k, _ in _met(rows[inside], found[inside], known, items, len(self.ids)):
                 yield row, self.ids[k], 1, words, words
         seeds = T.sequence_hashes(hashes, self.size)
         near = np.flatnonzero(self.marks[(seeds & np.uint64(0x3FFFFF)).astype(np.int64)])
         near = near[rows[near] == rows[near + self.size - 1]]
-        lo = np.searchsorted(self.seeds, seeds[near], "left")
-        n = np.searchsorted(self.seeds, seeds[near], "right") - lo
-        at = T.ranges(lo, n)
-        doc_at, item, item_at = np.repeat(near, n), self.rows[at], self.at[at]
-        pair = rows[doc_at] * max(1, len(self.ids)) + item
-        order = np.argsort(pair, kind="stable")
-        cuts = np.flatnonzero(np.diff(pair[order])) + 1
-        for part in np.split(order, cuts) if len(order) else ():
-            k = int(item[part[0]])
+        places = np.searchsorted(rows[near], np.arange(len(offsets)))
+        for row, k, n in _met(rows[near], seeds[near], self.seeds, self.rows, len(self.ids)):
             need = coverage * self.words[k]
-            if len(np.unique(item_at[part])) * self.size < need:
+            if n * self.size < need:
                 continue  # even apart from one another the seeds cover too little
-            tiles, covered = tile(doc_at[part], item_at[part], self.size, int(self.words[k]))
+            at, own = near[places[row] : places[row + 1]], slice(self.own_first[k], self.own_first[k + 1])
+            lo = np.searchsorted(self.own_seeds[own], seeds[at], "left")
+            many = np.searchsorted(self.own_seeds[own], seeds[at], "right") - lo
+            tiles, covered = tile(np.repeat(at, many), self.own_at[own][T.ranges(lo, many)], self.size, int(self.words[k]))
             if covered >= need:
-                yield int(rows[doc_at[part[0]]]), self.ids[k], tiles, covered, int(self.words[k])
+                yield row, self.ids[k], tiles, covered, int(self.words[k])
+
+
+def _met(rows: np.ndarray, seeds: np.ndarray, known: np.ndarray, items: np.ndarray, n_items: int) -> Iterator[tuple[int, int, int]]:
+    """(row, item, places of the item that the row's seeds match) of all that share a seed.
+
+    ``known`` are the seeds of the items, sorted, and ``items`` where they come from. A seed counts once for a row however often the
+    row repeats it; the places are counted in slices of about ``MET``, so that frequent seeds do not fill the memory.
+    """
+    order = np.lexsort((seeds, rows))
+    rows, seeds = rows[order], seeds[order]
+    new = np.ones(len(rows), bool)
+    new[1:] = (rows[1:] != rows[:-1]) | (seeds[1:] != seeds[:-1])
+    rows, seeds = rows[new], seeds[new]
+    lo = np.searchsorted(known, seeds, "left")
+    n = np.searchsorted(known, seeds, "right") - lo
+    rows, lo, n = rows[n > 0], lo[n > 0], n[n > 0]
+    upto = np.concatenate([[0], np.cumsum(n)])
+    first = np.append(np.flatnonzero(np.diff(rows, prepend=-1)), len(rows))
+    for a, b in T.blocks(upto[first], MET):
+        part = slice(first[a], first[b])
+        if b - a > 1 or upto[first[b]] - upto[first[a]] <= MET:
+            pair = np.repeat(rows[part], n[part]) * max(1, n_items) + items[T.ranges(lo[part], n[part])]
+            found, count = np.unique(pair, return_counts=True)
+            row, item = found // max(1, n_items), found % max(1, n_items)
+        else:  # one row that meets very many places
+            total = np.zeros(n_items, np.int64)
+            for c, d in T.blocks(upto[first[a] : first[b] + 1], MET):
+                some = slice(first[a] + c, first[a] + d)
+                total += np.bincount(items[T.ranges(lo[some], n[some])], minlength=n_items)
+            item = np.flatnonzero(total)
+            row, count = np.full(len(item), rows[first[a]]), total[item]
+        yield from zip(row.tolist(), item.tolist(), count.tolist(), strict=True)
 
 
 def item_blocks(benchmark: DataFrame, size: int) -> Iterator[Items]:

@@ -498,6 +498,49 @@ def test_tiles_by_hand():
         assert got == (tiles, covered)
 
 
+@pytest.mark.parametrize("met", [1, 5, 1 << 20])
+def test_matches_by_hand(monkeypatch, met):
+    """Every text against every item, in slices of any size."""
+    monkeypatch.setattr(decontamination, "MET", met)
+    rng = random.Random(met)
+    words = [f"w{k}" for k in range(7)]
+    for _ in range(40):
+        items = [rng.choices(words, k=rng.randint(0, 14)) for _ in range(rng.randint(1, 9))]
+        docs = [rng.choices(words, k=rng.randint(0, 50)) for _ in range(rng.randint(1, 6))]
+        block = decontamination.Items(list(range(len(items))), [" ".join(x) for x in items], 3)
+        got = sorted(block.matches(*textops.buffers(pa.array([" ".join(x) for x in docs])), 0.6))
+        want = []
+        for r, doc in enumerate(docs):
+            for k, item in enumerate(items):
+                if 0 < len(item) < 3:
+                    if any(doc[d : d + len(item)] == item for d in range(len(doc))):
+                        want.append((r, k, 1, len(item), len(item)))
+                    continue
+                seeds = [(d, i) for d in range(len(doc) - 2) for i in range(len(item) - 2) if doc[d : d + 3] == item[i : i + 3]]
+                tiles, covered = decontamination.tile(*(np.array(x) for x in zip(*seeds, strict=True)), 3, len(item)) if seeds else (0, 0)
+                if tiles and covered >= 0.6 * len(item):
+                    want.append((r, k, tiles, covered, len(item)))
+        assert got == sorted(want)
+
+
+def test_a_phrase_that_repeats_against_many_items():
+    """A common phrase of a thousand items, five thousand times in a text: memory grows with the two, not with their product."""
+    import tracemalloc
+
+    rng = random.Random(5)
+    phrase = "which of the following is"
+    items = [f"{prose(rng, 12, 10**6)} {phrase} {prose(rng, 12, 10**6)}" for _ in range(1000)]
+    block = decontamination.Items(list(range(1000)), items, 4)
+    peaks = []
+    for times in (1000, 5000):
+        text, offsets = textops.buffers(pa.array([f"{phrase} x{k} " * times for k in range(1)] + [items[7]]))
+        tracemalloc.start()
+        assert [(r, i) for r, i, *_ in block.matches(text, offsets, 0.6)] == [(1, 7)]
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert peaks[1] < 30e6 and peaks[1] < 8 * peaks[0]
+
+
 # --- classifiers
 
 
