@@ -146,7 +146,8 @@ class SalesFlow:
         """Take in the given files, new or re-delivered, and rebuild every day whose rows they change."""
         report = self._report("load_next")
         report.message = f"took in {names[0]}" if len(names) == 1 else f"took in {len(names)} files"
-        return self._build(report, self.landing.take(names, self.loaded()), report.formula, files=names)
+        loaded = self.loaded()
+        return self._build(report, self.landing.take(names, loaded), report.formula, files=names, loaded=loaded)
 
     def switch_formula(self, formula: str, rebuild: bool = True) -> RunReport:
         """Put another formula in force; rebuild all loaded days with it, or leave them for later."""
@@ -237,7 +238,7 @@ class SalesFlow:
     # -- the build ---------------------------------------------------------------------------
 
     def _build(self, report: RunReport, days: Sequence[date | None], formula: str,
-               files: Sequence[str] = (), in_force: str | None = None) -> RunReport:
+               files: Sequence[str] = (), in_force: str | None = None, loaded: Sequence[str] | None = None) -> RunReport:
         if not days:
             if files:
                 self.landing.accept(files)
@@ -248,7 +249,7 @@ class SalesFlow:
         dim, staged_dim = self._dimension(run_ts)
         report.days = list(days)
         aligned = dim.small and self.landing.laid_out_by_day
-        loaded = sorted({*self.loaded(), *files})
+        loaded = sorted({*(self.loaded() if loaded is None else loaded), *files})
         landed = self.landing.rows([*days, None] if self.gate and None not in days else days, loaded, files) \
             .drop("source_file")
         transformed = transform_sales(landed, formula)

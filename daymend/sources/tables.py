@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from datetime import date
 from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -145,10 +146,8 @@ class TableStore:
         self.spark.sql(f"CREATE OR REPLACE VIEW {self.ident(name)} AS {query}")
 
     def add_partitions(self, name: str, specs: Sequence[Spec]) -> None:
-        known = set(self.partitions(name))
-        new = [s for s in specs if s not in known]
-        if new:
-            listed = " ".join(self.spec_sql(name, s) for s in new)
+        if specs:
+            listed = " ".join(self.spec_sql(name, s) for s in specs)
             self.spark.sql(f"ALTER TABLE {self.ident(name)} ADD IF NOT EXISTS {listed}")
         self.spark.catalog.refreshTable(self.ident(name))
 
@@ -170,7 +169,10 @@ class TableStore:
         path = self.current_path(name)
         if not any(True for _ in files.entries(self.spark, path)):
             return False
-        frame = self.spark.read.parquet(path)
+        try:
+            frame = self.spark.read.parquet(path)
+        except AnalysisException:  # folders of partitions that were emptied
+            return False
         stored = set(self.spark.read.option("recursiveFileLookup", True).parquet(path).columns)
         partition_by = [c for c in frame.columns if c not in stored]
         fields = [T.StructField(f.name, PARTITION_TYPES.get(f.name, f.dataType)) if f.name in partition_by else f
