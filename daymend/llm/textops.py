@@ -121,10 +121,15 @@ def _power_pair(prime: int, base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _sums(codes: np.ndarray, prime: int, base: int) -> np.ndarray:
-    terms = (codes.astype(np.uint64) + np.uint64(1)) * _power_pair(prime, base, len(codes))[0]
+    powers = _power_pair(prime, base, len(codes))[0]
+    terms = powers * codes
+    terms += powers  # a sign counts as one more than its code, so zeros tell too
     if codes.itemsize > 1:  # bytes stay below 2**64 in a whole chunk
         terms %= np.uint64(prime)
-    return np.concatenate([np.zeros(1, np.uint64), np.cumsum(terms)])
+    sums = np.empty(len(codes) + 1, np.uint64)
+    sums[0] = 0
+    np.cumsum(terms, out=sums[1:])
+    return sums
 
 
 def text_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:

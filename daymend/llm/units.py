@@ -56,15 +56,15 @@ class _Cache:
         inside = at < len(self.keys)
         known[inside] = self.keys[at[inside]] == keys[inside]
         at, size = at[known], (ends - starts)[known]
-        if not _same(self.bytes, self.place[at], self.length[at], text, starts[known], size):
+        if not _same(self.bytes, self.place[at], self.length[at], _padded(text), starts[known], size):
             return None
         return ~known
 
     def _remember(self, at: np.ndarray, text: np.ndarray, starts: np.ndarray, ends: np.ndarray):
         size = ends - starts
         total = int(size.sum())
-        if self.written + total > len(self.bytes):
-            self.bytes = np.concatenate([self.bytes, np.zeros(max(len(self.bytes), total), np.uint8)])
+        if self.written + total + 8 > len(self.bytes):
+            self.bytes = np.concatenate([self.bytes, np.zeros(max(len(self.bytes), total + 8), np.uint8)])
         place = self.written + np.concatenate([[0], np.cumsum(size)[:-1]]).astype(np.int64)
         self.bytes[self.written : self.written + total] = text[T.ranges(starts, size)]
         self.written += total
@@ -88,17 +88,38 @@ class _Cache:
         self.count = np.insert(self.count, at, counts)
 
 
-#: Bytes that are compared at once.
+#: Bytes of long words that are compared at once.
 _COMPARE = 1 << 20
+_FIRST = np.array([(1 << 8 * k) - 1 for k in range(8)] + [(1 << 64) - 1], np.uint64)
+
+
+def _eights(buffer: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place of a buffer on; the last eight of the buffer are no part of a word."""
+    return np.ndarray(len(buffer) - 7, "<u8", buffer, strides=1)
+
+
+def _padded(text: np.ndarray) -> np.ndarray:
+    return np.concatenate([text, np.zeros(8, np.uint8)])
 
 
 def _same(left: np.ndarray, left_at, left_size, right: np.ndarray, right_at, right_size) -> bool:
-    """Are all ranges equal, byte by byte?"""
+    """Are all ranges of two padded buffers equal, byte by byte?
+
+    Up to 16 bytes are compared as their first and their last eight, longer ranges one byte after the other.
+    """
     if not (left_size == right_size).all():
         return False
-    upto = np.concatenate([[0], np.cumsum(left_size)])
-    for lo, hi in T.blocks(upto, _COMPARE):
-        if not (left[T.ranges(left_at[lo:hi], left_size[lo:hi])] == right[T.ranges(right_at[lo:hi], right_size[lo:hi])]).all():
+    a, b = _eights(left), _eights(right)
+    if ((a[left_at] ^ b[right_at]) & _FIRST[np.minimum(left_size, 8)]).any():
+        return False
+    more = np.flatnonzero(left_size > 8)
+    ends = left_size[more] - 8
+    if (a[left_at[more] + ends] != b[right_at[more] + ends]).any():
+        return False
+    long = np.flatnonzero(left_size > 16)
+    left_at, right_at, size = left_at[long], right_at[long], left_size[long]
+    for lo, hi in T.blocks(np.concatenate([[0], np.cumsum(size)]), _COMPARE):
+        if not (left[T.ranges(left_at[lo:hi], size[lo:hi])] == right[T.ranges(right_at[lo:hi], size[lo:hi])]).all():
             return False
     return True
 
@@ -107,8 +128,8 @@ def _spread(text: np.ndarray, starts, ends):
     """Distinct byte ranges: hashes, one place of each, and which of them each range is; None where hashes collide."""
     keys, first, which = np.unique(T.text_hashes(text, starts, ends), return_index=True, return_inverse=True)
     again = np.flatnonzero(first[which] != np.arange(len(starts)))
-    one = first[which[again]]
-    if not _same(text, starts[one], (ends - starts)[one], text, starts[again], (ends - starts)[again]):
+    one, size, padded = first[which[again]], ends - starts, _padded(text)
+    if not _same(padded, starts[one], size[one], padded, starts[again], size[again]):
         return None
     return keys, starts[first], ends[first], which
 
