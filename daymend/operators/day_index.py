@@ -78,13 +78,16 @@ def forget(store: TableStore, name: str, build: int) -> None:
 
 
 def days_sharing_keys(index: DataFrame, words: DataFrame) -> list[date | None]:
-    """Days of the index with a bit that the given words have too."""
-    own = words.groupBy("word").agg(F.bit_or("bits").alias("own"))
+    """Days of the index with a bit that the given words have too.
+
+    Words grow with the sales of a batch, so both sides are shuffled and none goes through the driver.
+    """
+    own = words.groupBy("word").agg(F.bit_or("bits").alias("own")).hint("merge")
     met = index.join(own, "word").where(F.col("bits").bitwiseAND(F.col("own")) != 0)
     return [r.sale_date for r in met.select("sale_date").distinct().collect()]
 
 
 def days_with_stores(index: DataFrame, keys: DataFrame) -> list[date | None]:
     """Days of the index with sales of the given store keys."""
-    met = index.join(keys, "store_key", "left_semi")
+    met = index.join(keys.hint("merge"), "store_key", "left_semi")
     return [r.sale_date for r in met.select("sale_date").distinct().collect()]
