@@ -225,13 +225,16 @@ def _inside(model: Model) -> Column:
 
 
 def _orphan_tally(check: Check, models: dict[str, Model]) -> DataFrame:
-    """Child rows without a parent; counted per key before the join, so a hot key is one row."""
+    """Child rows without a parent; counted per key before the join, so a hot key is one row.
+
+    The keys are grouped, thus shuffled, by then; the parent is shuffled to them and never sent through the driver.
+    """
     rows = models[check.model].rows().select(F.col(check.columns[0]).alias("from_key"))
     if check.columns in models[check.model].others:
         rows = rows.unionByName(models[check.model].others[check.columns].toDF("from_key"))
     keys = rows.groupBy("from_key").agg(F.count("*").alias("n")).where("from_key IS NOT NULL")
     parent = models[check.parent].rows().select(F.col(check.parent_column).alias("from_key"))
-    return keys.join(parent, "from_key", "left_anti").agg(F.sum("n").alias(check.name))
+    return keys.join(parent.hint("merge"), "from_key", "left_anti").agg(F.sum("n").alias(check.name))
 
 
 def _row_tallies(group: list[Check], models: dict[str, Model]) -> DataFrame:

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from daymend.operators import checks as dq
 from daymend.operators import day_index
 
 
@@ -33,3 +34,11 @@ def test_indexes_are_met_by_shuffles(spark, ran):
     stores = spark.range(9).select(day, F.col("id").alias("store_key"))
     assert len(day_index.days_with_stores(stores, stores.where("store_key = 3").select("store_key"))) == 1
     assert len(ran) == 3 and not any("Broadcast" in p for p in ran)
+
+
+def test_parents_are_met_by_a_shuffle(spark):
+    facts = spark.createDataFrame([(1,), (2,), (2,), (3,), (None,)], "store_key int")
+    models = {"fact_sale": dq.Model(facts), "dim_store": dq.Model(spark.createDataFrame([(1,), (3,)], "store_key int"))}
+    tally = dq.evaluate([dq.relationships("fact_sale", "store_key", "dim_store", "store_key")], models)
+    assert [(r.failures, r.status) for r in tally.collect()] == [(2, "fail")]
+    assert "Broadcast" not in plan(tally) and "SortMergeJoin" in plan(tally)
