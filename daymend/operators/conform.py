@@ -13,7 +13,7 @@ from daymend.functions.keys import surrogate_key
 from daymend.operators.write import lay_out_by_day
 from daymend.schema import TOTAL
 
-BROADCAST_LIMIT = 64 * 1024 * 1024
+BROADCAST_LIMIT = 16 * 1024 * 1024
 HEAVY = 200  # stores that are told apart as heavy
 _ROW_OVERHEAD = 64  # bytes: decimal key, row header, hash slot
 
@@ -53,11 +53,11 @@ def with_keys_split(transformed: DataFrame, dim_store: DataFrame, heavy: Sequenc
     others are shuffled. No shuffle partition then holds more of one store than its even share.
     """
     if not heavy:
-        return with_keys(transformed, dim_store, lay_out)
+        return with_keys(transformed, dim_store.hint("merge"), lay_out)
     hot = F.coalesce(F.col("store_id").isin(list(heavy)), F.lit(True))
     stores = dim_store.select("store_id", "store_key")
     sides = [transformed.where(hot).join(F.broadcast(stores.where(F.col("store_id").isin(list(heavy)))), "store_id", "left"),
-             transformed.where(~hot).join(stores, "store_id", "left")]
+             transformed.where(~hot).join(stores.hint("merge"), "store_id", "left")]
     joined = sides[0].unionByName(sides[1]).select(*transformed.columns, "store_key")
     if lay_out:
         joined = lay_out_by_day(joined)
@@ -97,9 +97,10 @@ def day_totals(transformed: DataFrame, *more: Column) -> DataFrame:
 
 @dataclass(frozen=True)
 class Dimension:
-    """A dimension ready to join, and what was measured about it."""
+    """A dimension ready to join, and what was measured about it; ``plain`` is it without a hint."""
 
     frame: DataFrame
+    plain: DataFrame
     rows: int
     small: bool
     unique: bool
@@ -108,13 +109,14 @@ class Dimension:
 def measured(dim: DataFrame, key: str, limit: int = BROADCAST_LIMIT) -> Dimension:
     """Count the dimension and hint a broadcast only if rows times the widest key fit the limit.
 
-    Beyond it the frame stays as it is, and the join is a shuffled one that AQE keeps free of
-    skew by splitting hot partitions.
+    Beyond it the frame stays as it is, and ``with_keys_split`` makes the join a shuffled one that AQE keeps free of
+    skew by splitting hot partitions. The limit is low because every action broadcasts, and each broadcast goes
+    through the driver.
     """
     size = dim.agg(F.count("*").alias("n"), F.count_distinct(key).alias("keys"),
                    F.max(F.octet_length(F.col(key).cast("string"))).alias("width")).first()
     small = size.n * ((size.width or 0) + _ROW_OVERHEAD) <= limit
-    return Dimension(F.broadcast(dim) if small else dim, size.n, small, size.n == size.keys)
+    return Dimension(F.broadcast(dim) if small else dim, dim, size.n, small, size.n == size.keys)
 
 
 def _stamps(run_ts: datetime | None):

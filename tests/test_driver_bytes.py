@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from daymend.operators import checks as dq
 from daymend.operators import day_index
+from daymend.operators.conform import measured, with_keys_split
 
 
 def plan(frame):
@@ -42,3 +43,16 @@ def test_parents_are_met_by_a_shuffle(spark):
     tally = dq.evaluate([dq.relationships("fact_sale", "store_key", "dim_store", "store_key")], models)
     assert [(r.failures, r.status) for r in tally.collect()] == [(2, "fail")]
     assert "Broadcast" not in plan(tally) and "SortMergeJoin" in plan(tally)
+
+
+def test_dimensions_of_a_few_hundred_thousand_stores_are_shuffled(spark):
+    dim = spark.range(300_000).select(F.col("id").alias("store_id"), F.col("id").alias("store_key"))
+    large = measured(dim, "store_id")
+    assert not large.small and large.unique and measured(dim.limit(100_000), "store_id").small
+    sales = spark.range(10).select(F.col("id").cast("string").alias("sale_id"), (F.col("id") + 299_995).alias("store_id"))
+    joined = with_keys_split(sales, large.frame, [])
+    assert joined.where("store_key is null").count() == 5 and joined.count() == 10
+    assert "Broadcast" not in plan(joined)
+    hot = with_keys_split(sales, large.frame, [299_995])
+    assert sorted(map(str, hot.collect())) == sorted(map(str, joined.collect()))
+    assert plan(hot).count("SortMergeJoin") >= 1
