@@ -276,7 +276,7 @@ class SalesFlow:
         if self.gate:
             batch = keyed.where(known_store() & wanted)
             kept = {name: day_index.keep(self.store, name, told(batch), report.seq) for name, told in self.indexes.items()}
-            models = self._models(report.action, keyed, wanted, dim.frame, days, totals, kept)
+            models = self._models(report.action, keyed, wanted, dim.plain, days, totals, kept)
             results = dq.settled(self.suite, seen)
             decided = {name for name, *_ in results}
             results += [tuple(r) for r in dq.evaluate([c for c in self.suite if c.name not in decided], models).collect()]
@@ -398,9 +398,9 @@ class SalesFlow:
             if near:
                 fact = self.store.read(FACT).where(in_days(F.col("sale_date"), near))
                 for column in ("sale_id", "sale_key"):
-                    others[column,] = fact.select(column).join(keyed.select(column).distinct(), column, "left_semi")
+                    others[column,] = fact.select(column).join(keyed.select(column).distinct().hint("merge"), column, "left_semi")
         if self.store.exists(DIM):
-            lost = self.store.read(DIM).select("store_key").join(dim.select("store_key"), "store_key", "left_anti").distinct()
+            lost = self.store.read(DIM).select("store_key").join(dim.select("store_key").hint("merge"), "store_key", "left_anti").distinct()
             if not lost.isEmpty():
                 near = self._days_to_read(day_index.STORES, builds, lambda index: day_index.days_with_stores(index, lost))
                 if near:

@@ -3,9 +3,11 @@
 import pytest
 from pyspark.sql import functions as F
 
+from daymend import ChecksFailed, CsvLanding, SalesFlow
 from daymend.operators import checks as dq
 from daymend.operators import day_index
 from daymend.operators.conform import measured, with_keys_split
+from sample import golden_day, golden_folder, master, write_csv
 
 
 def plan(frame):
@@ -56,3 +58,32 @@ def test_dimensions_of_a_few_hundred_thousand_stores_are_shuffled(spark):
     hot = with_keys_split(sales, large.frame, [299_995])
     assert sorted(map(str, hot.collect())) == sorted(map(str, joined.collect()))
     assert plan(hot).count("SortMergeJoin") >= 1
+
+
+def test_gate_sends_no_keys_to_the_driver(spark, store, folder, ran):
+    """A doubled id and a store that closed: found as before, by shuffled joins."""
+    read = {}
+
+    class Watched(SalesFlow):
+        def _others(self, *args):
+            others = super()._others(*args)
+            for columns, frame in others.items():
+                read[columns] = len(frame.collect()), ran[-1]
+            return others
+
+    golden_folder(folder, 2)
+    rows = golden_day(2)
+    rows[3][0] = "SL-1-5"
+    write_csv(folder, "2026-07-02", rows)
+    flow = Watched(store, CsvLanding(store, folder), master(spark))
+    flow.load_next()
+    flow.stores = master(spark).where("store_id <> 'ST-05'")
+    with pytest.raises(ChecksFailed) as caught:
+        flow.load_next()
+    assert {"no_duplicate_sale_ids", "unique_fact_sale_sale_key"} <= set(caught.value.report.failed_checks)
+    assert "relationships_fact_sale_store_key_dim_store" in caught.value.report.failed_checks
+    for column in ("sale_id", "sale_key"):
+        n, seen = read[column,]
+        assert n == 1 and "Broadcast" not in seen
+    gates = [p for p in ran if "from_key" in p]
+    assert len(gates) == 2 and not any("BroadcastHashJoin [from_key" in p for p in gates)
