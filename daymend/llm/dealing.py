@@ -34,10 +34,19 @@ def n_parts(docs: DataFrame) -> int:
     return max(2, -(-total_bytes(docs.select(text_or_empty().alias("text")), "text") // PART))
 
 
-def deal(docs: DataFrame, parts: int) -> DataFrame:
-    """Rows (part, docs): all columns of ``docs``, null texts empty, as compressed batches."""
+def packed_rows(rows: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+        stream.write_table(rows)
+    return sink.getvalue().to_pybytes()
+
+
+def deal(docs: DataFrame, parts: int, waves: int = 1, wave: int = 0) -> DataFrame:
+    """Rows (part, docs): all columns of ``docs``, null texts empty, as compressed batches; of each wave only every so many parts."""
     key = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("doc_id"))
     dealt = docs.withColumn("text", text_or_empty()).withColumn("__part", F.pmod(key, F.lit(parts)).cast("int"))
+    if waves > 1:
+        dealt = dealt.where(F.col("__part") % waves == wave)
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -47,10 +56,7 @@ def deal(docs: DataFrame, parts: int) -> DataFrame:
             keys, first = np.unique(part[order], return_index=True)
             out = []
             for a, b in zip(first.tolist(), [*first[1:].tolist(), len(order)], strict=True):
-                sink = pa.BufferOutputStream()
-                with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
-                    stream.write_table(rows.slice(a, b - a))
-                out.append(sink.getvalue().to_pybytes())
+                out.append(packed_rows(rows.slice(a, b - a)))
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), pa.array(out, pa.binary())], ["part", "docs"])
 
     return dealt.mapInArrow(packed, "part int, docs binary")

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daymend.session import fresh_root
+from daymend.sources import files as folders
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -22,6 +26,23 @@ def stored(frame: DataFrame, label: str, files: int | None = None) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def dropped(frame: DataFrame) -> None:
+    """Delete the folder of a ``stored`` frame that nothing reads any more."""
+    folders.delete(frame.sparkSession, {x.rsplit("/", 1)[0] for x in frame.inputFiles()})
+
+
+@contextmanager
+def brief_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files go at the end of each action, not when the driver's memory is next cleaned."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def text_or_empty(column: str = "text"):
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 

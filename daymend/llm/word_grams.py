@@ -1,35 +1,69 @@
 """Modified Kneser-Ney counts of words, in shards; what is gathered grows with the trusted text.
 
 A token is a run of characters that are not white space, lower-cased; a character of a script without spaces is a
-token of its own. Parts ask the shards of each order for their distinct grams and tell the counts of their trusted
-ones. The shards of an order answer, and tell those of the order below its continuation counts and the totals of its
-contexts, so the shards go through the orders from the longest down and nothing of the model is broadcast.
-
-A part is answered with what all other parts counted. Trusted documents are scored by text that is not their own, as
-all others are, and their quantile is a threshold that holds for both.
-
-Grams are known by 32 bits of a hash in their shard, so an unseen one passes for a seen one with a probability of
-the number of grams in a shard over 2**32.
+token of its own. The shards go through the orders from the longest down. Parts tell the shards of an order the grams
+of their trusted text; a shard sums them and answers each part the sums and which of its grams it is to speak for. For
+these the part tells the order below the continuation counts and the totals of contexts, so each gram is told once,
+only keys and counts travel, and nothing of the model is broadcast. Parts then ask for the grams of all their text.
+
+A part is scored by what all other parts counted. Shards know the sums over all parts only; a part takes its own grams
+out by itself, as it knows them and is answered their sums (``PartModel``). Trusted documents are scored by text that
+is not their own, as all others are, and their quantile is a threshold that holds for both.
+
+Grams are known by ``KEY`` bits of a hash in their shard, so an unseen one passes for a seen one with a probability of
+the number of grams in a shard over 2**34. Sorted keys travel as gaps and all numbers by planes of bytes, so a key
+takes few more bits than tell it from its neighbours.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import pickle
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daymend.llm import textops as T
-from daymend.llm.dealing import batch, pack, unpack
-from daymend.llm.frames import stored
+from daymend.llm.dealing import batch
+from daymend.llm.frames import dropped, stored
 
-ORDER = 3
-ASK, COUNT, CONTEXT, ANSWER, STATS = range(5)
-MESSAGE = "level int, bucket int, part int, kind int, body binary"
+ORDER, KEY = 3, 34
+TOLD, MODEL, STATS = range(3)
+MESSAGE = "part int, bucket int, level int, kind int, body binary"
+ASKED = "part int, bucket int, body binary"
 BEGIN, END = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
-NAMES = ("total", "n1", "n2", "n3")
+
+
+def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return T.mix(a * np.uint64(0xD6E8FEB86659FD93) + b)
+
+
+#: The context of the first token of a text.
+START = _pair(np.array([BEGIN]), np.array([BEGIN]))[0]
+
+
+def shrunk(*arrays: np.ndarray) -> bytes:
+    """Arrays of numbers from 0 on, each plane of bytes compressed by itself."""
+    out = []
+    for x in arrays:
+        planes = np.ascontiguousarray(x, "<u8").view(np.uint8).reshape(-1, 8)
+        width = (int(x.max()).bit_length() + 7) // 8 if len(x) else 0
+        out.append((len(x), [zstandard.compress(planes[:, k].tobytes(), 1) for k in range(width)]))
+    return pickle.dumps(out, protocol=5)
+
+
+def grown(blob) -> list[np.ndarray]:
+    """The arrays of ``shrunk``."""
+    out = []
+    for n, found in pickle.loads(memoryview(blob.as_buffer() if hasattr(blob, "as_buffer") else blob)):
+        planes = np.zeros((n, 8), np.uint8)
+        for k, plane in enumerate(found):
+            planes[:, k] = np.frombuffer(zstandard.decompress(plane), np.uint8)
+        out.append(planes.view("<u8").reshape(-1).astype(np.int64))
+    return out
 
 
 def alone(codes: np.ndarray) -> np.ndarray:
@@ -40,8 +74,8 @@ def alone(codes: np.ndarray) -> np.ndarray:
     return out
 
 
-def tokens(texts: list[str]) -> dict[str, np.ndarray]:
-    """Keys of the grams that end at each token, their contexts, the token's text, and the token of each symbol.
+def tokens(texts: list[str], symbols: bool = True) -> dict[str, np.ndarray]:
+    """Keys of the grams of one to three that end at each token, the token's text, and the token of each symbol.
 
     A text has its words and an end as tokens, and its characters and an end as symbols.
     """
@@ -52,186 +86,206 @@ def tokens(texts: list[str]) -> dict[str, np.ndarray]:
     first = ends - lengths
     final = np.zeros(len(codes), bool)
     final[ends] = True
-    white = np.isin(codes, [9, 10, 11, 12, 13, 32]) & ~final
-    single = alone(codes) & ~final
+    white = ((codes == 32) | ((codes >= 9) & (codes <= 13))) & ~final
     start = ~white
-    start[1:] &= white[:-1] | single[1:] | single[:-1] | final[:-1] | final[1:]
+    most = codes.max(initial=0)
+    if most >= 0x0E00:
+        single = alone(codes) & ~final
+        start[1:] &= white[:-1] | single[1:] | single[:-1] | final[:-1] | final[1:]
+    else:
+        start[1:] &= white[:-1] | final[:-1] | final[1:]
     start[first] = ~white[first]
-    begins = np.flatnonzero(start)
-    row = np.searchsorted(ends, begins)
     own = np.flatnonzero(start | white | final)  # a word ends where the next of these stands
-    after = np.append(own, len(codes))[np.searchsorted(own, begins, "right")]
-    words = T.text_hashes(codes, begins, after)
+    begun = np.flatnonzero(start[own])
+    begins, after = own[begun], np.append(own, len(codes))[begun + 1]
+    row = np.searchsorted(ends, begins)
+    words = T.text_hashes(codes.astype(np.uint8) if most < 256 else codes, begins, after)
     words = np.where(final[begins], END, words)
     head = np.flatnonzero(np.diff(row, prepend=-1))
-    back1 = np.concatenate([[BEGIN], words[:-1]]).astype(np.uint64) if len(words) else words
-    back1[head] = BEGIN
-    back2 = np.concatenate([[BEGIN], back1[:-1]]).astype(np.uint64) if len(words) else words
-    back2[head] = BEGIN
-    pair = lambda a, b: T.mix(a * np.uint64(0xD6E8FEB86659FD93) + b)
-    context = pair(back2, back1)
-    symbol = np.maximum(np.cumsum(start) - 1, np.repeat(head, lengths + 1))
-    return {"row": row, "symbol": symbol, "lengths": lengths, "one": words, "two": pair(back1, words), "three": pair(context, words),
-            "before": back1, "context": context}
+    back = lambda keys, border: _headed(keys, head, border)
+    two = _pair(back(words, BEGIN), words)
+    out = {"row": row, "lengths": lengths, "one": words, "two": two, "three": _pair(back(two, START), words)}
+    return out | {"symbol": np.maximum(np.cumsum(start) - 1, np.repeat(head, lengths + 1))} if symbols else out
 
 
-def _ids(keys: np.ndarray, buckets: int) -> np.ndarray:
-    """Shard in the upper half, what is known of the gram there in the lower one."""
-    return (((keys & np.uint64(0xFFFFFFFF)) % np.uint64(buckets)) << np.uint64(32)) | (keys >> np.uint64(32))
+def _headed(of: np.ndarray, head: np.ndarray, border) -> np.ndarray:
+    """What the token before has, with another value for the first tokens of texts."""
+    out = np.empty_like(of)
+    out[1:] = of[:-1]
+    out[head] = border
+    return out
 
 
-def asked(found: list[dict], buckets: int) -> dict[int, np.ndarray]:
-    """Sorted grams of a part, by order."""
-    of = lambda *names: np.unique(_ids(np.concatenate([x[n] for x in found for n in names]), buckets)) if found else np.zeros(0, np.uint64)
-    return {3: of("three"), 2: of("two", "context"), 1: of("one", "before")}
+def _ids(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """Shard in the upper bits, what is known of the gram there in the lower ones."""
+    return ((((keys & np.uint64(0xFFFFFF)) % np.uint64(buckets)) << np.uint64(KEY)) | (keys >> np.uint64(64 - KEY))).astype(np.int64)
 
 
-def _cuts(ids: np.ndarray) -> Iterator[tuple[int, int, int]]:
-    """(shard, from, to) in sorted ids."""
-    shard = (ids >> np.uint64(32)).astype(np.int64)
-    first = np.flatnonzero(np.diff(shard, prepend=-1))
-    for a, b in zip(first.tolist(), [*first[1:].tolist(), len(ids)], strict=False):
-        yield int(shard[a]), a, b
+def _of(n: np.ndarray) -> list[np.ndarray]:
+    """What a gram of each count adds to its context: the count, and to the numbers of grams counted 1, 2 and more."""
+    return [n, *((n == k).astype(np.int64) for k in (1, 2)), (n > 2).astype(np.int64)]
 
 
-def _low(ids: np.ndarray) -> np.ndarray:
-    return (ids & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+def _distinct(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct ids and the place of each id in them.
 
+    Ids are sorted with their positions in the lower bits of one number, and again without if bits that did not fit tell.
+    """
+    at_bits = max(1, len(ids).bit_length())
+    shift = max(0, int(ids.max(initial=0)).bit_length() + at_bits - 63)
+    order = np.sort(((ids >> shift) << at_bits) | np.arange(len(ids))) & ((1 << at_bits) - 1)
+    ranked = ids[order]
+    if shift and (ranked[1:] < ranked[:-1]).any():
+        order = np.argsort(ids, kind="stable")
+        ranked = ids[order]
+    new = np.diff(ranked, prepend=-1) != 0
+    place = np.empty(len(ids), np.int32)
+    place[order] = np.cumsum(new) - 1
+    return ranked[new], place
+
+
+class Part:
+    """The distinct grams of a part by order: sorted ids, and the places in them of each token's gram and context."""
+
+    def __init__(self, found: list[dict[str, np.ndarray]], buckets: int, levels: tuple[int, ...] = (1, 2, 3)):
+        self.ids: dict[int, np.ndarray] = {}
+        self.gram: dict[int, np.ndarray] = {}
+        self.context: dict[int, np.ndarray] = {}
+        joined = lambda name, kind: np.concatenate([np.zeros(0, kind), *(x[name] for x in found)])
+        heads = [np.diff(x["row"], prepend=-1) != 0 for x in found]
+        head = np.flatnonzero(np.concatenate([np.zeros(0, bool), *heads]))
+        for level, name, border in ((3, "three", None), (2, "two", START), (1, "one", BEGIN)):
+            if level not in levels:
+                continue
+            keys = joined(name, np.uint64)
+            if border is not None:
+                keys = np.append(keys, border)  # is a context only
+            self.ids[level], place = _distinct(_ids(keys, buckets))
+            if border is not None:
+                self.context[level + 1] = _headed(place[:-1], head, place[-1])
+                place = place[:-1]
+            self.gram[level] = place
+
+    def cuts(self) -> dict[int, dict[int, tuple[int, int]]]:
+        """By shard: where its ids begin and end in each order."""
+        out: dict[int, dict[int, tuple[int, int]]] = {}
+        for level, ids in self.ids.items():
+            shard = ids >> KEY
+            first = np.flatnonzero(np.diff(shard, prepend=-1))
+            for a, b in zip(first.tolist(), [*first[1:].tolist(), len(ids)], strict=False):
+                out.setdefault(int(shard[a]), {})[level] = (a, b)
+        return out
+
+    def gaps(self, level: int, a: int, b: int) -> np.ndarray:
+        return np.diff(self.ids[level][a:b] & ((1 << KEY) - 1), prepend=0)
+
+    def sums(self, level: int, place: np.ndarray, values: np.ndarray) -> np.ndarray:
+        return np.bincount(place, values, len(self.ids[level])).astype(np.int64)
+
+    def once(self, level: int, tokens: np.ndarray) -> np.ndarray:
+        """One of the tokens for each of their grams, by its place."""
+        return tokens[np.unique(self.gram[level][tokens], return_index=True)[1]]
+
+
+def _answered(bodies: list[tuple[int, list[np.ndarray]]], columns: int) -> list[np.ndarray]:
+    """Columns of the answers of all shards, in the order of the ids."""
+    bodies = sorted(bodies, key=lambda x: x[0])
+    return [np.concatenate([np.zeros(0, np.int64), *(x[k] for _, x in bodies)]) for k in range(columns)]
+
+
+def tell(level: int, part: Part, number: int, answers: pa.Table | None) -> list[tuple]:
+    """What a part of trusted tokens tells the shards of an order, after the answers of the order above."""
+    if not len(part.gram[level]):
+        return []
+    every = np.arange(len(part.gram[level]))
+    if level == ORDER:
+        values = [part.sums(level, part.gram[level], np.ones(len(every)))]
+    else:
+        n, speaks = _answered([(b, grown(x)) for b, x in zip(answers.column("bucket").to_pylist(), answers.column("body"), strict=True)], 2)
+        once = part.once(level + 1, every)
+        once = once[speaks[part.gram[level + 1][once]] > 0]
+        whole = n[part.gram[level + 1][once]]
+        values = [part.sums(level, part.gram[level][once], np.ones(len(once))),
+                  *(part.sums(level, part.context[level + 1][once], x) for x in _of(whole))]
+    return [(number, shard, level, TOLD, shrunk(part.gaps(level, a, b), *(x[a:b] for x in values)))
+            for shard, at in part.cuts().items() if level in at for a, b in [at[level]]]
+
+
+def shard_step(table: pa.Table) -> pa.Table:
+    """The sums of a shard, kept for all who ask, and its answers to the parts that told it."""
+    shard, level = (table.column(x)[0].as_py() for x in ("bucket", "level"))
+    told = sorted(zip(table.column("part").to_pylist(), (grown(x) for x in table.column("body")), strict=True), key=lambda x: x[0])
+    keys = [np.cumsum(x[0]) for _, x in told]
+    key, first, which = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+    sums = [np.bincount(which, np.concatenate([x[k] for _, x in told]), len(key)).astype(np.int64) for k in range(1, len(told[0][1]))]
+    n = sums[0]
+    out = [(-1, shard, level, MODEL, shrunk(np.diff(key, prepend=0), *sums)),
+           (-1, shard, level, STATS, shrunk(*(np.array([x]) for x in (*((n == k).sum() for k in (1, 2, 3, 4)), *(v.sum() for v in _of(n))))))]
+    speaks = np.zeros(len(which), np.int64)
+    speaks[first] = 1  # the part of the smallest number
+    a = 0
+    for (part, _), own in zip(told, keys, strict=True):
+        b = a + len(own)
+        if level > 1:
+            out.append((part, shard, level, TOLD, shrunk(n[which[a:b]], speaks[a:b])))
+        a = b
+    return batch(MESSAGE, out)
 
-def asks(found: list[dict], trusted: list[np.ndarray], part: int, buckets: int) -> list[tuple]:
-    """The messages of a part; ``trusted`` marks the tokens of trusted documents."""
-    out = []
-    ids = asked(found, buckets)
-    for level, gram, context, suffix in ((3, "three", "context", "two"), (2, "two", "before", "one"), (1, "one", None, None)):
-        pick = lambda name: np.concatenate([x[name][t] for x, t in zip(found, trusted, strict=True)]) if found else np.zeros(0, np.uint64)  # noqa: E731, B023
-        own, at, n = np.unique(_ids(pick(gram), buckets), return_index=True, return_counts=True)
-        place = np.searchsorted(ids[level], own)
-        above = _ids(pick(context)[at], buckets) if context else own
-        below = _ids(pick(suffix)[at], buckets) if suffix else own
-        for shard, a, b in _cuts(ids[level]):
-            lo, hi = np.searchsorted(place, [a, b])
-            body = {"key": _low(ids[level][a:b]), "own": (place[lo:hi] - a).astype(np.uint32)}
-            if level > 1:
-                body |= {"context": above[lo:hi], "suffix": below[lo:hi]}
-            if level == ORDER:
-                body["n"] = n[lo:hi].astype(np.uint32)
-            out.append((level, shard, part, ASK, pack(**body)))
-    return out
 
+def learn(own: DataFrame, found: Callable[[pa.Table], list[dict[str, np.ndarray]]], buckets: int) -> tuple[DataFrame, dict[int, list[int]]]:
+    """The model of trusted parts in rows of ``MESSAGE``; by order how many grams are counted 1 to 4 times and what all add up to.
 
-def _summed(key: np.ndarray, owner: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Sums by key and owner, sorted by both."""
-    order = np.lexsort((owner, key))
-    key, owner = key[order], owner[order]
-    new = np.ones(len(key), bool)
-    new[1:] = (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])
-    first = np.flatnonzero(new)
-    sums = [np.add.reduceat(v[order], first) if len(first) else v[:0] for v in values]
-    return key[first], owner[first], *sums
-
-
-def _sent(level: int, kind: int, sums: tuple[np.ndarray, ...], names: tuple[str, ...]) -> list[tuple]:
-    key, owner, *values = sums
-    return [(level, shard, -1, kind, pack(key=_low(key[a:b]), owner=owner[a:b].astype(np.int32),
-                                          **{x: v[a:b].astype(np.int64) for x, v in zip(names, values, strict=True)}))
-            for shard, a, b in _cuts(key)]
-
-
-def _joined(rows: list[dict], names: tuple[str, ...]) -> tuple[np.ndarray, ...]:
-    kind = {"key": np.uint64, "owner": np.int64}
-    return tuple(np.concatenate([np.zeros(0, kind.get(x, np.int64)), *(r[x] for r in rows)]).astype(kind.get(x, np.int64)) for x in names)
-
-
-def _without(sums: tuple[np.ndarray, ...], keys: np.ndarray, part: int) -> list[np.ndarray]:
-    """Values of the keys over all owners less those of one part; ``sums`` has rows of all owners as owner -1 too."""
-    key, owner, *values = sums
-    place = (key << np.uint64(32)) | (owner + 1).astype(np.uint64)
-    out = [np.zeros(len(keys), np.int64) for _ in values]
-    for sign, who in ((1, -1), (-1, part)):
-        want = (keys.astype(np.uint64) << np.uint64(32)) | np.uint64(who + 1)
-        at = np.searchsorted(place, want)
-        at[at == len(place)] = 0
-        hit = place[at] == want if len(place) else np.zeros(len(want), bool)
-        for k, v in enumerate(values):
-            out[k][hit] += sign * v[at[hit]]
-    return out
+    ``found`` gives the tokens of a part.
+    """
+    def teller(level: int):
+        def first(key: tuple, docs: pa.Table) -> pa.Table:
+            return later(key, docs, None)
 
+        def later(key: tuple, docs: pa.Table, answers: pa.Table | None) -> pa.Table:
+            return batch(MESSAGE, tell(level, Part(found(docs), buckets, (level, level + 1)), key[0].as_py(), answers))
 
-def shard_step(level: int):
-    """Answers the parts that asked a shard and tells the shards of the order below."""
-
-    def step(table: pa.Table) -> pa.Table:
-        shard = table.column("bucket")[0].as_py()
-        told: dict[int, list[dict]] = {ASK: [], COUNT: [], CONTEXT: []}
-        parts = []
-        for part, kind, body in zip(*(table.column(x).to_pylist() for x in ("part", "kind", "body")), strict=True):
-            told[kind].append(unpack(body))
-            if kind == ASK:
-                parts.append(part)
-        if level == ORDER:
-            counts = (np.concatenate([x["key"][x["own"]] for x in told[ASK]]).astype(np.uint64),
-                      np.concatenate([np.full(len(x["n"]), p) for p, x in zip(parts, told[ASK], strict=True)]),
-                      np.concatenate([x["n"] for x in told[ASK]]).astype(np.int64))
-        else:
-            counts = _joined(told[COUNT], ("key", "owner", "n"))
-        key, owner, n = _summed(*counts)
-        grams, which = np.unique(key, return_inverse=True)
-        whole = np.bincount(which, n, len(grams)).astype(np.int64)
-        left = whole[which] - n  # without the owner of the row
-        owned = owner >= 0
-        only = np.full(len(grams), -1, np.int64)
-        only[which[owned & (left == 0)]] = owner[owned & (left == 0)]
-        out = [(level, shard, -1, STATS, pack(owner=np.full(1, -2), total=(whole == 1).sum(keepdims=True), n1=(whole == 2).sum(keepdims=True),
-                                              n2=(whole == 3).sum(keepdims=True), n3=(whole == 4).sum(keepdims=True)))]
-        of = lambda c: [c, *((c == k).astype(np.int64) for k in (1, 2)), (c > 2).astype(np.int64)]
-        deltas = [np.concatenate([a, b - c]) for a, b, c in zip(of(whole), of(whole[which[owned]]), of(left[owned]), strict=True)]
-        who = np.concatenate([np.full(len(grams), -1), owner[owned]])
-        if level > 1:
-            from_asks = np.concatenate([x["key"][x["own"]] for x in told[ASK]]).astype(np.uint64)
-            trusted, at = np.unique(from_asks, return_index=True)
-            at = at[np.searchsorted(trusted, grams)]
-            context, suffix = (np.concatenate([x[c] for x in told[ASK]])[at] for c in ("context", "suffix"))
-            out += _sent(level - 1, COUNT, _summed(suffix, only, np.ones(len(grams), np.int64)), ("n",))
-            out += _sent(level - 1, CONTEXT, _summed(np.concatenate([context, context[which[owned]]]), who, *deltas), NAMES)
-        else:
-            _, who, *deltas = _summed(np.zeros(len(who), np.uint64), who, *deltas)
-            out.append((level, shard, -1, STATS, pack(owner=who, **dict(zip(NAMES, deltas, strict=True)))))
-        every = _summed(np.concatenate([grams, key[owned]]), np.concatenate([np.full(len(grams), -1), owner[owned]]),
-                        np.concatenate([whole, n[owned]]))
-        contexts = _summed(*_joined(told[CONTEXT], ("key", "owner", *NAMES)))
-        for part, x in zip(parts, told[ASK], strict=True):
-            answer = {"n": _without(every, x["key"], part)[0]}
-            if level < ORDER:
-                answer |= dict(zip(NAMES, _without(contexts, x["key"], part), strict=True))
-            out.append((level, shard, part, ANSWER, pack(**{k: v.astype(np.uint32) for k, v in answer.items()})))
-        return batch(MESSAGE, out)
-
-    return step
-
-
-def _flat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for rows in batches:
-        for level, body in zip(rows.column("level").to_pylist(), rows.column("body"), strict=True):
-            x = unpack(body)
-            yield pa.RecordBatch.from_pydict({"level": pa.array([level] * len(x["owner"]), pa.int32())} | {
-                k: pa.array(np.asarray(x[k]).astype(np.int64)) for k in ("owner", *NAMES)})
-
-
-def answers(told: DataFrame) -> tuple[DataFrame, dict[int, list[float]], dict[int, list[int]]]:
-    """Answers to the parts; discounts by order; sums of single words by owner."""
-    spoken, above = [], None
+        return first if level == ORDER else later
+
+    levels = []
     for level in range(ORDER, 0, -1):
-        rows = told.where(F.col("level") == level)
-        if above is not None:
-            rows = rows.union(above.where(F.col("level") == level))
-        above = stored(rows.groupBy("bucket").applyInArrow(shard_step(level), MESSAGE), f"grams{level}")
-        spoken.append(above)
-    every = spoken[0].union(spoken[1]).union(spoken[2])
-    sums = (every.where(F.col("kind") == STATS).mapInArrow(_flat, "level int, owner long, total long, n1 long, n2 long, n3 long")
-            .groupBy("level", "owner").agg(*(F.sum(x).alias(x) for x in NAMES)).collect())
-    discounts = {r["level"]: discounts_of(*(r[x] for x in NAMES)) for r in sums if r["owner"] == -2}
-    words = {r["owner"]: [r[x] for x in NAMES] for r in sums if r["owner"] >= -1}
-    return every.where(F.col("kind") == ANSWER).select("part", "level", "bucket", "body"), discounts, words
+        parts = own.groupBy("part")
+        if levels:
+            parts = parts.cogroup(levels[-1].where(F.col("kind") == TOLD).groupBy("part"))
+        levels.append(stored(parts.applyInArrow(teller(level), MESSAGE).groupBy("bucket").applyInArrow(shard_step, MESSAGE), f"grams{level}"))
+    every = levels[0].union(levels[1]).union(levels[2])
+    stats: dict[int, list[int]] = {}
+    for r in every.where(F.col("kind") == STATS).select("level", "body").toLocalIterator():
+        sums = [int(x[0]) for x in grown(bytes(r["body"]))]
+        stats[r["level"]] = [a + b for a, b in zip(stats.get(r["level"], [0] * len(sums)), sums, strict=True)]
+    model = stored(every.where(F.col("kind") == MODEL).select("bucket", "level", "body"), "model")
+    for level in levels:
+        dropped(level)
+    return model, stats
+
+
+def ask(part: Part, number: int) -> list[tuple]:
+    """What a part asks of each shard, in one row for all orders."""
+    return [(number, shard, shrunk(*(part.gaps(level, *at.get(level, (0, 0))) for level in (1, 2, 3)))) for shard, at in part.cuts().items()]
+
+
+def answer(asked: pa.Table, model: pa.Table) -> list[tuple]:
+    """The answers of a shard: by order the counts, and below the longest one what grams in the context of each add up to."""
+    known = {level: grown(body) for level, body in zip(model.column("level").to_pylist(), model.column("body"), strict=True)}
+    keys = {level: np.cumsum(x[0]) for level, x in known.items()}
+    out = []
+    for number, shard, body in zip(*(asked.column(x).to_pylist() for x in ("part", "bucket", "body")), strict=True):
+        values = []
+        for level, gaps in zip((1, 2, 3), grown(body), strict=True):
+            want = np.cumsum(gaps)
+            columns = 1 if level == ORDER else 5
+            if level not in keys:
+                values += [np.zeros(len(want), np.int64)] * columns
+                continue
+            at = np.minimum(np.searchsorted(keys[level], want), len(keys[level]) - 1)
+            hit = keys[level][at] == want
+            values += [np.where(hit, x[at], 0) for x in known[level][1:]]
+        out.append((number, shard, shrunk(*values)))
+    return out
 
 
 def discounts_of(n1: int, n2: int, n3: int, n4: int) -> list[float]:
@@ -243,36 +297,48 @@ def discounts_of(n1: int, n2: int, n3: int, n4: int) -> list[float]:
 
 
 class PartModel:
-    """What a part was answered; probabilities of its tokens."""
-
-    def __init__(self, ids: dict[int, np.ndarray], table: pa.Table, part: int, buckets: int, discounts: dict, words: dict):
-        self.ids, self.buckets, self.values = ids, buckets, {}
-        levels, shards, bodies = (table.column(x) for x in ("level", "bucket", "body"))
-        rows = sorted(zip(levels.to_pylist(), shards.to_pylist(), range(len(levels)), strict=True))
-        for level in range(1, ORDER + 1):
-            found = [unpack(bodies[k]) for one, _, k in rows if one == level]
-            names = ("n", *NAMES) if level < ORDER else ("n",)
-            self.values[level] = {x: np.concatenate([np.zeros(0), *(f[x] for f in found)]) for x in names}
-        self.discounts = {k: np.array([0.0, *v]) for k, v in discounts.items()}
-        own, whole = words.get(part, [0] * 4), words.get(-1, [0] * 4)
-        self.empty = [float(a - b) for a, b in zip(whole, own, strict=True)]
-
-    def log_probabilities(self, found: dict[str, np.ndarray], spelled: np.ndarray) -> np.ndarray:
+    """What a part was answered, less what its own trusted tokens add to it; probabilities of its tokens."""
+
+    def __init__(self, part: Part, trusted: np.ndarray, answers: list[tuple[int, list[np.ndarray]]], stats: dict[int, list[int]]):
+        self.part = part
+        *low, top = _answered(answers, 11)
+        self.n = {1: low[0], 2: low[5], 3: top}
+        self.sums = {2: low[1:5], 3: low[6:10]}  # of the contexts, which are grams of the order below
+        self.sums[1] = [np.array([x]) for x in stats.get(1, [0] * 8)[4:]]
+        self.discounts = {k: np.array([0.0, *discounts_of(*stats.get(k, [0] * 8)[:4])]) for k in (1, 2, 3)}
+        self._leave_out(np.flatnonzero(trusted))
+
+    def _leave_out(self, own: np.ndarray):
+        """A gram that only the part has is no continuation of the order below for it."""
+        part = self.part
+        lost = part.sums(ORDER, part.gram[ORDER][own], np.ones(len(own)))
+        for level in range(ORDER, 0, -1):
+            own = part.once(level, own)
+            place = part.gram[level][own]
+            before = self.n[level][place]
+            after = before - lost[place]
+            self.n[level][place] = after
+            above = part.context[level][own] if level > 1 else np.zeros(len(own), np.int64)
+            for sums, a, b in zip(self.sums[level], _of(before), _of(after), strict=True):
+                sums -= np.bincount(above, a - b, len(sums)).astype(np.int64)
+            own = own[(after == 0) & (before > 0)]
+            if level > 1:
+                lost = part.sums(level - 1, part.gram[level - 1][own], np.ones(len(own)))
+
+    def log_probabilities(self, spelled: np.ndarray) -> np.ndarray:
         """Of each token, where ``spelled`` is the logarithm of its probability by its characters."""
-        at = lambda level, name: np.searchsorted(self.ids[level], _ids(found[name], self.buckets))
+        part = self.part
         seen, rest = np.zeros(len(spelled)), np.ones(len(spelled))
-        for level, gram, context in ((3, "three", "context"), (2, "two", "before"), (1, "one", None)):
-            if context is None:
-                total, *kinds = (np.full(len(spelled), x) for x in self.empty)
-            else:
-                place = at(level - 1, context)
-                total, *kinds = (self.values[level - 1][x][place] for x in NAMES)
+        for level in range(ORDER, 0, -1):
+            total, *kinds = self.sums[level]
             discount = self.discounts[level]
-            n = self.values[level]["n"][at(level, gram)]
-            share = n - discount[np.minimum(n, 3).astype(np.int64)]
+            n = self.n[level]
             known = total > 0
             over = np.where(known, total, 1)
-            seen += rest * np.where(known, share / over, 0)
-            rest = rest * np.where(known, sum(d * k for d, k in zip(discount[1:], kinds, strict=True)) / over, 1)
+            left = np.where(known, sum(d * k for d, k in zip(discount[1:], kinds, strict=True)) / over, 1)
+            context = part.context[level] if level > 1 else np.zeros(len(spelled), np.int64)
+            share = (n - discount[np.minimum(n, 3)])[part.gram[level]]
+            seen += rest * np.where(known[context], share / over[context], 0)
+            rest = rest * left[context]
         with np.errstate(divide="ignore"):
             return np.logaddexp(np.log(np.maximum(seen, 0)), np.log(rest) + spelled)

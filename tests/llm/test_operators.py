@@ -1,9 +1,11 @@
 """The operators against brute force, round trips and held-out accuracy, on small tables and odd cases."""
 
+import glob
 import hashlib
 import os
 import random
 import re
+import time
 import unicodedata
 import zlib
 from collections import Counter, defaultdict
@@ -19,6 +21,7 @@ from tokenizers import Tokenizer
 import __spark_entry__ as entry_point
 from daymend.llm import cap_filters, chat, decontamination, frames, language_id, packing, quality, set_join
 from daymend.llm import suffix_dedup, textops, token_counts, toxicity, units, word_grams
+from daymend.session import shared_dir
 
 SF = "/root/testdata/sf0.001"
 DOC = "doc_id long, text string, lang string, source string, n_chars long"
@@ -718,6 +721,44 @@ def test_quality_of_shuffled_words(spark):
     assert sum(kept[k] for k in range(150, 300, 3)) >= 30  # little text; the spelling knows trusted documents themselves
 
 
+def test_quality_leaves_little_on_disk(spark):
+    """What parts told, asked and were answered is gone when the last action ends."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{x}.parquet") for x in ("documents", "labels"))
+    size = frames.total_bytes(docs, "text")
+    shared, local = shared_dir(spark), os.environ.get("SPARK_LOCAL_DIRS") or spark.conf.get("spark.local.dir", "/tmp")
+    known = {*glob.glob(f"{shared}/daymend_*"), *glob.glob(f"{local}/blockmgr-*/*/shuffle_*")}
+    assert quality.quality(docs, labels).count() == docs.count()
+    deadline = time.monotonic() + 20  # shuffle files go in the background
+    while True:
+        left = {*glob.glob(f"{shared}/daymend_*"), *glob.glob(f"{local}/blockmgr-*/*/shuffle_*")} - known
+        held = sum(os.path.getsize(x) if os.path.isfile(x) else sum(os.path.getsize(y) for y in glob.glob(f"{x}/*")) for x in left)
+        if held < size / 10 or time.monotonic() > deadline:
+            break
+        time.sleep(0.5)
+    assert held < size / 10
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_asked_grams_are_small():
+    rng = random.Random(23)
+    part = word_grams.Part([word_grams.tokens([prose(rng, 400, 20_000) for _ in range(200)], symbols=False)], 16)
+    asked = word_grams.ask(part, 0)
+    assert len({x[1] for x in asked}) == 16
+    assert sum(len(x[2]) for x in asked) < 3.5 * sum(len(x) for x in part.ids.values())
+    for _, shard, body in asked:
+        for level, gaps in zip((1, 2, 3), word_grams.grown(body), strict=True):
+            a, b = part.cuts()[shard][level]
+            assert np.array_equal((shard << word_grams.KEY) + np.cumsum(gaps), part.ids[level][a:b])
+
+
+def test_distinct_ids_that_differ_in_their_last_bits():
+    rng = np.random.default_rng(24)
+    for ids in (rng.integers(0, 9, 500), (np.int64(1) << 61) + rng.integers(0, 50, 5000), rng.integers(0, 1 << 62, 500), np.zeros(0, np.int64)):
+        known, place = np.unique(ids, return_inverse=True)
+        got = word_grams._distinct(ids)
+        assert np.array_equal(got[0], known) and np.array_equal(got[1], place)
+
+
 def test_words_of_scripts_without_spaces():
     found = word_grams.tokens(["", " \n", "Été x", "中文 Été"])
     assert np.bincount(found["row"]).tolist() == [1, 1, 3, 4]
